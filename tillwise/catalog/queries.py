@@ -50,6 +50,8 @@ def tidy(df: DataFrame, digits: Mapping[str, int] | None = None) -> DataFrame:
         column = F.col(f"`{field.name}`")
         if isinstance(field.dataType, T.DoubleType):
             columns.append(F.round(column, digits.get(field.name, DIGITS)).alias(field.name))
+        elif isinstance(field.dataType, T.DecimalType):
+            columns.append(column.cast("double").alias(field.name))
         elif isinstance(field.dataType, T.ArrayType):
             columns.append(F.concat_ws("; ", column).alias(field.name))
         elif isinstance(field.dataType, T.StructType):
@@ -98,7 +100,9 @@ def duplicates(spark: SparkSession, folder: str) -> DataFrame:
 
 def fingerprint(spark: SparkSession, folder: str) -> DataFrame:
     configure(spark)
-    return tidy(lineage.dataset_fingerprint(raw_sales(spark, folder), RAW_COLUMNS))
+    columns = ("gross_revenue" if c == "list_price" else c for c in RAW_COLUMNS)
+    return tidy(lineage.dataset_fingerprint(sales_facts(spark, folder).withColumn(
+        "gross_revenue", F.col("gross_revenue").cast("decimal(15,2)")), list(columns)))
 
 
 def numbers(spark: SparkSession, folder: str) -> DataFrame:
@@ -243,7 +247,7 @@ QUERIES: dict[str, Query] = {
         digits=EVIDENCE,
     ),
     "enriched_facts": on_facts(
-        lambda f: f.drop("order_key"), *ECONOMICS, *CALENDAR, *DIMENSIONS
+        lambda f: f.drop("order_key", "list_price"), *ECONOMICS, *CALENDAR, *DIMENSIONS
     ),
     "fact_export": on_facts(export_facts, *ECONOMICS, *CALENDAR, *DIMENSIONS),
     "lineage_metadata": on_facts(lambda f: lineage.lineage_metadata(f, len(RAW_COLUMNS)), "order_date"),
