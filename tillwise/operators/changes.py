@@ -55,12 +55,12 @@ def compared_months(facts: DataFrame, mode: str, complete_only: bool = False) ->
 
 
 def in_months(facts: DataFrame, months: tuple[str, ...]) -> DataFrame:
-    """Facts of some months, as date ranges that reach the scan."""
+    """Facts of some months, as date ranges that reach the scan and month keys that prune partitions."""
     date, kept = F.col("order_date"), F.lit(False)
     for month in months:
         first, following = month_bounds(month)
         kept = kept | ((date >= F.lit(first)) & (date < F.lit(following)))
-    return facts.where(kept)
+    return facts.where(kept & F.col("month").isin(*months))
 
 
 def _at(month: str, column: str) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillwise.functions.ratios import ratio, ratio_or_zero
-from tillwise.operators.ordering import order_statistics, quantile_position, running_totals, upper_median_position
+from tillwise.operators.ordering import order_statistics, running_totals, upper_median_position
 from tillwise.schema import DIMENSIONS, ORDER_KEY
 from tillwise.session import durable
 
@@ -243,16 +243,6 @@ def pareto_summary(facts: DataFrame, dimension: str, level: float = 0.8, leaders
     )
 
 
-def value_medians(summary: DataFrame, columns: Sequence[str], by: Sequence[str] = ("dimension",)) -> DataFrame:
-    """Exact medians of columns of an entity table per group, one row per group."""
-    result = None
-    for column in columns:
-        median = order_statistics(summary, column, {f"median_{column}": quantile_position(0.5)}, by=by)
-        median = median.withColumnRenamed("size", f"{column}_values")
-        result = median if result is None else result.join(median, list(by))
-    return result
-
-
 def economic_bridge(facts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Gross revenue to gross profit as ordered steps."""
     grouped = exact_economics(facts, by, orders=False) if by else facts.agg(*_aggregates(facts, tuple(SUMS), False))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,26 +16,33 @@ def price_lines(raw: DataFrame) -> DataFrame:
     return raw.withColumn("gross_revenue", F.col("quantity") * F.col("list_price"))
 
 
-def _money(df: DataFrame, column: str):
-    """Keep decimals in one narrow exact type and doubles as they are."""
-    value = F.col(column)
-    return value.cast(MONEY) if isinstance(df.schema[column].dataType, T.DecimalType) else value
-
-
 def add_economics(lines: DataFrame) -> DataFrame:
-    """Gross to discount to net to cost to profit, and the line margins."""
-    df = lines.withColumn("discount_amount", F.col("gross_revenue") * F.col("discount_rate"))
-    df = df.withColumn("cost", F.col("quantity") * F.col("unit_cost"))
-    df = df.withColumns({c: _money(df, c) for c in ("gross_revenue", "discount_amount", "cost")})
-    df = df.withColumn("net_revenue", F.col("gross_revenue") - F.col("discount_amount"))
-    df = df.withColumn("net_revenue", _money(df, "net_revenue"))
-    df = df.withColumn("gross_profit", F.col("net_revenue") - F.col("cost"))
-    df = df.withColumn("gross_profit", _money(df, "gross_profit"))
-    return df.withColumns(
-        {
-            "gross_margin": ratio("gross_profit", "net_revenue"),
-            "margin_before_discount": ratio(F.col("gross_revenue") - F.col("cost"), "gross_revenue"),
-        }
+    """Gross to discount to net to cost to profit, and the line margins.
+
+    Decimal money is kept in one narrow exact type; doubles stay doubles.
+    """
+    exact = isinstance(lines.schema["gross_revenue"].dataType, T.DecimalType)
+
+    def money(value: Column) -> Column:
+        return value.cast(MONEY) if exact else value.cast("double")
+
+    gross, discount, cost = F.col("gross_revenue"), F.col("discount_amount"), F.col("cost")
+    return (
+        lines.withColumns(
+            {
+                "discount_amount": money(gross * F.col("discount_rate")),
+                "cost": money(F.col("quantity") * F.col("unit_cost")),
+                "gross_revenue": money(gross),
+            }
+        )
+        .withColumn("net_revenue", money(gross - discount))
+        .withColumn("gross_profit", money(F.col("net_revenue") - cost))
+        .withColumns(
+            {
+                "gross_margin": ratio("gross_profit", "net_revenue"),
+                "margin_before_discount": ratio(gross - cost, gross),
+            }
+        )
     )
 
 

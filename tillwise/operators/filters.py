@@ -39,6 +39,8 @@ def default_filters(facts: DataFrame) -> Filters:
 def filter_facts(facts: DataFrame, filters: Filters) -> DataFrame:
     date = F.col("order_date").cast("date")
     kept = facts.where(date.between(F.lit(filters.start_date).cast("date"), F.lit(filters.end_date).cast("date")))
+    if "month" in facts.columns:  # prunes a table partitioned by month
+        kept = kept.where(F.col("month").between(filters.start_date[:7], filters.end_date[:7]))
     for dimension, value in filters.active().items():
         kept = kept.where(F.col(dimension) == value)
     return kept

@@ -84,6 +84,25 @@ def order_statistics(
     return placed.groupBy(*by).agg(*picks).select(*by, "size", *finals)
 
 
+def column_statistics(
+    df: DataFrame, picks: Mapping[str, tuple[str, Column]], by: Sequence[str] = ()
+) -> DataFrame:
+    """Order statistics of several numeric columns per group from one ordering.
+
+    ``picks`` maps a result name to a column and a position. Groups come back with ``size``, the
+    largest number of values seen in a picked column.
+    """
+    columns = list(dict.fromkeys(column for column, _ in picks.values()))
+    cells = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("number")) for c in columns]
+    long = df.select(*by, F.inline(F.array(*cells)))
+    positions = {name: position for name, (_, position) in picks.items()}
+    found = order_statistics(long, "number", positions, by=[*by, "column"])
+    return found.groupBy(*by).agg(
+        F.max("size").alias("size"),
+        *[F.max(F.when(F.col("column") == column, F.col(name))).alias(name) for name, (column, _) in picks.items()],
+    )
+
+
 def quantile_position(share: float) -> Column:
     """Position of a linearly interpolated quantile."""
     return (F.col("size") - 1) * F.lit(share)

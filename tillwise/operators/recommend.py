@@ -18,7 +18,7 @@ from tillwise.operators.economics import (
     with_shares,
 )
 from tillwise.operators.filters import Filters
-from tillwise.operators.ordering import order_statistics, quantile_position
+from tillwise.operators.ordering import column_statistics, quantile_position
 from tillwise.schema import DIMENSIONS, FILTER_KEYS
 from tillwise.session import durable
 
@@ -156,28 +156,23 @@ def recommendations(
     The facts are read once, into the dimension summary; every rule works on that table.
     """
     summary = durable(with_shares(dimension_economics(facts, orders=False)))
-    extremes = _extremes(summary)
-    products = summary.where(F.col("dimension") == "product")
-
-    leaders = order_statistics(products, "revenue", {"leading": quantile_position(0.75)}).select("leading")
-    medians = durable(
-        order_statistics(summary, "margin", {"median_margin": quantile_position(0.5)}, by=["dimension"])
-        .drop("size")
-        .join(
-            order_statistics(
-                summary, "discount_rate", {"median_discount": quantile_position(0.5)}, by=["dimension"]
-            ).drop("size"),
-            "dimension",
-        )
+    extremes = durable(_extremes(summary))  # one row per dimension
+    peers = column_statistics(
+        summary,
+        {
+            "median_margin": ("margin", quantile_position(0.5)),
+            "median_discount": ("discount_rate", quantile_position(0.5)),
+            "leading": ("revenue", quantile_position(0.75)),
+        },
+        by=["dimension"],
     )
-    against_peers = summary.join(F.broadcast(medians), "dimension")
+    against_peers = summary.join(F.broadcast(durable(peers)), "dimension")
 
     margin, revenue, profit, rate = (F.col(c) for c in ("margin", "revenue", "profit", "discount_rate"))
     own = {"revenue": revenue, "profit": profit, "margin": margin, "discount_rate": rate}
 
     pressed = (
         against_peers.where(F.col("dimension") == "product")
-        .withColumn("leading", leaders.scalar())
         .where((revenue >= F.col("leading")) & (margin < F.col("median_margin")))
         .orderBy(F.desc("revenue"), "value")
         .limit(1)
@@ -380,14 +375,18 @@ def dynamic_recommendations(
     )
     products = summary.where(F.col("dimension") == "product")
     last = F.col("size") - 1
-    leading = order_statistics(
-        products, "revenue", {"leading": last - F.least(F.floor(F.col("size") / 4), last)}
-    ).select("leading")
-    middle = order_statistics(products, "margin", {"median": quantile_position(0.5)}).select("median")
+    peers = column_statistics(
+        products,
+        {
+            "leading": ("revenue", last - F.least(F.floor(F.col("size") / 4), last)),
+            "median": ("margin", quantile_position(0.5)),
+        },
+        by=["dimension"],
+    )
 
     margin, revenue = F.col("margin"), F.col("revenue")
     strained = (
-        products.withColumns({"leading": leading.scalar(), "median": middle.scalar()})
+        products.join(F.broadcast(peers), "dimension")
         .where((revenue >= F.col("leading")) & (margin < F.col("median") * tension))
         .orderBy(F.desc("revenue"), "value")
         .limit(1)

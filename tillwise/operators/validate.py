@@ -132,61 +132,63 @@ def validation_report(
 ) -> DataFrame:
     """Violations and examples of every rule, in the order the rules apply.
 
-    Row rules are counted in one aggregation without a shuffle; examples are the smallest offending
-    values, cut down within each task first. Rules on rows are left out when columns are missing.
+    Row rules are counted in one aggregation without a shuffle, ids in one with it. Rows are read
+    again only for rules that were broken: their examples are the smallest offending values, cut
+    down within each task first. Rules on rows are left out when columns are missing.
     """
     as_of = as_of or dt.date.today()
-    spark = df.sparkSession
     schema_rows = _schema_report(df, strict_columns)
-    report = spark.createDataFrame(schema_rows, REPORT_SCHEMA)
     if schema_rows[0][2]:
-        return report
+        return df.sparkSession.createDataFrame(schema_rows, REPORT_SCHEMA)
 
     rules = _row_rules(df, as_of, min_date)
     first = len(schema_rows)
-    duplicate_position = first + len(RAW_COLUMNS)
-    positions = [first + i + (1 if i >= len(RAW_COLUMNS) else 0) for i in range(len(rules))]
-
-    counted = df.agg(*[F.count_if(violated).alias(f"_{i}") for i, (_, _, violated, _) in enumerate(rules)])
-    rows = [
-        F.struct(
-            F.lit(check).alias("check"),
-            F.lit(position).alias("position"),
-            F.col(f"_{i}").alias("violations"),
-            F.lit(message).alias("message"),
-        )
-        for i, ((check, message, _, _), position) in enumerate(zip(rules, positions))
+    ids_position = first + len(RAW_COLUMNS)  # ids are checked after nulls
+    positions = [first + i + (i >= len(RAW_COLUMNS)) for i in range(len(rules))]
+    counts = df.agg(*[F.count_if(violated).alias(f"rule_{i}") for i, (_, _, violated, _) in enumerate(rules)]).first()
+    repeats = duplicate_ids(df)
+    repeated = repeats.agg(F.coalesce(F.sum(F.col("occurrences") - 1), F.lit(0)).alias("n")).first().n
+
+    broken = [(position, rule) for position, rule, n in zip(positions, rules, counts) if n]
+    examples = _examples(df, broken) if broken else {}
+    if repeated:
+        smallest = repeats.orderBy("transaction_id").limit(DUPLICATE_EXAMPLES).collect()
+        examples[ids_position] = [row.transaction_id for row in smallest]
+
+    rows = list(schema_rows)
+    rows += [
+        (check, position, n, message, examples.get(position, []))
+        for (check, message, _, _), position, n in zip(rules, positions, counts)
     ]
-    counts = counted.select(F.inline(F.array(*rows)))
+    rows.append(
+        (
+            "duplicate_transaction_ids",
+            ids_position,
+            repeated,
+            "Duplicate transaction IDs found",
+            examples.get(ids_position, []),
+        )
+    )
+    return df.sparkSession.createDataFrame(sorted(rows, key=lambda row: row[1]), REPORT_SCHEMA)
 
-    broken = [
+
+def _examples(df: DataFrame, broken: list[tuple[int, tuple]]) -> dict[int, list[str]]:
+    """A few of the smallest offending values per broken rule."""
+    hits = [
         F.when(violated, F.struct(F.lit(position).alias("position"), example.alias("example")))
-        for (_, _, violated, example), position in zip(rules, positions)
+        for position, (_, _, violated, example) in broken
     ]
     smallest = Window.partitionBy("position").orderBy("example")
-    examples = (
-        df.select(F.inline(F.array_compact(F.array(*broken))))
-        .withColumn("_place", F.row_number().over(smallest))
-        .where(F.col("_place") <= EXAMPLES)
-        .groupBy("position")
-        .agg(F.array_sort(F.collect_list("example")).alias("examples"))
-    )
-
-    repeats = duplicate_ids(df)
-    duplicates = repeats.agg(
-        F.lit("duplicate_transaction_ids").alias("check"),
-        F.lit(duplicate_position).alias("position"),
-        F.coalesce(F.sum(F.col("occurrences") - 1), F.lit(0)).alias("violations"),
-        F.lit("Duplicate transaction IDs found").alias("message"),
-    )
-    repeat_examples = (
-        repeats.orderBy("transaction_id")
-        .limit(DUPLICATE_EXAMPLES)
-        .agg(F.lit(duplicate_position).alias("position"), F.array_sort(F.collect_list("transaction_id")).alias("examples"))
+    found = (
+        df.select(F.inline(F.array_compact(F.array(*hits))))
+        .withColumn("place", F.row_number().over(smallest))
+        .where(F.col("place") <= EXAMPLES)
+        .orderBy("position", "place")
     )
-    found = counts.unionByName(duplicates).join(examples.unionByName(repeat_examples), "position", "left")
-    found = found.withColumn("examples", F.coalesce("examples", F.array().cast("array<string>")))
-    return report.unionByName(found).orderBy("position")
+    examples: dict[int, list[str]] = {}
+    for row in found.collect():  # at most EXAMPLES per rule
+        examples.setdefault(row.position, []).append(row.example)
+    return examples
 
 
 def check_summary(report: DataFrame) -> DataFrame:

@@ -13,6 +13,14 @@ def write_sections(sections: Mapping[str, DataFrame], folder: str, file_format:
         section.write.mode("overwrite").format(file_format).save(f"{folder.rstrip('/')}/{name}")
 
 
+def write_facts(facts: DataFrame, path: str) -> None:
+    """Joined facts as a month-partitioned table, which later queries prune and need not join.
+
+    The rebalance hint gives each month few files and lets a hot month spread over several tasks.
+    """
+    facts.hint("rebalance", "month").write.mode("overwrite").partitionBy("month").parquet(path)
+
+
 def write_issues(issues: DataFrame, path: str) -> None:
     """All rejected rows as CSV with quoted text."""
     ordered = issues.select("row", "field", "value", "issue")

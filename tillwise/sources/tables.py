@@ -24,6 +24,12 @@ def read_sales_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RAW_SALES).parquet(path)
 
 
+def read_facts(spark: SparkSession, path: str) -> DataFrame:
+    """A month-partitioned fact table; months stay text."""
+    facts = spark.read.parquet(path)
+    return facts.withColumn("month", F.col("month").cast("string"))
+
+
 def read_upload(spark: SparkSession, path: str, quoted_newlines: bool = True) -> DataFrame:
     """All columns of a CSV as text, blank rows dropped, short rows padded, rows numbered.
 
