@@ -37,7 +37,7 @@ def _cell(value):
 def rows_of(frame: pd.DataFrame) -> list[tuple]:
     frame = frame[sorted(frame.columns)]
     rows = [tuple(_cell(v) for v in row) for row in frame.itertuples(index=False, name=None)]
-    return sorted(rows, key=lambda row: tuple((v is None, f"{v:.3f}" if isinstance(v, float) else str(v)) for v in row))
+    return sorted(rows, key=lambda row: tuple((v is None, f"{v + 0.0:.3f}" if isinstance(v, float) else str(v)) for v in row))
 
 
 def differences(spark_frame: pd.DataFrame, oracle_frame: pd.DataFrame) -> list[str]:
@@ -50,7 +50,7 @@ def differences(spark_frame: pd.DataFrame, oracle_frame: pd.DataFrame) -> list[s
     found = []
     for left, right in zip(rows_of(spark_frame), rows_of(oracle_frame)):
         for name, a, b in zip(left_columns, left, right):
-            if a != b:
+            if a != b or (a == 0 and str(a) != str(b)):
                 close = isinstance(a, (int, float)) and isinstance(b, (int, float)) and math.isclose(a, b, rel_tol=1e-9, abs_tol=1e-9)
                 found.append(f"{'~' if close else ''}{name}: {a!r} against {b!r}")
             elif type(a) is not type(b):

@@ -446,10 +446,11 @@ SCENARIO_GRID = query(
     SCENARIOS,
     tested("region"),
 )
-NEEDED = "((profit + projected_cost) / (gross_revenue * (1 - rate)) - 1) * 100"
 BREAK_EVEN = query(
-    f"""SELECT scenario, round({NEEDED}, 6) AS break_even_price_pct,
-  round(price_pct - {NEEDED}, 6) AS price_above_break_even_pp FROM tested""",
+    """SELECT scenario, CASE WHEN needed = 0 THEN 0 ELSE needed END AS break_even_price_pct,
+  CASE WHEN spare = 0 THEN 0 ELSE spare END AS price_above_break_even_pp
+FROM (SELECT scenario, round(needed, 6) AS needed, round(price_pct - needed, 6) AS spare FROM (
+  SELECT *, ((profit + projected_cost) / (gross_revenue * (1 - rate)) - 1) * 100 AS needed FROM tested))""",
     SCENARIOS,
     tested(),
 )

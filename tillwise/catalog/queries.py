@@ -49,7 +49,8 @@ def tidy(df: DataFrame, digits: Mapping[str, int] | None = None) -> DataFrame:
     for field in df.schema.fields:
         column = F.col(f"`{field.name}`")
         if isinstance(field.dataType, T.DoubleType):
-            columns.append(F.round(column, digits.get(field.name, DIGITS)).alias(field.name))
+            rounded = F.round(column, digits.get(field.name, DIGITS))
+            columns.append(F.when(rounded == 0, 0.0).otherwise(rounded).alias(field.name))  # no negative zero
         elif isinstance(field.dataType, T.DecimalType):
             columns.append(column.cast("double").alias(field.name))
         elif isinstance(field.dataType, T.ArrayType):

@@ -71,7 +71,8 @@ def revenue_forecast(facts: DataFrame, horizon: int = 3, by: Sequence[str] = ())
         F.sum("squares").alias("squares"),
         F.map_from_entries(F.collect_list(F.struct("month_of_year", "mean_ratio"))).alias("mean_ratios"),
     )
-    ahead = models.withColumn("step", F.explode(F.sequence(F.lit(1), F.lit(horizon))))
+    known_series = models.where(F.col("months").isNotNull())  # a single series may be too short
+    ahead = known_series.withColumn("step", F.explode(F.sequence(F.lit(1), F.lit(horizon))))
     ahead = ahead.withColumn("month", shift_month("last_month", F.col("step")))
     seasonal = F.col("months") >= SEASONAL_MONTHS
     mean_ratio = F.try_element_at("mean_ratios", F.month(month_start("month")))
@@ -125,7 +126,10 @@ def forecast_backtest(facts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     folds = folds.withColumn("predicted", F.greatest(F.lit(0.0), trend * season))
     scored = (F.col("predicted") != 0) & (F.col("actual") != 0)
     miss = F.abs(F.col("actual") - F.col("predicted")) / F.nullif(F.abs("actual"), F.lit(0.0))
-    measures = [F.avg(F.when(scored, miss)).alias("validation_mape"), F.count_if(scored).alias("folds")]
-    if by:
-        return folds.groupBy(*by).agg(*measures).orderBy(*by)
-    return folds.agg(*measures)
+    checked = folds.groupBy(*by).agg(
+        F.count("*").alias("tried"),
+        F.avg(F.when(scored, miss)).alias("validation_mape"),
+        F.count_if(scored).alias("folds"),
+    )
+    checked = checked.where(F.col("tried") > 0).drop("tried")
+    return checked.orderBy(*by) if by else checked
