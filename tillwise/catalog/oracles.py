@@ -80,10 +80,15 @@ def query(body: str, *steps: str) -> str:
     return "WITH " + ",\n".join((FACTS.strip(), *steps)) + "\n" + body
 
 
+def rounded(value: str, digits: int = 6) -> str:
+    """Rounded without negative zeros."""
+    return f"CASE WHEN round({value}, {digits}) = 0 THEN 0 ELSE round({value}, {digits}) END"
+
+
 def rounding(columns: Mapping[str, int] | Sequence[str], digits: int = 6) -> str:
     """Replacement list that rounds result columns."""
     pairs = columns.items() if isinstance(columns, Mapping) else ((c, digits) for c in columns)
-    return "REPLACE (" + ", ".join(f"round({c}, {d}) AS {c}" for c, d in pairs) + ")"
+    return "REPLACE (" + ", ".join(f"{rounded(c, d)} AS {c}" for c, d in pairs) + ")"
 
 
 RATES = rounding(("margin", "discount_rate"))
@@ -698,15 +703,16 @@ DOUBLES = "gross_revenue discount_amount net_revenue cost gross_profit".split()
 ENRICHED = query(
     "SELECT * EXCLUDE (gross) REPLACE ("
     + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in (*DOUBLES, "discount_rate", "unit_cost"))
-    + ", strftime(order_date, '%Y-%m-%d') AS order_date, round(gross_margin, 6) AS gross_margin, "
-    "round(margin_before_discount, 6) AS margin_before_discount) FROM facts"
+    + f", strftime(order_date, '%Y-%m-%d') AS order_date, {rounded('gross_margin')} AS gross_margin, "
+    f"{rounded('margin_before_discount')} AS margin_before_discount) FROM facts"
 )
 EXPORT = query(
     "SELECT transaction_id, order_id, strftime(order_date, '%Y-%m-%d') AS order_date, "
     + ", ".join(DIMENSIONS)
     + ", quantity, "
     + ", ".join(f"CAST(round({c}, 2) AS DOUBLE) AS {c}" for c in DOUBLES)
-    + ", round(CAST(discount_rate AS DOUBLE), 4) AS discount_rate, round(gross_margin, 4) AS gross_margin, month FROM facts"
+    + f", round(CAST(discount_rate AS DOUBLE), 4) AS discount_rate, {rounded('gross_margin', 4)} AS gross_margin, "
+    "month FROM facts"
 )
 CHECKS = (
     "required_columns; unexpected_columns; null_values; duplicate_transaction_ids; id_format; date_parse; date_range; "

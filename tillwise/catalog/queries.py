@@ -18,7 +18,7 @@ from tillwise.operators.ingest import Ingest, ingest
 from tillwise.operators.mapping import infer_mapping
 from tillwise.operators.validate import duplicate_ids, validation_report
 from tillwise.plans.report import COMBINATIONS
-from tillwise.schema import DIMENSIONS, RAW_COLUMNS
+from tillwise.schema import DIMENSIONS, RAW_COLUMNS, UNITS
 from tillwise.session import configure
 from tillwise.sources.star import raw_sales, read_table, sales_facts
 
@@ -248,7 +248,7 @@ QUERIES: dict[str, Query] = {
         digits=EVIDENCE,
     ),
     "enriched_facts": on_facts(
-        lambda f: f.drop("order_key", "list_price"), *ECONOMICS, *CALENDAR, *DIMENSIONS
+        lambda f: f.drop("order_key", *UNITS.values()), *ECONOMICS, *CALENDAR, *DIMENSIONS
     ),
     "fact_export": on_facts(export_facts, *ECONOMICS, *CALENDAR, *DIMENSIONS),
     "lineage_metadata": on_facts(lambda f: lineage.lineage_metadata(f, len(RAW_COLUMNS)), "order_date"),

@@ -9,6 +9,7 @@ from tillwise.functions.calendar import month_bounds, shift_month_key
 from tillwise.functions.ratios import ratio_or_zero, relative_change
 from tillwise.operators.economics import by_dimension, money_as_double, view_kpis
 from tillwise.operators.filters import Filters, filter_facts, previous_period
+from tillwise.operators.totals import total
 from tillwise.schema import DIMENSION_LABELS, FILTER_KEYS
 
 BRIEF_SCHEMA = (
@@ -63,8 +64,8 @@ def in_months(facts: DataFrame, months: tuple[str, ...]) -> DataFrame:
     return facts.where(kept & F.col("month").isin(*months))
 
 
-def _at(month: str, column: str) -> Column:
-    return F.coalesce(F.sum(F.when(F.col("month") == month, F.col(column))), F.lit(0))
+def _at(facts: DataFrame, month: str, column: str) -> Column:
+    return F.coalesce(total(facts, column, F.col("month") == month), F.lit(0))
 
 
 def period_brief(facts: DataFrame, mode: str = "mom", complete_only: bool = False) -> DataFrame:
@@ -75,7 +76,7 @@ def period_brief(facts: DataFrame, mode: str = "mom", complete_only: bool = Fals
     current, previous = chosen
     totals = in_months(facts, chosen).agg(
         *[
-            _at(month, column).cast("double").alias(f"{metric}_{when}")
+            _at(facts, month, column).cast("double").alias(f"{metric}_{when}")
             for when, month in (("now", current), ("then", previous))
             for metric, column in (("revenue", "net_revenue"), ("profit", "gross_profit"))
         ]
@@ -108,10 +109,13 @@ def period_drivers(facts: DataFrame, mode: str = "mom", top: int = 5, complete_o
     if chosen is None:
         return facts.sparkSession.createDataFrame([], DRIVER_SCHEMA)
     current, previous = chosen
+    sliced = by_dimension(in_months(facts, chosen))
     moved = (
-        by_dimension(in_months(facts, chosen))
-        .groupBy("dimension", "value")
-        .agg(_at(current, "net_revenue").alias("current"), _at(previous, "net_revenue").alias("previous"))
+        sliced.groupBy("dimension", "value")
+        .agg(
+            _at(sliced, current, "net_revenue").alias("current"),
+            _at(sliced, previous, "net_revenue").alias("previous"),
+        )
         .withColumn("delta", F.col("current") - F.col("previous"))
         .where(F.col("delta") != 0)
         .withColumn("direction", F.when(F.col("delta") > 0, "positive").otherwise("negative"))

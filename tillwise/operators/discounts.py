@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tillwise.functions.ratios import ratio, ratio_or_zero
 from tillwise.operators.economics import cents, group_economics
 from tillwise.operators.ordering import average_ranks, order_statistics, quantile_position, running_totals
+from tillwise.operators.totals import total
 from tillwise.session import durable
 
 # Right-closed upper bounds of the discount bands and their labels.
@@ -45,18 +46,18 @@ def discount_distribution(facts: DataFrame) -> DataFrame:
 
 def discount_summary(facts: DataFrame) -> DataFrame:
     """Mean and weighted rate, revenue given up, and the margin before and after discounts."""
-    total = facts.agg(
+    whole = facts.agg(
         F.sum("discount_rate").alias("rates"),
         F.count("discount_rate").alias("lines"),
-        F.sum("gross_revenue").alias("gross"),
-        F.sum("discount_amount").alias("discount"),
-        F.sum("net_revenue").alias("net"),
-        F.sum("cost").alias("cost"),
-        F.sum("gross_profit").alias("profit"),
+        total(facts, "gross_revenue").alias("gross"),
+        total(facts, "discount_amount").alias("discount"),
+        total(facts, "net_revenue").alias("net"),
+        total(facts, "cost").alias("cost"),
+        total(facts, "gross_profit").alias("profit"),
     )
     before = ratio_or_zero(F.col("gross") - F.col("cost"), "gross")
     after = ratio_or_zero("profit", "net")
-    return total.select(
+    return whole.select(
         F.round(ratio("rates", "lines"), 4).alias("average_discount"),
         F.round(ratio_or_zero("discount", "gross"), 4).alias("weighted_discount_rate"),
         cents(F.col("discount")).alias("revenue_lost_to_discounts"),
@@ -75,8 +76,8 @@ def discount_leakage(facts: DataFrame, share: float = 0.85) -> DataFrame:
     rates = durable(
         facts.groupBy("discount_rate").agg(
             F.count("*").alias("rows"),
-            F.sum("net_revenue").alias("net"),
-            F.sum("discount_amount").alias("discount"),
+            total(facts, "net_revenue").alias("net"),
+            total(facts, "discount_amount").alias("discount"),
         )
     )
     known = rates.where(F.col("discount_rate").isNotNull())

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tillwise.functions.ratios import ratio, ratio_or_zero
 from tillwise.operators.ordering import order_statistics, running_totals, upper_median_position
+from tillwise.operators.totals import total
 from tillwise.schema import DIMENSIONS, ORDER_KEY
 from tillwise.session import durable
 
@@ -30,7 +31,7 @@ def order_identity(facts: DataFrame) -> Column:
 
 
 def _aggregates(facts: DataFrame, sums: Sequence[str], orders: bool) -> list[Column]:
-    columns = [F.sum(SUMS[name]).alias(name) for name in sums]
+    columns = [total(facts, SUMS[name]).alias(name) for name in sums]
     return columns + ([F.countDistinct(order_identity(facts)).alias("orders")] if orders else [])
 
 
@@ -69,10 +70,10 @@ def cents(value: Column, digits: int = 2) -> Column:
 
 def executive_kpis(facts: DataFrame) -> DataFrame:
     """Thirteen headline metrics; ratios on an empty base are zero."""
-    total = facts.agg(*_aggregates(facts, tuple(SUMS), True))
-    total = total.withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in SUMS})
+    whole = facts.agg(*_aggregates(facts, tuple(SUMS), True))
+    whole = whole.withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in SUMS})
     revenue = cents(F.col("revenue"))
-    return total.select(
+    return whole.select(
         cents(F.col("gross_revenue")).alias("gross_revenue"),
         revenue.alias("net_revenue"),
         revenue.alias("revenue"),
@@ -213,8 +214,8 @@ def pareto_curve(facts: DataFrame, dimension: str) -> DataFrame:
     curve = running_totals(
         entities.withColumn("_one", F.lit(1).cast("bigint")), order, {"_reached": "revenue", "rank": "_one"}
     )
-    total = curve.agg(F.sum("revenue")).scalar().cast("double")
-    base = F.when(total == 0, 1.0).otherwise(total)
+    whole = curve.agg(F.sum("revenue")).scalar().cast("double")
+    base = F.when(whole == 0, 1.0).otherwise(whole)
     return curve.select(
         dimension,
         F.col("revenue").cast("double").alias("revenue"),

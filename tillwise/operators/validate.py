@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillwise.functions.parsing import parse_date
+from tillwise.functions.parsing import as_date
 from tillwise.schema import RAW_COLUMNS
 
 # The checks of a report, in the order they are applied.
@@ -42,10 +42,11 @@ class DataValidationError(ValueError):
 def _row_rules(df: DataFrame, as_of: dt.date, min_date: dt.date) -> list[tuple[str, str, Column, Column]]:
     """(check, message, violated, example) of every rule that looks at one row."""
     text = {c: F.col(c).cast("string") for c in RAW_COLUMNS}
-    number = {c: text[c].try_cast("double") for c in NUMERIC_COLUMNS}
-    date = F.col("order_date").cast("date") if df.schema["order_date"].dataType.typeName() != "string" else parse_date(
-        F.col("order_date")
-    )
+    stored_as = {f.name: f.dataType.typeName() for f in df.schema.fields}
+    number = {
+        c: text[c].try_cast("double") if stored_as[c] == "string" else F.col(c).cast("double") for c in NUMERIC_COLUMNS
+    }
+    date = as_date(F.col("order_date"), stored_as["order_date"])
     quantity, price, discount, unit_cost = (number[c] for c in NUMERIC_COLUMNS)
     gross = quantity * price
     rules = [

@@ -6,9 +6,11 @@ import datetime as dt
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillwise.operators import discounts, economics, lineage, recommend, trends
 from tillwise.operators.facts import enrich, export_facts
+from tillwise.operators.totals import with_units
 from tillwise.operators.validate import validate
 from tillwise.schema import RAW_COLUMNS
 from tillwise.session import configure, durable
@@ -67,7 +69,10 @@ def build_report(
     """Validate a raw sales table (raising on the first broken rule) and write all sections."""
     configure(raw.sparkSession)
     checked = validate(raw, as_of, min_date)
-    facts = durable(enrich(raw))  # every section starts from here
+    facts = enrich(raw)
+    if isinstance(facts.schema["net_revenue"].dataType, T.DecimalType):
+        facts = with_units(facts)
+    facts = durable(facts)  # every section starts from here
     write_sections(report_sections(raw, facts, checked), folder, file_format)
     return checked
 

@@ -26,6 +26,15 @@ FILTER_KEYS = {
 MONEY = T.DecimalType(18, 4)
 MONEY_COLUMNS = ("gross_revenue", "discount_amount", "net_revenue", "cost", "gross_profit")
 
+# Optional whole-number companions of the money columns, in ten-thousandths.
+UNITS = {
+    "gross_revenue": "gross_units",
+    "discount_amount": "discount_units",
+    "net_revenue": "net_units",
+    "cost": "cost_units",
+    "gross_profit": "profit_units",
+}
+
 # A raw sales line as delivered, one row per order line.
 RAW_SALES = T.StructType(
     [

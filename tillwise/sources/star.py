@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwise.operators.facts import add_calendar, add_economics
-from tillwise.schema import ORDER_KEY, RAW_COLUMNS
+from tillwise.functions.calendar import calendar_columns
+from tillwise.functions.ratios import ratio
+from tillwise.operators.totals import money_of
+from tillwise.schema import ORDER_KEY, RAW_COLUMNS, UNITS
 
 CALENDAR = frozenset({"order_date", "year", "quarter", "month", "month_of_year"})
 FROM_REGION = frozenset({"region"})
@@ -19,6 +21,12 @@ FROM_PART = frozenset(
 )
 
 
+# Stored columns that facts replace.
+STORED = (
+    "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "p_retailprice",
+    "c_custkey", "n_nationkey", "r_regionkey",
+)
+
 # Declared, so that opening a table reads no file footers; only the columns in use are listed.
 TABLE_SCHEMAS = {
     "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
@@ -38,26 +46,17 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def _lines(spark: SparkSession, folder: str) -> DataFrame:
-    line = read_table(spark, folder, "lineitem")
-    return line.select(
-        F.col("l_orderkey").alias(ORDER_KEY),
-        "l_partkey",
-        F.concat(F.lit("TXN-"), F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("transaction_id"),
-        F.concat(F.lit("ORD-"), F.col("l_orderkey")).alias("order_id"),
-        F.col("l_quantity").cast("bigint").alias("quantity"),
-        F.col("l_extendedprice").cast("decimal(15,2)").alias("gross_revenue"),
-        (F.col("l_extendedprice") / F.col("l_quantity")).cast("decimal(15,2)").alias("list_price"),
-        F.col("l_discount").cast("decimal(4,2)").alias("discount_rate"),
+    return read_table(spark, folder, "lineitem").select(
+        F.col("l_orderkey").alias(ORDER_KEY), "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount"
     )
 
 
 def _parts(spark: SparkSession, folder: str) -> DataFrame:
-    part = read_table(spark, folder, "part")
-    return part.select(
+    return read_table(spark, folder, "part").select(
         F.col("p_partkey").alias("l_partkey"),
         F.col("p_type").alias("category"),
         F.concat_ws(" ", "p_type", "p_name").alias("product"),
-        F.col("p_retailprice").cast("decimal(15,2)").alias("unit_cost"),
+        "p_retailprice",
     )
 
 
@@ -80,30 +79,66 @@ def _orders(spark: SparkSession, folder: str, wanted: frozenset[str]) -> DataFra
     return orders
 
 
+def _joined(spark: SparkSession, folder: str, wanted: frozenset[str]) -> DataFrame:
+    """Lines with the tables the wanted columns come from.
+
+    The orders join comes last and on the narrow order key, which stays in the result: the joined
+    rows are then already partitioned for counting distinct orders. Columns are derived only after
+    it, so that the shuffle carries nothing but the stored ones.
+    """
+    lines = _lines(spark, folder)
+    if wanted & FROM_PART:
+        lines = lines.join(_parts(spark, folder), "l_partkey")
+    if wanted & FROM_ORDER:
+        lines = lines.join(_orders(spark, folder, wanted), ORDER_KEY)
+    return lines
+
+
+def _line_columns() -> dict[str, Column]:
+    return {
+        "transaction_id": F.concat(F.lit("TXN-"), F.col(ORDER_KEY) * 10 + F.col("l_linenumber")),
+        "order_id": F.concat(F.lit("ORD-"), F.col(ORDER_KEY)),
+        "quantity": F.col("l_quantity").cast("bigint"),
+        "discount_rate": F.col("l_discount").cast("decimal(4,2)"),
+    }
+
+
 def raw_sales(spark: SparkSession, folder: str) -> DataFrame:
     """The star flattened to the raw sales columns."""
-    lines = _lines(spark, folder).join(_parts(spark, folder), "l_partkey")
-    return lines.join(_orders(spark, folder, FROM_ORDER), ORDER_KEY).select(*RAW_COLUMNS)
+    lines = _joined(spark, folder, FROM_ORDER | FROM_PART)
+    prices = {
+        "list_price": (F.col("l_extendedprice") / F.col("l_quantity")).cast("decimal(15,2)"),
+        "unit_cost": F.col("p_retailprice").cast("decimal(15,2)"),
+    }
+    return lines.withColumns({**_line_columns(), **prices}).select(*RAW_COLUMNS)
 
 
 def sales_facts(spark: SparkSession, folder: str, columns: Iterable[str] | None = None) -> DataFrame:
     """Enriched facts; joins only the tables that the named columns come from.
 
     Leaving a join out is safe under the star's foreign keys (every line has its order and part,
-    every order its customer). With no columns named every table is joined.
-
-    The orders join comes last and on the narrow order key, which stays in the result: the joined
-    rows are then already partitioned for counting distinct orders.
+    every order its customer). With no columns named every table is joined. Prices have cents and
+    discounts whole percents, so all money is exact in ten-thousandths.
     """
     wanted = frozenset(columns) if columns is not None else FROM_ORDER | FROM_PART
-    df = _lines(spark, folder)
+    facts = _joined(spark, folder, wanted)
+
+    cents = F.rint(F.col("l_extendedprice") * 100).cast("bigint")
+    percents = F.rint(F.col("l_discount") * 100).cast("bigint")
+    derived = {**_line_columns(), "gross_units": cents * 100, "discount_units": cents * percents}
+    derived["net_units"] = cents * 100 - cents * percents
+    money = ["gross_revenue", "discount_amount", "net_revenue"]
     if wanted & FROM_PART:
-        df = df.join(_parts(spark, folder), "l_partkey")
-    else:
-        df = df.withColumn("unit_cost", F.lit(None).cast("decimal(15,2)"))
-    df = add_economics(df)
-    if wanted & FROM_ORDER:
-        df = df.join(_orders(spark, folder, wanted), ORDER_KEY)
+        unit_cost = F.rint(F.col("p_retailprice") * 100).cast("bigint")
+        derived["unit_cost"] = F.col("p_retailprice").cast("decimal(15,2)")
+        derived["cost_units"] = F.col("l_quantity").cast("bigint") * unit_cost * 100
+        derived["profit_units"] = derived["net_units"] - derived["cost_units"]
+        money += ["cost", "gross_profit"]
+    facts = facts.withColumns(derived)
+    exact = {c: money_of(F.col(UNITS[c])) for c in money}
+    if wanted & FROM_PART:
+        exact["gross_margin"] = ratio("profit_units", "net_units")
+        exact["margin_before_discount"] = ratio(F.col("gross_units") - F.col("cost_units"), "gross_units")
     if wanted & CALENDAR:
-        df = add_calendar(df)
-    return df.drop("l_partkey", "c_custkey", "n_nationkey", "r_regionkey")
+        exact |= calendar_columns()
+    return facts.withColumns(exact).drop(*STORED)
