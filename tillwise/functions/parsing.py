@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Characters that may surround a number.
-NUMBER_DECORATION = r"[$€£₹,%()\s\u00a0]"
+# Characters that may surround a number, and every kind of white space.
+NUMBER_DECORATION = "$€£₹,%()"
+WHITE_SPACE = "\t\n\x0b\x0c\r \u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000\ufeff"
 # Text the cast accepts but a spreadsheet number never has (1d, NaN, Infinity) fails this pattern.
 NUMBER_SHAPE = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
@@ -16,12 +17,15 @@ SERIAL_RANGE = (20_000, 80_000)
 
 
 def parse_number(value: Column) -> Column:
-    """Text such as $1,234.50 or (12%) as a double; parentheses negate; anything else is null."""
-    cleaned = F.regexp_replace(value, NUMBER_DECORATION, "")
-    number = F.when(cleaned.rlike(NUMBER_SHAPE), cleaned.try_cast("double"))
-    finite = F.when(F.abs(number) < float("inf"), number)
+    """Text such as $1,234.50 or (12%) as a double; parentheses negate; anything else is null.
+
+    Written so that every step is evaluated once per value.
+    """
+    cleaned = F.translate(value, NUMBER_DECORATION + WHITE_SPACE, "")
+    number = F.regexp_extract(cleaned, NUMBER_SHAPE, 0).try_cast("double")
+    finite = F.nullif(F.nullif(number, F.lit(float("inf"))), F.lit(float("-inf")))
     in_parentheses = value.contains("(") & value.contains(")")
-    return F.when(in_parentheses, -finite).otherwise(finite)
+    return finite * F.when(in_parentheses, -1.0).otherwise(1.0)
 
 
 def as_number(value: Column, type_name: str) -> Column:
