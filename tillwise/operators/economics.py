@@ -211,8 +211,10 @@ def pareto_curve(facts: DataFrame, dimension: str) -> DataFrame:
     """Entities by falling revenue with their share and the running share."""
     entities = exact_economics(facts, [dimension], sums=("revenue",), orders=False)
     order = [F.desc("revenue"), F.col(dimension)]
-    curve = running_totals(
-        entities.withColumn("_one", F.lit(1).cast("bigint")), order, {"_reached": "revenue", "rank": "_one"}
+    curve = durable(
+        running_totals(
+            entities.withColumn("_one", F.lit(1).cast("bigint")), order, {"_reached": "revenue", "rank": "_one"}
+        )
     )
     whole = curve.agg(F.sum("revenue")).scalar().cast("double")
     base = F.when(whole == 0, 1.0).otherwise(whole)

@@ -12,14 +12,20 @@ from tillwise.operators.validate import CHECKS
 from tillwise.schema import SCHEMA_VERSION
 
 
-def lineage_metadata(facts: DataFrame, column_count: int, status: str = "passed") -> DataFrame:
+def lineage_metadata(
+    facts: DataFrame,
+    column_count: int,
+    status: str = "passed",
+    schema_version: str = SCHEMA_VERSION,
+    checks: Sequence[str] = CHECKS,
+) -> DataFrame:
     """Size, date range and checks of a fact table in one row."""
     return facts.agg(
-        F.lit(SCHEMA_VERSION).alias("schema_version"),
+        F.lit(schema_version).alias("schema_version"),
         F.count("*").alias("row_count"),
         F.lit(column_count).alias("column_count"),
         F.lit(status).alias("validation_status"),
-        F.array(*[F.lit(c) for c in CHECKS]).alias("validation_checks"),
+        F.array(*[F.lit(c) for c in checks]).alias("validation_checks"),
         F.date_format(F.min("order_date"), "yyyy-MM-dd").alias("date_min"),
         F.date_format(F.max("order_date"), "yyyy-MM-dd").alias("date_max"),
     )

@@ -10,9 +10,10 @@ from pyspark.sql import types as T
 
 from tillwise.operators import discounts, economics, lineage, recommend, trends
 from tillwise.operators.facts import enrich, export_facts
+from tillwise.operators.ingest import UPLOAD_CHECKS
 from tillwise.operators.totals import with_units
 from tillwise.operators.validate import validate
-from tillwise.schema import RAW_COLUMNS
+from tillwise.schema import RAW_COLUMNS, UPLOAD_SCHEMA_VERSION
 from tillwise.session import configure, durable
 from tillwise.sources.sinks import write_sections
 
@@ -79,9 +80,10 @@ def build_report(
 
 def upload_sections(facts: DataFrame, column_count: int) -> dict[str, DataFrame]:
     """What an accepted upload is shown with before any filter is set."""
-    found = trends.revenue_anomalies(facts)
     return {
-        "metadata": lineage.lineage_metadata(facts, column_count),
+        "metadata": lineage.lineage_metadata(
+            facts, column_count, schema_version=UPLOAD_SCHEMA_VERSION, checks=UPLOAD_CHECKS
+        ),
         "filter_options": lineage.filter_options(facts),
         "summary": economics.view_kpis(facts).select(
             F.col("revenue").alias("net_revenue"),
@@ -96,7 +98,7 @@ def upload_sections(facts: DataFrame, column_count: int) -> dict[str, DataFrame]
             "average_selling_price",
             "cost",
         ),
-        "anomalies": found,
+        "anomalies": trends.revenue_anomalies(facts),
         "recommendations": recommend.dynamic_recommendations(facts),
         "records": facts,
     }

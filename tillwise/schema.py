@@ -74,4 +74,6 @@ FACT_COLUMNS = (
 # Optional narrow stand-in for order_id: equal exactly when order_id is equal.
 ORDER_KEY = "order_key"
 
+# Versions of the batch tables and of accepted uploads.
 SCHEMA_VERSION = "2.0.0"
+UPLOAD_SCHEMA_VERSION = "3.0.0-user-data"

@@ -16,9 +16,20 @@ SETTINGS = {
 }
 
 
-def configure(spark: SparkSession) -> SparkSession:
+# Shuffles start with partitions of about this size and are merged at run time where data shrank.
+PARTITION_BYTES = 256 * 1024 * 1024
+
+_local_checkpoints: list[tempfile.TemporaryDirectory] = []
+
+
+def configure(spark: SparkSession, stored_bytes: int | None = None) -> SparkSession:
+    """Apply the settings; with the size of the stored lines, also size the shuffles for them."""
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
+    if stored_bytes is not None:
+        usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        wanted = max(usual, -(-stored_bytes // PARTITION_BYTES))
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wanted))
     return spark
 
 
@@ -31,7 +42,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     if shared:
         context.setCheckpointDir(shared)
     elif context.master.startswith("local"):
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="tillwise-checkpoint-"))
+        _local_checkpoints.append(tempfile.TemporaryDirectory(prefix="tillwise-checkpoint-"))
+        context.setCheckpointDir(_local_checkpoints[-1].name)
     else:
         raise RuntimeError("Set spark.checkpoint.dir to a folder shared by all executors.")
 

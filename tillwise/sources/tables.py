@@ -10,7 +10,6 @@ from tillwise.operators.ordering import number_slices
 from tillwise.schema import RAW_SALES
 from tillwise.session import durable
 
-TEXT_SUFFIXES = (".csv", ".txt")
 UNREADABLE_SUFFIXES = (".xlsx", ".xls")
 
 
