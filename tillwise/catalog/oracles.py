@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from tillwise.operators.recommend import RULES
+
 FACTS = """
 lines AS (
   SELECT 'TXN-' || CAST(l_orderkey * 10 + l_linenumber AS VARCHAR) AS transaction_id,
@@ -547,6 +549,10 @@ def finding(
   round({rate}, 6) AS discount_rate, round({benchmark}, 6) AS benchmark {source}"""
 
 
+def advice(rule: str) -> str:
+    return f"'{RULES[rule][2]}'"
+
+
 NONE = "CAST(NULL AS VARCHAR)"
 NO_NUMBER = "CAST(NULL AS DOUBLE)"
 OWN = ("revenue", "profit", "margin", "discount_rate")
@@ -566,8 +572,8 @@ RECOMMENDATIONS = "found AS (\n" + "\nUNION ALL ".join(
             f"value || ' is a top-quartile revenue product but earns only ' || {pct('margin')} || ' gross margin.'",
             f"'It generated ' || {money('revenue')} || ' revenue and ' || {money('profit')} || "
             f"' gross profit, versus a product median margin of ' || {pct('med')} || '.'",
-            "A large revenue base is carrying weaker unit economics than the typical product, so growth may be less valuable than it appears.",
-            "'Review pricing, discount thresholds, and cost drivers for this product before increasing demand-generation spend.'",
+            RULES["global-product-margin-pressure"][1],
+            advice("global-product-margin-pressure"),
             *OWN, "med",
         ),
         finding(
@@ -577,8 +583,8 @@ RECOMMENDATIONS = "found AS (\n" + "\nUNION ALL ".join(
             f"h.value || ' carries the highest realized discount rate at ' || {pct('h.discount_rate')} || '.'",
             f"'Its discount rate is ' || {points('(h.discount_rate - l.discount_rate)')} || ' percentage points above ' || "
             f"l.value || ', while margin is ' || {pct('h.margin')} || '.'",
-            "Commercial volume in this channel is more dependent on price concessions, increasing the risk of margin leakage.",
-            "'Introduce approval bands for high-discount transactions and evaluate whether volume gains offset foregone gross profit.'",
+            RULES["global-channel-discount-spread"][1],
+            advice("global-channel-discount-spread"),
             *of("h"), "l.discount_rate",
         ),
         finding(
@@ -588,8 +594,8 @@ RECOMMENDATIONS = "found AS (\n" + "\nUNION ALL ".join(
             f"w.value || ' has the lowest regional margin at ' || {pct('w.margin')} || '.'",
             f"'That is ' || {points('(b.margin - w.margin)')} || ' percentage points below ' || b.value || ', on ' || "
             f"{money('w.revenue')} || ' revenue.'",
-            "The regional revenue mix is economically uneven and may reflect logistics cost, discount mix, or product mix differences.",
-            "'Decompose the regional gap by category and channel before setting a region-wide growth target.'",
+            RULES["global-regional-economics-gap"][1],
+            advice("global-regional-economics-gap"),
             *of("w"), "b.margin",
         ),
         finding(
@@ -598,8 +604,8 @@ RECOMMENDATIONS = "found AS (\n" + "\nUNION ALL ".join(
             f"value || ' contributes ' || {pct('revenue_share')} || ' of revenue but only ' || {pct('profit_share')} || "
             "' of gross profit.'",
             f"'Its realized gross margin is ' || {pct('margin')} || ' with a ' || {pct('discount_rate')} || ' discount rate.'",
-            "Revenue concentration in the category overstates its contribution to economic value.",
-            "'Prioritize high-margin products within the category and test lower discount ceilings on weak-margin combinations.'",
+            RULES["global-category-profit-underweight"][1],
+            advice("global-category-profit-underweight"),
             *OWN, "profit_share",
         ),
         finding(
@@ -607,8 +613,8 @@ RECOMMENDATIONS = "found AS (\n" + "\nUNION ALL ".join(
             5, "'global-segment-discount-governance'", "'medium'", "'customer_segment'", "value",
             f"value || ' receives the highest segment discount rate at ' || {pct('discount_rate')} || '.'",
             f"'The segment produced ' || {money('revenue')} || ' revenue at ' || {pct('margin')} || ' margin.'",
-            "Large negotiated discounts can be economically justified only if they are supported by sufficient volume, retention, or lower service cost.",
-            "'Create segment-specific discount guardrails tied to contribution margin rather than using revenue alone.'",
+            RULES["global-segment-discount-governance"][1],
+            advice("global-segment-discount-governance"),
             *OWN, NO_NUMBER,
         ),
         finding(
@@ -617,8 +623,8 @@ RECOMMENDATIONS = "found AS (\n" + "\nUNION ALL ".join(
             6, "'global-discount-pool'", "'info'", NONE, NONE,
             f"'The business gave up ' || {money('lost')} || ' of gross revenue through discounts.'",
             f"'Weighted realized discount is ' || {pct('r')} || '; gross margin after discount is ' || {pct('m')} || '.'",
-            "Even small improvements in discount discipline can materially change gross profit at this revenue scale.",
-            "'Track discount amount as a controllable investment and review the top product-channel combinations consuming it each month.'",
+            RULES["global-discount-pool"][1],
+            advice("global-discount-pool"),
             "revenue", "profit", "m", "r", "lost",
         ),
         finding(
@@ -627,8 +633,8 @@ RECOMMENDATIONS = "found AS (\n" + "\nUNION ALL ".join(
             7, "'scope-' || dimension || '-' || replace(lower(value), ' ', '-')", "'medium'", "dimension", "value",
             "value || ' is economically weaker than its peer median on margin or discount discipline.'",
             f"'Revenue ' || {money('revenue')} || ', margin ' || {pct('margin')} || ', discount ' || {pct('discount_rate')} || '.'",
-            "The filtered commercial slice deserves a mix, pricing, or cost review before pursuing additional volume.",
-            "'Inspect the next-level product and channel mix, then target the specific combinations driving the gap.'",
+            RULES["scope"][1],
+            advice("scope"),
             *OWN, "med",
         ),
     ]
@@ -663,8 +669,8 @@ DYNAMIC = query(
                 "value || ' is a revenue leader with weak realized margin.'",
                 f"'Revenue is ' || {number('revenue')} || ' while gross margin is ' || {pct('margin')} || "
                 f"', versus a product median of ' || {pct('med')} || '.'",
-                "Scaling demand without fixing economics can grow low-quality revenue.",
-                "'Review pricing, discount approval, and unit cost before increasing acquisition spend.'",
+                RULES["product-tension"][1],
+                advice("product-tension"),
                 *OWN, "med",
             ),
             finding(
@@ -673,8 +679,8 @@ DYNAMIC = query(
                 2, "'discount-spend'", "CASE WHEN discount_rate > 0.15 THEN 'high' ELSE 'medium' END", NONE, NONE,
                 f"'Discounting consumes ' || {pct('discount_rate')} || ' of gross revenue.'",
                 f"{number('discount_amount')} || ' of gross-to-net value is currently given away.'",
-                "Discount is a commercial investment and should be measured against incremental volume and profit.",
-                "'Rank customers, channels, and products by discount leakage and introduce approval bands for the weakest economics.'",
+                RULES["discount-spend"][1],
+                advice("discount-spend"),
                 *OWN, "discount_amount",
             ),
             finding(
@@ -686,7 +692,7 @@ DYNAMIC = query(
                 f"value || ' has the weakest ' || label || ' margin at ' || {pct('margin')} || '.'",
                 f"'The gap to ' || best || ' is ' || {points('(best_margin - margin)')} || ' percentage points on ' || "
                 f"{number('revenue')} || ' of revenue.'",
-                "The performance gap is large enough to justify a mix, pricing, or cost investigation.",
+                RULES["margin-gap"][1],
                 "'Decompose ' || value || ' by product and channel/customer mix before setting a blanket growth target.'",
                 *OWN, "best_margin",
             ),

@@ -155,7 +155,7 @@ def recommendations(
 
     The facts are read once, into the dimension summary; every rule works on that table.
     """
-    summary = durable(with_shares(dimension_economics(facts, orders=False)))
+    summary = with_shares(dimension_economics(facts, orders=False))
     extremes = durable(_extremes(summary))  # one row per dimension
     peers = column_statistics(
         summary,
