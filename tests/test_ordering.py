@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tillwise.operators import discounts
+from tillwise.operators import discounts, ordering
 from tillwise.operators.ordering import (
     average_ranks,
     column_statistics,
@@ -72,7 +72,7 @@ def test_average_ranks_share_ties(spark):
 
 @pytest.mark.parametrize("broadcast_rows", [100_000, 3])
 def test_spearman_is_exact_with_hot_values(spark, skewed, monkeypatch, broadcast_rows):
-    monkeypatch.setattr(discounts, "BROADCAST_ROWS", broadcast_rows)
+    monkeypatch.setattr(ordering, "BROADCAST_ROWS", broadcast_rows)
     monkeypatch.setattr(discounts, "HOT_SHARE", 20)
     pairs = [(v, round(v * v + (i % 13), 2)) for i, (_, v) in enumerate(skewed)] + [(None, 1.0), (1.0, None)]
     df = spark.createDataFrame(pairs, "x double, y double").repartition(7)
@@ -86,7 +86,9 @@ def test_spearman_is_exact_with_hot_values(spark, skewed, monkeypatch, broadcast
     assert got == pytest.approx(np.corrcoef(ranks(x), ranks(y))[0, 1], abs=1e-12)
 
 
-def test_rows_are_numbered_consecutively(spark):
+@pytest.mark.parametrize("broadcast_rows", [100_000, 1])
+def test_rows_are_numbered_consecutively(spark, monkeypatch, broadcast_rows):
+    monkeypatch.setattr(ordering, "BROADCAST_ROWS", broadcast_rows)
     df = spark.createDataFrame([((i * 7919) % 1000, f"r{i}") for i in range(1000)], "k bigint, t string").repartition(6)
     rows = with_row_index(df, ["k"], "n").collect()
     assert {r.n for r in rows} == set(range(1000))

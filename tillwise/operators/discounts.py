@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillwise.functions.ratios import ratio, ratio_or_zero
+from tillwise.operators import ordering
 from tillwise.operators.economics import cents, group_economics
 from tillwise.operators.ordering import average_ranks, order_statistics, quantile_position, running_totals
 from tillwise.operators.totals import total
@@ -22,8 +23,6 @@ DISCOUNT_BANDS = (
 )
 LOWEST_RATE = -0.001
 
-# A lookup table up to this many rows is broadcast whole; it has a few narrow columns.
-BROADCAST_ROWS = 100_000
 # Values on at least one row in this many are hot; there cannot be more than this many of them.
 HOT_SHARE = 1_000
 
@@ -103,7 +102,7 @@ def attach_per_value(df: DataFrame, table: DataFrame, value: str, rows: str) ->
     A table of checked size is broadcast. A larger one is split: values frequent enough to burden a
     task are few by arithmetic and are broadcast, the others are joined by shuffling.
     """
-    if table.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+    if table.limit(ordering.BROADCAST_ROWS + 1).count() <= ordering.BROADCAST_ROWS:
         return df.join(F.broadcast(table), value)
     heavy = F.col(rows) * HOT_SHARE >= table.agg(F.sum(rows)).scalar()
     hot, cold = table.where(heavy), table.where(~heavy)

@@ -16,6 +16,14 @@ from tillwise.session import durable
 
 SLICE = "_slice"
 
+# A table of a few narrow columns is broadcast by hint only after its rows were counted.
+BROADCAST_ROWS = 250_000
+
+
+def broadcast_if_small(df: DataFrame) -> DataFrame:
+    """Mark a written table for broadcasting if it has few enough rows, else leave it to a shuffle."""
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+
 
 def running_totals(
     df: DataFrame,
@@ -129,15 +137,16 @@ def with_row_index(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
 def number_slices(placed: DataFrame, keys: Sequence[str], name: str, slice_number: Column | None = None) -> DataFrame:
     """Turn places within slices into consecutive numbers across the slices in key order.
 
-    ``_place`` must rise by one from row to row of a slice. There is one offset row per slice, so
-    the table of offsets is bounded by the number of partitions or file splits and is broadcast.
+    ``_place`` must rise by one from row to row of a slice. There is one offset row per slice, that
+    is, per shuffle partition or file split; the offsets are counted before they are broadcast.
     """
     if slice_number is not None:
         placed = placed.withColumn(SLICE, slice_number)
     slices = placed.groupBy(*keys).agg(F.min("_place").alias("_first"), F.count("*").alias("_size"))
     earlier = Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = slices.select(*keys, "_first", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before"))
-    numbered = placed.join(F.broadcast(offsets), list(keys))
+    before = F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before")
+    offsets = durable(slices.select(*keys, "_first", before))
+    numbered = placed.join(broadcast_if_small(offsets), list(keys))
     return numbered.withColumn(name, F.col("_before") + F.col("_place") - F.col("_first")).drop(
         *keys, "_place", "_first", "_before"
     )
