@@ -14,6 +14,7 @@ from tillwise.functions.ratios import ratio_or_zero
 from tillwise.functions.text import plain_number, text_or
 from tillwise.operators.mapping import mapping_warnings, require_mapping
 from tillwise.schema import DIMENSIONS, FACT_COLUMNS
+from tillwise.session import durable
 
 ROW_INDEX = "row_index"  # 0-based position of a row in the upload
 MAX_ISSUES = 500
@@ -32,7 +33,7 @@ UPLOAD_CHECKS = (
 
 @dataclass(frozen=True)
 class Ingest:
-    """Lazy results of an upload; ``checked`` holds each distinct row with its parsed values."""
+    """Results of an upload; ``checked`` holds each distinct row with its parsed values."""
 
     rows: DataFrame
     checked: DataFrame
@@ -178,8 +179,10 @@ def check_rows(rows: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
             "Discount rate must be between 0% and <100%",
         ),
     )
-    issues = F.when(F.size(collected) > 0, collected).otherwise(F.array_compact(F.array(further)))
     kept = [c for c in parsed.columns if c not in rows.columns]
+    parsed = parsed.withColumn("_collected", collected)
+    several = F.col("_collected")
+    issues = F.when(F.size(several) > 0, several).otherwise(F.array_compact(F.array(further)))
     return parsed.select(ROW_INDEX, *kept, issues.alias("issues"))
 
 
@@ -242,6 +245,10 @@ def quality_report(rows: DataFrame, checked: DataFrame, mapping: Mapping[str, st
 
 
 def ingest(rows: DataFrame, mapping: Mapping[str, str]) -> Ingest:
-    """Check upload rows numbered by ``row_index`` under a column mapping."""
+    """Check upload rows numbered by ``row_index`` under a column mapping.
+
+    The checked rows are written out once: facts, issues and report all start from them, and a
+    filter on them cannot be pushed into the parsing and repeat it.
+    """
     require_mapping(mapping)
-    return Ingest(rows, check_rows(first_occurrences(rows), mapping), dict(mapping))
+    return Ingest(rows, durable(check_rows(first_occurrences(rows), mapping)), dict(mapping))

@@ -6,20 +6,17 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillwise.operators.ingest import ROW_INDEX, Ingest, check_rows, first_occurrences
-from tillwise.operators.mapping import infer_mapping, require_mapping
+from tillwise.operators.ingest import ROW_INDEX, Ingest, ingest
+from tillwise.operators.mapping import infer_mapping
 from tillwise.plans.report import upload_sections
-from tillwise.session import configure, durable
+from tillwise.session import configure
 from tillwise.sources.sinks import write_issues, write_sections
 from tillwise.sources.tables import read_upload
 
 
 def accept(rows: DataFrame, mapping: Mapping[str, str] | None = None) -> Ingest:
-    """Check numbered rows once, write the outcome out, and insist on at least one valid row."""
-    columns = [c for c in rows.columns if c != ROW_INDEX]
-    mapping = dict(mapping or infer_mapping(columns))
-    require_mapping(mapping)
-    result = Ingest(rows, durable(check_rows(first_occurrences(rows), mapping)), mapping)
+    """Check numbered rows and insist on at least one valid one."""
+    result = ingest(rows, mapping or infer_mapping([c for c in rows.columns if c != ROW_INDEX]))
     if result.facts.isEmpty():
         raise ValueError("No valid rows remain after validation. Review the mapping and source data.")
     return result
