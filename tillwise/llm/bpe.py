@@ -144,7 +144,7 @@ def decode(docs: DataFrame, path: str, ids: str = "ids", text: str = "decoded")
         decoder = tokenizer_at(path)
         for batch in batches:
             lists = batch.column(len(kept))
-            values = lists.flatten().to_pylist()
+            values = lists.flatten().to_numpy().tolist()
             sizes = lists.value_lengths().fill_null(0).to_pylist()
             texts, at = [], 0
             for size in sizes:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +28,14 @@ DDL = {
 }
 
 
-def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
+def prepare(spark: SparkSession) -> None:
+    """Short Arrow batches, and Python workers that find this package where it lies in the same place as here."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
+
+
+def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    prepare(spark)
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
@@ -54,6 +61,7 @@ def with_results(df: DataFrame, column: str, added: Mapping[str, pa.DataType], f
     `function` gets the batch's texts (None for null) and returns one sequence or Arrow array per added column.
     A column of the table with the name of an added one is replaced.
     """
+    prepare(df.sparkSession)
     lowered = {name.lower() for name in added}
     kept = [name for name in df.columns if name.lower() not in lowered]
     (source,) = fresh_names(df, "text_in", avoid=added)

@@ -170,11 +170,16 @@ def links(distinct: DataFrame, name: str = "fingerprint", bits: int = BITS) -> D
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
                 keys, prints = keys[whole:], prints[whole:]
 
-    keys = distinct.select(F.col(quoted(name)).alias("print")).mapInArrow(keyed, "key int, print bigint")
+    keys = spread(distinct.select(F.col(quoted(name)).alias("print"))).mapInArrow(keyed, "key int, print bigint")
     dealt = keys.repartition(F.col("key")).sortWithinPartitions("key")
     return dealt.mapInArrow(compared, "a bigint, b bigint").distinct()
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Narrow rows that are about to become many: a given number of partitions is not merged at run time."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), df.columns[0])
+
+
 def gathered(batches: Iterator[pa.RecordBatch], kinds: tuple, rows: int = 100_000) -> Iterator[tuple[list[np.ndarray], bool]]:
     """The columns in parts of about so many rows, and whether it is the last part."""
     held: list[pa.RecordBatch] = []
@@ -266,6 +271,8 @@ def candidates_within(keys: np.ndarray, nodes: np.ndarray, own: np.ndarray, othe
     that differs from bucket to bucket.
     """
 
+    own, other = own.view(np.uint64), other.view(np.uint64)  # bits of signed numbers would be those of their absolute values
+
     def near(x, y):
         return (np.bitwise_count(own[x] ^ own[y]) <= own_bits) & (np.bitwise_count(other[x] ^ other[y]) <= other_bits)
 
@@ -319,7 +326,7 @@ def candidate_pairs(distinct: DataFrame, prints: int, own_bits: int, other_bits:
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
                 columns = [x[whole:] for x in columns]
 
-    fed = distinct.select("node", *[f"f{i}" for i in range(prints)])
+    fed = spread(distinct.select("node", *[f"f{i}" for i in range(prints)]))
     keys = fed.mapInArrow(keyed, "key int, node bigint, own bigint, other bigint")
     return keys.repartition(F.col("key")).sortWithinPartitions("key").mapInArrow(compared, "a bigint, b bigint").distinct()
 
@@ -335,7 +342,7 @@ def similar_classes(
     """
     names = [f"f{i}" for i in range(prints)]
     own = docs.select(F.col(quoted(key)).alias("key"), F.coalesce(F.col(quoted(text)), F.lit("")).alias("text")).withColumn("node", F.xxhash64("text"))
-    marked = with_results(own, "text", {x: pa.int64() for x in names}, lambda found: list(zip(*(similar_prints(x, size, prints) for x in found), strict=True)))
+    marked = with_results(own, "text", {x: pa.int64() for x in names}, lambda found: np.array([similar_prints(x, size, prints) for x in found], dtype=np.int64).reshape(-1, prints).T)
     table = written(marked.groupBy("node").agg(F.min(F.struct(F.col("key").isNull().alias("none"), "key")).alias("least"), *[F.min(x).alias(x) for x in names]))
     pairs = written(candidate_pairs(table, prints, bits_for(similarity, 1), bits_for(similarity, 4)))
     # the sets of the texts that are in a pair, one document for each text

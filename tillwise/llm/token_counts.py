@@ -104,6 +104,7 @@ def count_tokens(docs: DataFrame, path: str, text: str = "text", name: str = "n_
     """Add the number of tokens and of pre-tokens of every whole text."""
 
     def run(texts):
-        return list(zip(*counter_at(path).count(texts), strict=True))
+        counted = counter_at(path).count(texts)
+        return [[x[0] for x in counted], [x[1] for x in counted]]
 
     return with_results(docs, text, {name: pa.int64(), "n_words": pa.int64()}, run)
