@@ -244,6 +244,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", bi
 SIMILARITY = 0.8
 SIMILAR_SHINGLE = 5
 PRINTS = 2
+#: Bucket sizes up to which all pairs are candidates, and links of a node in a larger one.
+FEW, LINKS = 12, 2
 
 
 def similar_prints(text: str | None, size: int, prints: int) -> list[int]:
@@ -258,28 +260,28 @@ def similar_prints(text: str | None, size: int, prints: int) -> list[int]:
     return found
 
 
-def bits_for(similarity: float, deviations: float) -> int:
-    """Differing bits of 64 between sets of that similarity: the mean and so many standard deviations."""
+def bits_for(similarity: float, deviations: float = 1.5, bits: int = 128) -> int:
+    """Differing bits between two fingerprints each of sets of that similarity: the mean and so many standard deviations."""
     share = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    return math.ceil(64 * share + deviations * math.sqrt(64 * share * (1 - share)))
+    return math.ceil(bits * share + deviations * math.sqrt(bits * share * (1 - share)))
 
 
-def candidates_within(keys: np.ndarray, nodes: np.ndarray, own: np.ndarray, other: np.ndarray, own_bits: int, other_bits: int) -> tuple[np.ndarray, np.ndarray]:
+def candidates_within(keys: np.ndarray, nodes: np.ndarray, own: np.ndarray, other: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of nodes of one bucket whose fingerprints are near enough.
 
-    In buckets of up to `WALK` nodes all pairs; in larger ones every node with the first one it is near to, in an order
-    that differs from bucket to bucket.
+    In buckets of up to `FEW` nodes all pairs; in larger ones every node with the `LINKS` smallest ones it is near to. The
+    members of a large group meet in many buckets, each with smallest ones of its own.
     """
 
     own, other = own.view(np.uint64), other.view(np.uint64)  # bits of signed numbers would be those of their absolute values
 
     def near(x, y):
-        return (np.bitwise_count(own[x] ^ own[y]) <= own_bits) & (np.bitwise_count(other[x] ^ other[y]) <= other_bits)
+        return np.bitwise_count(own[x] ^ own[y]) + np.bitwise_count(other[x] ^ other[y]) <= bits
 
     starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
     sizes = np.diff(np.concatenate([starts, [len(keys)]]))
     a, b = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
-    at = np.flatnonzero(np.repeat(sizes <= WALK, sizes))
+    at = np.flatnonzero(np.repeat(sizes <= FEW, sizes))
     step = 1
     while len(at):
         at = at[at + step < len(keys)]
@@ -288,19 +290,20 @@ def candidates_within(keys: np.ndarray, nodes: np.ndarray, own: np.ndarray, othe
         a.append(nodes[found])
         b.append(nodes[found + step])
         step += 1
-    for start, size in zip(starts[sizes > WALK].tolist(), sizes[sizes > WALK].tolist(), strict=True):
-        order = nodes[start : start + size].view(np.uint64) * np.uint64(2 * int(keys[start]) + 0x9E3779B1)
-        left = start + np.argsort(order, kind="stable")
+    for start, size in zip(starts[sizes > FEW].tolist(), sizes[sizes > FEW].tolist(), strict=True):
+        left = start + np.argsort(nodes[start : start + size], kind="stable")
+        times = np.zeros(len(left), dtype=np.int8)
         while len(left) > 1:
-            first, left = left[0], left[1:]
+            first, left, times = left[0], left[1:], times[1:]
             close = near(left, first)
             a.append(np.full(int(close.sum()), nodes[first]))
             b.append(nodes[left[close]])
-            left = left[~close]
+            times = times + close
+            left, times = left[times < LINKS], times[times < LINKS]
     return np.concatenate(a), np.concatenate(b)
 
 
-def candidate_pairs(distinct: DataFrame, prints: int, own_bits: int, other_bits: int) -> DataFrame:
+def candidate_pairs(distinct: DataFrame, prints: int, bits: int) -> DataFrame:
     """Distinct pairs (`a` < `b`) of nodes that share a pair of keys in some fingerprint and are near in two of them."""
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -322,7 +325,7 @@ def candidate_pairs(distinct: DataFrame, prints: int, own_bits: int, other_bits:
             keys = columns[0]
             whole = len(keys) if ended or not len(keys) else int((keys == keys[-1]).argmax())
             if whole:
-                a, b = candidates_within(*(x[:whole] for x in columns), own_bits, other_bits)
+                a, b = candidates_within(*(x[:whole] for x in columns), bits)
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
                 columns = [x[whole:] for x in columns]
 
@@ -344,7 +347,7 @@ def similar_classes(
     own = docs.select(F.col(quoted(key)).alias("key"), F.coalesce(F.col(quoted(text)), F.lit("")).alias("text")).withColumn("node", F.xxhash64("text"))
     marked = with_results(own, "text", {x: pa.int64() for x in names}, lambda found: np.array([similar_prints(x, size, prints) for x in found], dtype=np.int64).reshape(-1, prints).T)
     table = written(marked.groupBy("node").agg(F.min(F.struct(F.col("key").isNull().alias("none"), "key")).alias("least"), *[F.min(x).alias(x) for x in names]))
-    pairs = written(candidate_pairs(table, prints, bits_for(similarity, 1), bits_for(similarity, 4)))
+    pairs = written(candidate_pairs(table, prints, bits_for(similarity)))
     # the sets of the texts that are in a pair, one document for each text
     needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     chosen = table.join(needed, "node", "left_semi").select(F.col("node").alias("n"), F.col("least.key").alias("k"))
