@@ -5,7 +5,7 @@ sensitive word, or inside code, is a candidate. Its novelty is its marginal comp
 zstandard frame takes with the candidate than without, where the compressor is primed with a dictionary of identifiers and
 the frame holds the text around the candidate. A word, an identifier or anything the surroundings repeat adds a few
 bytes; a random key is incompressible and adds nearly its entropy. Candidates in a sensitive context with at least
-`MIN_BITS` bits a character are reported.
+`MIN_BITS` bits a character (`MIN_BITS_LONG` beyond `LONG` characters) are reported.
 
 Spans are code points, end exclusive. Null and empty texts have none. Equal texts have equal spans.
 """
@@ -40,7 +40,8 @@ SENSITIVE = ("password", "passwd", "pwd", "secret", "token", "apikey", "api_key"
 CONTEXT = re.compile("|".join(map(any_case, SENSITIVE)))
 CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,200}(?![A-Za-z0-9+/_=-])")
 BEFORE, AROUND = 48, 256
-MIN_BITS = 3.6
+#: Random letters and digits cost 8 bits each in short strings; in long ones the compressor codes them in 6.
+MIN_BITS, MIN_BITS_LONG, LONG = 6.8, 5.8, 64
 #: Identifiers and words that code and settings are full of; they prime the compressor.
 IDENTIFIERS = (
     "import from return class def function const let var public private static void string integer boolean number object "
@@ -94,7 +95,7 @@ def novel_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int,
             continue
         if not CONTEXT.search(text, max(0, start - BEFORE), start):
             continue
-        if marginal_bits(text, start, end) >= MIN_BITS:
+        if marginal_bits(text, start, end) >= (MIN_BITS if end - start <= LONG else MIN_BITS_LONG):
             found.append((start, 3, end))
     return found
 
