@@ -15,7 +15,7 @@ GOOD = ["2026-01-05", "INV-1", "Alpha", "2", "1000", "600", "West", "10"]
 
 
 def upload(spark, *rows, columns=COLUMNS):
-    schema = ", ".join(f"`{c}` string" for c in columns) + ", row_index bigint"
+    schema = ", ".join(f"`{c}` string" for c in columns) + ", _tillwise_row bigint"
     return spark.createDataFrame([(*row, i) for i, row in enumerate(rows)], schema).repartition(3)
 
 
@@ -166,8 +166,8 @@ def csv(tmp_path):
 
 
 def test_csv_reading(spark, csv):
-    rows = sorted(read_upload(spark, csv).collect(), key=lambda r: r.row_index)
-    assert [r.row_index for r in rows] == [0, 1, 2, 3]
+    rows = sorted(read_upload(spark, csv).collect(), key=lambda r: r._tillwise_row)
+    assert [r._tillwise_row for r in rows] == [0, 1, 2, 3]
     assert rows[0]["SKU Name"] == 'Alpha, "large"\nsize' and rows[0]["Invoice No"] == "INV-1"
     assert rows[1]["Region"] == ""
 
@@ -176,8 +176,8 @@ def test_rows_of_several_files_are_numbered_through(spark, tmp_path):
     for i in range(5):
         lines = "\n".join(f"2026-01-0{i + 1},P{i}-{j},{j + 1},1" for j in range(40))
         (tmp_path / f"part-{i}.csv").write_text("Date,Item,Sales,COGS\n" + lines + "\n")
-    rows = sorted(read_upload(spark, str(tmp_path)).collect(), key=lambda r: r.row_index)
-    assert [r.row_index for r in rows] == list(range(200))
+    rows = sorted(read_upload(spark, str(tmp_path)).collect(), key=lambda r: r._tillwise_row)
+    assert [r._tillwise_row for r in rows] == list(range(200))
     assert [r.Item for r in rows] == [f"P{i}-{j}" for i in range(5) for j in range(40)]
 
 
@@ -202,3 +202,22 @@ def test_upload_end_to_end(spark, csv, tmp_path):
     assert spark.read.parquet(f"{out}/metadata").first().row_count == 2
     assert view_kpis(result.facts).first().units == 3
     write_issues(result.preview, f"{out}/preview")
+
+
+def test_no_header_can_hide_rows_or_columns(spark, tmp_path):
+    path = tmp_path / "odd.csv"
+    path.write_text("row_index,_file,_place, Item ,Item,_date,item\n1,a,x,old,A,q,1\n2,a,x,old,A,q,1\n2,b,x,old,A,q,1\n\t,,,,,,\n")
+    rows = read_upload(spark, str(path))
+    assert rows.count() == 3
+    first = rows.orderBy("_tillwise_row").first()
+    assert (first["row_index"], first["_file"], first["_place"], first["Item"], first["_date"], first["item (2)"]) == ("1", "a", "x", "A", "q", "1")
+    (tmp_path / "reserved.csv").write_text("_tillwise_row,b\n1,2\n")
+    with pytest.raises(ValueError, match="reserved"):
+        read_upload(spark, str(tmp_path / "reserved.csv"))
+
+
+def test_rows_that_differ_in_a_clashing_column_are_kept(spark, tmp_path):
+    path = tmp_path / "clash.csv"
+    path.write_text("Date,Item,Sales,COGS,row_index,_date\n2026-01-05,A,10,5,1,x\n2026-01-05,A,10,5,2,x\n2026-01-05,A,10,5,2,x\n")
+    result = load_upload(spark, str(path), str(tmp_path / "out"))
+    assert result.facts.count() == 2 and result.duplicates.count() == 1

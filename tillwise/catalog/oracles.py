@@ -726,15 +726,24 @@ CHECKS = (
 )
 LINEAGE = query(
     f"""SELECT '2.0.0' AS schema_version, count(*) AS row_count, CAST(12 AS BIGINT) AS column_count,
-  'passed' AS validation_status, '{CHECKS}' AS validation_checks,
+  CASE WHEN count(DISTINCT transaction_id) < count(*) OR min(order_date) < DATE '1996-01-01'
+    OR max(order_date) > DATE '2001-01-01' THEN 'failed' ELSE 'passed' END AS validation_status,
+  '{CHECKS}' AS validation_checks,
   strftime(min(order_date), '%Y-%m-%d') AS date_min, strftime(max(order_date), '%Y-%m-%d') AS date_max FROM facts"""
 )
+FINGERPRINT_LINE = " || ".join(
+    f"CASE WHEN {c} IS NULL THEN '-' ELSE length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR) END"
+    for c in (
+        "transaction_id", "order_id", "order_date", "region", "channel", "customer_segment", "category", "product",
+        "quantity", "gross", "discount_rate", "unit_cost",
+    )
+)
 FINGERPRINT = query(
-    """SELECT fingerprint, row_count,
+    f"""SELECT fingerprint, row_count,
   substr(sha256(fingerprint || '|' || CAST(row_count AS VARCHAR) || '|2.0.0|0'), 1, 16) AS build_id
-FROM (SELECT CAST(sum(('0x' || substr(sha256(concat_ws('|', transaction_id, order_id, order_date, region, channel,
-        customer_segment, category, product, quantity, gross, discount_rate, unit_cost)), 1, 8))::BIGINT) AS VARCHAR)
-        AS fingerprint, count(*) AS row_count FROM facts)"""
+FROM (SELECT CAST(sum(('0x' || substr(digest, 1, 16))::UBIGINT) AS VARCHAR) || '-'
+        || CAST(sum(('0x' || substr(digest, 17, 16))::UBIGINT) AS VARCHAR) AS fingerprint, count(*) AS row_count
+      FROM (SELECT sha256({FINGERPRINT_LINE}) AS digest FROM facts))"""
 )
 FILTER_OPTIONS = query("SELECT DISTINCT dimension, value FROM sliced WHERE value <> ''", BY_DIMENSION)
 
@@ -955,6 +964,7 @@ ORACLES: dict[str, str] = {
         f"coalesce((SELECT month FROM months WHERE month = {CALENDAR_BEFORE.format(n=1)}), {PRESENT_BEFORE})",
     ),
     "period_brief_yoy": brief("yoy", CALENDAR_BEFORE.format(n=12)),
+    "period_drivers_latest": drivers(LAST_MONTH, MONTH_BEFORE_LAST),
     "period_drivers_mom": drivers(LAST_MONTH, MONTH_BEFORE_LAST),
     "period_drivers_yoy": drivers(LAST_COMPLETE, YEAR_BEFORE_COMPLETE),
     "opportunity_radar": OPPORTUNITY_RADAR,
@@ -974,6 +984,8 @@ ORACLES: dict[str, str] = {
     "dataset_fingerprint": FINGERPRINT,
     "filter_options": FILTER_OPTIONS,
     "validation_report": VALIDATION,
+    "check_summary": f"""SELECT "check", CAST(sum(violations) AS BIGINT) AS violations,
+  CASE WHEN sum(violations) = 0 THEN 'passed' ELSE 'failed' END AS status FROM ({VALIDATION}) GROUP BY "check" """,
     "duplicate_ids": DUPLICATE_IDS,
     "parse_number": PARSE_NUMBER,
     "parse_date": PARSE_DATE,

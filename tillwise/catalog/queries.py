@@ -14,9 +14,9 @@ from tillwise.functions.parsing import parse_date, parse_number
 from tillwise.operators import changes, discounts, economics, forecast, lineage, opportunity, recommend, trends
 from tillwise.operators.facts import exact_money, export_facts
 from tillwise.operators.filters import Filters, filter_facts
-from tillwise.operators.ingest import Ingest, ingest
+from tillwise.operators.ingest import ROW_INDEX, Ingest, ingest
 from tillwise.operators.mapping import infer_mapping
-from tillwise.operators.validate import duplicate_ids, validation_report
+from tillwise.operators.validate import check_summary, duplicate_ids, gate_status, validation_report
 from tillwise.plans.report import COMBINATIONS
 from tillwise.schema import DIMENSIONS, RAW_COLUMNS, UNITS
 from tillwise.session import configure
@@ -82,7 +82,7 @@ def on_upload(view: Callable[[Ingest], DataFrame], digits: Mapping[str, int] | N
     def run(spark: SparkSession, folder: str) -> DataFrame:
         configure(spark)
         rows = sales_upload(spark, folder)
-        mapping = infer_mapping([c for c in rows.columns if c != "row_index"])
+        mapping = infer_mapping([c for c in rows.columns if c != ROW_INDEX])
         return tidy(view(ingest(rows, mapping)), digits)
 
     return run
@@ -94,6 +94,12 @@ def validation(spark: SparkSession, folder: str) -> DataFrame:
     return tidy(report)
 
 
+def lineage_row(spark: SparkSession, folder: str) -> DataFrame:
+    """Size and dates of the facts, with the outcome of the gate over the same rows."""
+    status = gate_status(validation(spark, folder))
+    return tidy(lineage.lineage_metadata(sales_facts(spark, folder, ("order_date",)), len(RAW_COLUMNS), status))
+
+
 def duplicates(spark: SparkSession, folder: str) -> DataFrame:
     configure(spark)
     return tidy(duplicate_ids(sales_facts(spark, folder, ()).select("transaction_id")))
@@ -206,6 +212,7 @@ QUERIES: dict[str, Query] = {
     "what_changed": on_facts(changes.what_changed, *ECONOMICS, *CALENDAR),
     "period_brief_mom": on_facts(lambda f: changes.period_brief(f, "mom"), *ECONOMICS, *CALENDAR),
     "period_brief_yoy": on_facts(lambda f: changes.period_brief(f, "yoy"), *ECONOMICS, *CALENDAR),
+    "period_drivers_latest": on_facts(lambda f: changes.period_drivers(f, "latest"), *CALENDAR, *DIMENSIONS),
     "period_drivers_mom": on_facts(lambda f: changes.period_drivers(f, "mom"), *CALENDAR, *DIMENSIONS),
     "period_drivers_yoy": on_facts(
         lambda f: changes.period_drivers(f, "yoy", complete_only=True), *CALENDAR, *DIMENSIONS
@@ -251,10 +258,11 @@ QUERIES: dict[str, Query] = {
         lambda f: f.drop("order_key", *UNITS.values()), *ECONOMICS, *CALENDAR, *DIMENSIONS
     ),
     "fact_export": on_facts(export_facts, *ECONOMICS, *CALENDAR, *DIMENSIONS),
-    "lineage_metadata": on_facts(lambda f: lineage.lineage_metadata(f, len(RAW_COLUMNS)), "order_date"),
+    "lineage_metadata": lineage_row,
     "dataset_fingerprint": fingerprint,
     "filter_options": on_facts(lineage.filter_options, *DIMENSIONS),
     "validation_report": validation,
+    "check_summary": lambda spark, folder: tidy(check_summary(validation(spark, folder))),
     "duplicate_ids": duplicates,
     "parse_number": numbers,
     "parse_date": dates,

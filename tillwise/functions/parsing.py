@@ -92,6 +92,20 @@ def parse_date(value: Column) -> Column:
     )
 
 
+def strict_number(value: Column, type_name: str) -> Column:
+    """A finite number; text must be written as a plain one. Anything else (1d, NaN, Infinity) is null."""
+    number = F.regexp_extract(F.trim(value), NUMBER_SHAPE, 0).try_cast("double") if type_name == "string" else value.cast("double")
+    return F.when(~F.isnan(number) & (F.abs(number) < float("inf")), number)
+
+
+def strict_date(value: Column, type_name: str) -> Column:
+    """A date; text must be an ISO date that exists, with or without a time. Anything else is null."""
+    if type_name in ("date", "timestamp", "timestamp_ntz"):
+        return value.cast("date")
+    text = F.trim(value.cast("string"))
+    return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}.*)?$"), F.substring(text, 1, 10).try_cast("date"))
+
+
 def as_date(value: Column, type_name: str) -> Column:
     """Dates pass through, day numbers count from the spreadsheet epoch, text is parsed."""
     if type_name in ("date", "timestamp", "timestamp_ntz"):

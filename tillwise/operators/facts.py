@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillwise.functions.calendar import calendar_columns
+from tillwise.functions.parsing import strict_date, strict_number
 from tillwise.functions.ratios import ratio
 from tillwise.schema import FACT_COLUMNS, MONEY, MONEY_COLUMNS
 
@@ -51,8 +52,11 @@ def add_calendar(df: DataFrame) -> DataFrame:
 
 
 def enrich(raw: DataFrame) -> DataFrame:
-    """Facts from a raw sales table with list prices and unit costs."""
-    typed = raw.withColumn("order_date", F.col("order_date").cast("date"))
+    """Facts from a raw sales table with list prices and unit costs; text is read as the strict gate reads it."""
+    types = {f.name: f.dataType.typeName() for f in raw.schema.fields}
+    numbers = ("quantity", "list_price", "discount_rate", "unit_cost")
+    read = {c: strict_number(F.col(c), "string") for c in numbers if types[c] == "string"}
+    typed = raw.withColumns({**read, "order_date": strict_date(F.col("order_date"), types["order_date"])})
     return add_calendar(add_economics(price_lines(typed)))
 
 

@@ -14,9 +14,9 @@ from tillwise.functions.ratios import ratio_or_zero
 from tillwise.functions.text import plain_number, text_or
 from tillwise.operators.mapping import mapping_warnings, require_mapping
 from tillwise.schema import DIMENSIONS, FACT_COLUMNS
-from tillwise.session import durable
+from tillwise.session import stored
 
-ROW_INDEX = "row_index"  # 0-based position of a row in the upload
+ROW_INDEX = "_tillwise_row"  # 0-based position of a row in the upload; no upload may have such a header
 MAX_ISSUES = 500
 
 # The checks an upload goes through.
@@ -126,20 +126,27 @@ def check_rows(rows: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
             return F.lit(default) if isinstance(default, str) else default
         return text_or(source.cast("string"), default)
 
-    parsed = rows.withColumns(
-        {
-            "_date": as_date(column("order_date"), types[mapping["order_date"]]),
-            "_order": text("order_id", _serial("ROW-")),
-            "_product": text("product", "Unspecified product"),
-            **{f"_{d}": text(d, "Unspecified") for d in DIMENSIONS if d != "product"},
-            "_quantity": number("quantity", 1.0),
-            "_revenue": number("net_revenue"),
-            "_given_cost": number("cost"),
-            "_given_profit": number("gross_profit"),
-            "_given_rate": F.coalesce(number("discount_rate", 0.0), F.lit(0.0)),
-            "_given_discount": number("discount_amount"),
-        }
-    )
+    # Only the numbered row and what is parsed from it go on, so that no source column can clash with a parsed one.
+    first_parsed = {
+        "_date": as_date(column("order_date"), types[mapping["order_date"]]),
+        "_order": text("order_id", _serial("ROW-")),
+        "_product": text("product", "Unspecified product"),
+        **{f"_{d}": text(d, "Unspecified") for d in DIMENSIONS if d != "product"},
+        "_quantity": number("quantity", 1.0),
+        "_revenue": number("net_revenue"),
+        "_given_cost": number("cost"),
+        "_given_profit": number("gross_profit"),
+        "_given_rate": F.coalesce(number("discount_rate", 0.0), F.lit(0.0)),
+        "_given_discount": number("discount_amount"),
+    }
+    source_values = {
+        "_source_date": shown("order_date"),
+        "_source_revenue": shown("net_revenue"),
+        "_source_quantity": shown("quantity"),
+        "_source_rate": shown("discount_rate"),
+    }
+    named = {**first_parsed, **source_values}
+    parsed = rows.select(ROW_INDEX, *[value.alias(name) for name, value in named.items()])
     rate = F.col("_given_rate")
     parsed = parsed.withColumns(
         {
@@ -151,15 +158,15 @@ def check_rows(rows: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
     revenue, quantity = F.col("_revenue"), F.col("_quantity")
     collected = F.array_compact(
         F.array(
-            _problem(F.col("_date").isNull(), "order_date", shown("order_date"), "Unparseable or missing date"),
+            _problem(F.col("_date").isNull(), "order_date", F.col("_source_date"), "Unparseable or missing date"),
             _problem(
                 revenue.isNull() | (revenue < 0),
                 "net_revenue",
-                shown("net_revenue"),
+                F.col("_source_revenue"),
                 "Revenue must be a non-negative number",
             ),
             _problem(
-                quantity.isNull() | (quantity <= 0), "quantity", shown("quantity"), "Quantity must be positive"
+                quantity.isNull() | (quantity <= 0), "quantity", F.col("_source_quantity"), "Quantity must be positive"
             ),
             _problem(
                 F.col("_given_cost").isNull() & F.col("_given_profit").isNull(),
@@ -175,11 +182,11 @@ def check_rows(rows: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
         _problem(
             (F.col("_rate") < 0) | (F.col("_rate") >= 1),
             "discount_rate",
-            shown("discount_rate"),
+            F.col("_source_rate"),
             "Discount rate must be between 0% and <100%",
         ),
     )
-    kept = [c for c in parsed.columns if c not in rows.columns]
+    kept = [c for c in parsed.columns if c != ROW_INDEX and c not in source_values]
     parsed = parsed.withColumn("_collected", collected)
     several = F.col("_collected")
     issues = F.when(F.size(several) > 0, several).otherwise(F.array_compact(F.array(further)))
@@ -245,10 +252,10 @@ def quality_report(rows: DataFrame, checked: DataFrame, mapping: Mapping[str, st
 
 
 def ingest(rows: DataFrame, mapping: Mapping[str, str]) -> Ingest:
-    """Check upload rows numbered by ``row_index`` under a column mapping.
+    """Check upload rows numbered by ``ROW_INDEX`` under a column mapping.
 
     The checked rows are written out once: facts, issues and report all start from them, and a
     filter on them cannot be pushed into the parsing and repeat it.
     """
     require_mapping(mapping)
-    return Ingest(rows, durable(check_rows(first_occurrences(rows), mapping)), dict(mapping))
+    return Ingest(rows, stored(check_rows(first_occurrences(rows), mapping)), dict(mapping))

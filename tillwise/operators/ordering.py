@@ -12,9 +12,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillwise.session import durable
+from tillwise.session import durable, stored
 
-SLICE = "_slice"
+SLICE = "_tillwise_slice"
 
 # A table of a few narrow columns is broadcast by hint only after its rows were counted.
 BROADCAST_ROWS = 250_000
@@ -130,23 +130,23 @@ def average_ranks(df: DataFrame, value: str, rank: str) -> DataFrame:
 def with_row_index(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
     """Consecutive 0-based numbers in a unique order; the rows are shuffled once."""
     ordered = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    placed = durable(ordered.withColumn("_place", F.monotonically_increasing_id()))
-    return number_slices(placed, [SLICE], name, F.shiftright("_place", 33))
+    placed = stored(ordered.withColumn("_tillwise_place", F.monotonically_increasing_id()))
+    return number_slices(placed, [SLICE], name, F.shiftright("_tillwise_place", 33))
 
 
 def number_slices(placed: DataFrame, keys: Sequence[str], name: str, slice_number: Column | None = None) -> DataFrame:
     """Turn places within slices into consecutive numbers across the slices in key order.
 
-    ``_place`` must rise by one from row to row of a slice. There is one offset row per slice, that
+    ``_tillwise_place`` must rise by one from row to row of a slice. There is one offset row per slice, that
     is, per shuffle partition or file split; the offsets are counted before they are broadcast.
     """
     if slice_number is not None:
         placed = placed.withColumn(SLICE, slice_number)
-    slices = placed.groupBy(*keys).agg(F.min("_place").alias("_first"), F.count("*").alias("_size"))
+    slices = placed.groupBy(*keys).agg(F.min("_tillwise_place").alias("_tillwise_first"), F.count("*").alias("_tillwise_size"))
     earlier = Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before")
-    offsets = durable(slices.select(*keys, "_first", before))
+    before = F.coalesce(F.sum("_tillwise_size").over(earlier), F.lit(0)).alias("_tillwise_before")
+    offsets = durable(slices.select(*keys, "_tillwise_first", before))
     numbered = placed.join(broadcast_if_small(offsets), list(keys))
-    return numbered.withColumn(name, F.col("_before") + F.col("_place") - F.col("_first")).drop(
-        *keys, "_place", "_first", "_before"
+    return numbered.withColumn(name, F.col("_tillwise_before") + F.col("_tillwise_place") - F.col("_tillwise_first")).drop(
+        *keys, "_tillwise_place", "_tillwise_first", "_tillwise_before"
     )

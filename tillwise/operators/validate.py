@@ -7,8 +7,9 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillwise.functions.parsing import as_date
+from tillwise.functions.parsing import strict_date, strict_number
 from tillwise.schema import RAW_COLUMNS
+from tillwise.session import durable
 
 # The checks of a report, in the order they are applied.
 CHECKS = (
@@ -43,10 +44,8 @@ def _row_rules(df: DataFrame, as_of: dt.date, min_date: dt.date) -> list[tuple[s
     """(check, message, violated, example) of every rule that looks at one row."""
     text = {c: F.col(c).cast("string") for c in RAW_COLUMNS}
     stored_as = {f.name: f.dataType.typeName() for f in df.schema.fields}
-    number = {
-        c: text[c].try_cast("double") if stored_as[c] == "string" else F.col(c).cast("double") for c in NUMERIC_COLUMNS
-    }
-    date = as_date(F.col("order_date"), stored_as["order_date"])
+    number = {c: strict_number(F.col(c), stored_as[c]) for c in NUMERIC_COLUMNS}
+    date = strict_date(F.col("order_date"), stored_as["order_date"])
     quantity, price, discount, unit_cost = (number[c] for c in NUMERIC_COLUMNS)
     gross = quantity * price
     rules = [
@@ -147,11 +146,13 @@ def validation_report(
     ids_position = first + len(RAW_COLUMNS)  # ids are checked after nulls
     positions = [first + i + (i >= len(RAW_COLUMNS)) for i in range(len(rules))]
     counts = df.agg(*[F.count_if(violated).alias(f"rule_{i}") for i, (_, _, violated, _) in enumerate(rules)]).first()
-    repeats = duplicate_ids(df)
+    repeats = durable(duplicate_ids(df))  # read for the total and for examples
     repeated = repeats.agg(F.coalesce(F.sum(F.col("occurrences") - 1), F.lit(0)).alias("n")).first().n
 
-    broken = [(position, rule) for position, rule, n in zip(positions, rules, counts) if n]
+    nulls = len(RAW_COLUMNS)  # the rules on nulls come first, and their example is the column's name
+    broken = [(position, rule) for position, rule, n in zip(positions[nulls:], rules[nulls:], counts[nulls:]) if n]
     examples = _examples(df, broken) if broken else {}
+    examples |= {positions[i]: [c] * min(EXAMPLES, counts[i]) for i, c in enumerate(RAW_COLUMNS) if counts[i]}
     if repeated:
         smallest = repeats.orderBy("transaction_id").limit(DUPLICATE_EXAMPLES).collect()
         examples[ids_position] = [row.transaction_id for row in smallest]
@@ -203,6 +204,12 @@ def check_summary(report: DataFrame) -> DataFrame:
     )
 
 
+def gate_status(report: DataFrame) -> str:
+    """``passed`` if no rule of the report was broken, else ``failed``."""
+    broken = report.agg(F.coalesce(F.sum("violations"), F.lit(0)).alias("n")).first().n
+    return "failed" if broken else "passed"
+
+
 def validate(
     df: DataFrame,
     as_of: dt.date | None = None,

@@ -14,7 +14,7 @@ from tillwise.operators.ingest import UPLOAD_CHECKS
 from tillwise.operators.totals import with_units
 from tillwise.operators.validate import validate
 from tillwise.schema import RAW_COLUMNS, UPLOAD_SCHEMA_VERSION
-from tillwise.session import configure, durable
+from tillwise.session import configure, stored
 from tillwise.sources.sinks import write_sections
 
 # Two-dimensional summaries and how many combinations each keeps.
@@ -30,8 +30,8 @@ def report_sections(raw: DataFrame, facts: DataFrame, checked: dict) -> dict[str
     """Every section of the report by name."""
     fingerprint = lineage.dataset_fingerprint(raw, RAW_COLUMNS)
     metadata = lineage.lineage_metadata(facts, checked["column_count"], checked["status"])
-    for column in ("fingerprint", "build_id"):
-        metadata = metadata.withColumn(column, fingerprint.select(column).scalar())
+    build = fingerprint.select(F.struct("fingerprint", "build_id")).scalar()
+    metadata = metadata.withColumn("_build", build).select("*", "_build.fingerprint", "_build.build_id").drop("_build")
     sections = {
         "metadata": metadata,
         "filter_options": lineage.filter_options(facts),
@@ -73,7 +73,7 @@ def build_report(
     facts = enrich(raw)
     if isinstance(facts.schema["net_revenue"].dataType, T.DecimalType):
         facts = with_units(facts)
-    facts = durable(facts)  # every section starts from here
+    facts = stored(facts)  # every section starts from here
     write_sections(report_sections(raw, facts, checked), folder, file_format)
     return checked
 
@@ -82,7 +82,7 @@ def upload_sections(facts: DataFrame, column_count: int) -> dict[str, DataFrame]
     """What an accepted upload is shown with before any filter is set."""
     return {
         "metadata": lineage.lineage_metadata(
-            facts, column_count, schema_version=UPLOAD_SCHEMA_VERSION, checks=UPLOAD_CHECKS
+            facts, column_count, "passed", schema_version=UPLOAD_SCHEMA_VERSION, checks=UPLOAD_CHECKS
         ),
         "filter_options": lineage.filter_options(facts),
         "summary": economics.view_kpis(facts).select(

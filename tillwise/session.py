@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,7 +49,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         raise RuntimeError("Set spark.checkpoint.dir to a folder shared by all executors.")
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Write a table of many rows as Parquet under the checkpoint folder and read it back.
+
+    Later reads take only the columns and row groups they need. The folder goes with the checkpoint folder.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    place = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    df.write.parquet(place)
+    return spark.read.schema(df.schema).parquet(place)
+
+
 def durable(df: DataFrame) -> DataFrame:
-    """Write a table to the checkpoint folder, so that losing executors cannot change or repeat it."""
+    """Write a table of few rows (groups, slices) to the checkpoint folder, so that losing executors cannot change or repeat it."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tillwise.functions.calendar import calendar_columns
 from tillwise.functions.ratios import ratio
 from tillwise.operators.totals import money_of
-from tillwise.schema import ORDER_KEY, RAW_COLUMNS, UNITS
+from tillwise.schema import DIMENSIONS, ORDER_KEY, RAW_COLUMNS, UNITS
 
 CALENDAR = frozenset({"order_date", "year", "quarter", "month", "month_of_year"})
 FROM_REGION = frozenset({"region"})
@@ -21,6 +21,9 @@ FROM_PART = frozenset(
 )
 
 
+# Fixed value: the slice of lines whose order, part or customer is missing. No join drops a line.
+UNKNOWN = "Unspecified"
+
 # Stored columns that facts replace.
 STORED = (
     "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "p_retailprice",
@@ -74,8 +77,8 @@ def _orders(spark: SparkSession, folder: str, wanted: frozenset[str]) -> DataFra
         if wanted & FROM_REGION:
             nation = read_table(spark, folder, "nation").select("n_nationkey", F.col("n_regionkey").alias("r_regionkey"))
             region = read_table(spark, folder, "region").select("r_regionkey", F.col("r_name").alias("region"))
-            customer = customer.join(nation.join(region, "r_regionkey"), "n_nationkey")
-        orders = orders.join(customer, "c_custkey")
+            customer = customer.join(nation.join(region, "r_regionkey", "left"), "n_nationkey", "left")
+        orders = orders.join(customer, "c_custkey", "left")
     return orders
 
 
@@ -88,10 +91,10 @@ def _joined(spark: SparkSession, folder: str, wanted: frozenset[str]) -> DataFra
     """
     lines = _lines(spark, folder)
     if wanted & FROM_PART:
-        lines = lines.join(_parts(spark, folder), "l_partkey")
+        lines = lines.join(_parts(spark, folder), "l_partkey", "left")
     if wanted & FROM_ORDER:
-        lines = lines.join(_orders(spark, folder, wanted), ORDER_KEY)
-    return lines
+        lines = lines.join(_orders(spark, folder, wanted), ORDER_KEY, "left")
+    return lines.withColumns({c: F.coalesce(c, F.lit(UNKNOWN)) for c in lines.columns if c in DIMENSIONS})
 
 
 def _line_columns() -> dict[str, Column]:
@@ -116,8 +119,8 @@ def raw_sales(spark: SparkSession, folder: str) -> DataFrame:
 def sales_facts(spark: SparkSession, folder: str, columns: Iterable[str] | None = None) -> DataFrame:
     """Enriched facts; joins only the tables that the named columns come from.
 
-    Leaving a join out is safe under the star's foreign keys (every line has its order and part,
-    every order its customer). With no columns named every table is joined. Prices have cents and
+    Leaving a join out is safe because every join keeps all lines: a line without its part, order or
+    customer counts under ``Unspecified`` with no cost or date. With no columns named every table is joined. Prices have cents and
     discounts whole percents, so all money is exact in ten-thousandths.
     """
     wanted = frozenset(columns) if columns is not None else FROM_ORDER | FROM_PART

@@ -2,25 +2,47 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tillwise.functions.parsing import NUMBER_SHAPE, WHITE_SPACE, strict_date
 from tillwise.operators.ingest import ROW_INDEX
 from tillwise.operators.ordering import number_slices
-from tillwise.schema import RAW_SALES
-from tillwise.session import durable
+from tillwise.schema import RAW_COLUMNS, RAW_SALES
+from tillwise.session import stored
+
+# Names of the library's own columns begin so.
+RESERVED = "_tillwise_"
 
 UNREADABLE_SUFFIXES = (".xlsx", ".xls")
 
 
 def read_sales_csv(spark: SparkSession, path: str, typed: bool = True) -> DataFrame:
-    """A raw sales table; untyped keeps the text so that bad values can be reported."""
-    reader = spark.read.option("header", True).option("quote", '"').option("escape", '"')
-    return (reader.schema(RAW_SALES) if typed else reader).csv(path)
+    """A raw sales table; untyped keeps the text, so that the strict gate can report bad values.
+
+    Typed, text that is no value becomes null, and a number that does not fit its type fails: nothing is rounded.
+    """
+    table = spark.read.option("header", True).option("quote", '"').option("escape", '"').csv(path)
+    return table.select(*[_typed(f.name, f.dataType) for f in RAW_SALES.fields]) if typed else table
+
+
+def _typed(name: str, kind: T.DataType) -> Column:
+    text = F.col(name)
+    if isinstance(kind, T.StringType):
+        return text
+    if isinstance(kind, T.DateType):
+        return strict_date(text, "string").alias(name)
+    exact = F.regexp_extract(F.trim(text), NUMBER_SHAPE, 0).try_cast("decimal(38,18)")
+    value = exact.try_cast(kind)
+    message = F.concat(F.lit(f"Column '{name}' has a number that does not fit: "), text)
+    return F.when(value == exact, value).when(exact.isNotNull(), F.raise_error(message).cast(kind)).alias(name)
 
 
 def read_sales_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(RAW_SALES).parquet(path)
+    """A raw sales table as stored: decimals stay exact, doubles stay doubles."""
+    table = spark.read.parquet(path)
+    return table.select(*[c for c in RAW_COLUMNS if c in table.columns], *[c for c in table.columns if c not in RAW_COLUMNS])
 
 
 def read_facts(spark: SparkSession, path: str) -> DataFrame:
@@ -37,25 +59,45 @@ def read_upload(spark: SparkSession, path: str, quoted_newlines: bool = True) ->
     """
     if path.lower().endswith(UNREADABLE_SUFFIXES):
         raise ValueError("Unsupported file type. Save the workbook as CSV first.")
-    table = (
-        spark.read.option("header", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("multiLine", quoted_newlines)
-        .option("mode", "PERMISSIVE")
-        .csv(path)
-    )
-    names = [name.strip() for name in table.columns]
-    if not names:
+    table = raw_reader(spark, quoted_newlines).option("header", True).csv(path)
+    if not table.columns:
         raise ValueError("The uploaded file does not contain a readable table.")
-    text = [F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(n) for c, n in zip(table.columns, names)]
-    filled = table.select(
-        *text,
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-    )
-    is_blank = F.concat(*[F.trim(f"`{n}`") for n in names]) == ""
-    placed = durable(filled.where(~is_blank).withColumn("_place", F.monotonically_increasing_id()))
+    # Columns by position, under the headers as written; the reader renames repeated ones.
+    header = raw_reader(spark, quoted_newlines).option("header", False).csv(path).first() or ()
+    kept = upload_names([*header, *table.columns[len(header) :]])
+    plain = table.toDF(*[f"{RESERVED}{i}" for i in range(len(table.columns))])
+    text = [F.coalesce(F.col(f"{RESERVED}{i}"), F.lit("")).alias(name) for i, name in kept.items()]
+    file, block = f"{RESERVED}file", f"{RESERVED}block"
+    filled = plain.select(*text, F.col("_metadata.file_path").alias(file), F.col("_metadata.file_block_start").alias(block))
+    is_blank = F.translate(F.concat(*[F.col(quoted(name)) for name in kept.values()]), WHITE_SPACE, "") == ""
+    placed = stored(filled.where(~is_blank).withColumn("_tillwise_place", F.monotonically_increasing_id()))
     if placed.isEmpty():
         raise ValueError("The uploaded file does not contain a readable table.")
-    return number_slices(placed, ["_file", "_block"], ROW_INDEX)
+    return number_slices(placed, [file, block], ROW_INDEX)
+
+
+def raw_reader(spark: SparkSession, quoted_newlines: bool):
+    return spark.read.option("quote", '"').option("escape", '"').option("multiLine", quoted_newlines).option("mode", "PERMISSIVE")
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def upload_names(headers: list[str | None]) -> dict[int, str]:
+    """The columns to keep, by position: of headers equal after trimming the last one counts.
+
+    Headers that differ only in case get a number, as the engine does not tell them apart.
+    """
+    last = {(name or "").strip(): i for i, name in enumerate(headers)}
+    names: dict[int, str] = {}
+    taken: set[str] = set()
+    for name, i in sorted(last.items(), key=lambda x: x[1]):
+        if name.lower().startswith(RESERVED):
+            raise ValueError(f"Rename the column '{name}': names that begin with {RESERVED} are reserved.")
+        free, number = name or f"column {i + 1}", 2
+        while free.lower() in taken:
+            free, number = f"{name} ({number})", number + 1
+        taken.add(free.lower())
+        names[i] = free
+    return names
