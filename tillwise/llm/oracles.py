@@ -1,5 +1,39 @@
-"""SQL for DuckDB that gives the same rows as a query, where SQL can."""
+"""SQL for DuckDB that gives the same rows as a query, where SQL can say it.
+
+The others rest on fitted models, tokenizers, a hash or a search that SQL lacks; tests hold them against brute force.
+"""
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+# What is counted as a control string, one start each: those of the template and those of other templates.
+CONTROL = ("<|", "<s>", "</s>", "<SYS>", "</SYS>", "<<SYS", "<</SYS", "[INST]", "[/INST]")
+MARKS = len("<|turn|>") + len("<|text|>") + len("<|end|>")
+
+
+def escaped_length(column: str) -> str:
+    """Length of a text with a backslash more for every backslash and every control string."""
+    more = [f"(length({column}) - length(replace({column}, '{x}', ''))) // {len(x)}" for x in ("\\", *CONTROL)]
+    return " + ".join([f"length({column})", *more])
+
+
+OP2 = f"""WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]')
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+  sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn, role, text)) AS loss_sha256,
+  CAST(sum({MARKS} + {escaped_length("role")} + {escaped_length("text")}) AS BIGINT) AS formatted_chars
+FROM turns GROUP BY conv_id"""
+
+OP5 = """WITH usable AS (
+  SELECT vec_id, [floor(64 * CAST(x AS DOUBLE)) for x in embedding] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM usable q JOIN usable c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20"""
+
+ORACLES: dict[str, str] = {"op2_chat_format": OP2, "op5_exact_topk": OP5}
