@@ -54,3 +54,9 @@ def test_star_keys_hold(connection):
         "JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey"
     ).fetchone()[0]
     assert joined == lines
+
+
+def test_every_row_rule_is_hit(spark):
+    """Only the rules on columns, and the null rules of columns that are not spoiled, find nothing."""
+    rows = QUERIES["validation_report_spoiled"](spark, FOLDER).where("violations = 0").collect()
+    assert {r["check"] for r in rows} == {"required_columns", "unexpected_columns", "null_values"} and len(rows) == 12

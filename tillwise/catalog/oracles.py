@@ -801,6 +801,66 @@ VALIDATION = query(
     "raw AS (SELECT *, CAST(gross AS DOUBLE) / quantity AS list_price FROM lines)",
     "repeated AS (SELECT transaction_id, count(*) AS n FROM raw GROUP BY transaction_id HAVING count(*) > 1)",
 )
+# The same rules over text, some of it spoiled: kept apart from the code under test on purpose.
+SPOILS = {
+    "transaction_id": {0: "'BAD-1'"},
+    "order_id": {1: "'oops'"},
+    "order_date": {2: "'2024-02-30'", 3: "'not-a-date'", 4: "'2099-01-01'", 5: "'1990-05-05'"},
+    "region": {16: "NULL"},
+    "product": {17: "NULL"},
+    "quantity": {6: "'abc'", 7: "'0'", 8: "'-3'", 9: "'1.5'"},
+    "list_price": {10: "'NaN'", 11: "'-5'", 12: "'100d'"},
+    "discount_rate": {14: "'1.1'", 15: "'-0.1'", 19: "'x'"},
+    "unit_cost": {13: "'-2'", 18: "'2f'"},
+}
+NUMBERS = ("quantity", "list_price", "discount_rate", "unit_cost")
+
+
+def spoiled_text(column: str) -> str:
+    cases = " ".join(f"WHEN {rest} THEN {value}" for rest, value in SPOILS.get(column, {}).items())
+    plain = f"CAST({column} AS VARCHAR)"
+    return (f"CASE CAST(substr(transaction_id, 5) AS BIGINT) % 199 {cases} ELSE {plain} END" if cases else plain) + f" AS {column}_text"
+
+
+def spoiled_rule(position: int, check: str, message: str, violated: str | None) -> str:
+    count = "(SELECT coalesce(sum(n - 1), 0) FROM repeated)" if violated is None else f"count(*) FILTER ({violated})"
+    return (
+        f"SELECT '{check}' AS \"check\", CAST({position} AS BIGINT) AS position, CAST({count} AS BIGINT) AS violations, "
+        f"'{message}' AS message" + (" FROM read" if violated else "")
+    )
+
+
+SPOILED_RULES = [
+    (
+        check,
+        message,
+        {
+            "null_values": f"{(example or '').strip(chr(39))}_text IS NULL",
+            "date_parse": "order_date_text IS NOT NULL AND order_date IS NULL",
+            "numeric_types": f"{message.split(chr(39))[2] if check == 'numeric_types' else ''}_text IS NOT NULL "
+            f"AND {message.split(chr(39))[2] if check == 'numeric_types' else ''} IS NULL",
+        }.get(check, violated),
+    )
+    for check, message, violated, example in VALIDATION_ROWS
+]
+VALIDATION_SPOILED = query(
+    "\nUNION ALL ".join(spoiled_rule(i, *row) for i, row in enumerate(SPOILED_RULES)),
+    "priced AS (SELECT *, CAST(gross AS DOUBLE) / quantity AS list_price FROM lines)",
+    "spoiled AS (SELECT "
+    + ", ".join(
+        spoiled_text(c)
+        for c in ("transaction_id", "order_id", "order_date", "region", "channel", "customer_segment", "category", "product", *NUMBERS)
+    )
+    + " FROM priced)",
+    r"read AS (SELECT *, transaction_id_text AS transaction_id, order_id_text AS order_id, "
+    r"CASE WHEN regexp_matches(order_date_text, '^\d{4}-\d{2}-\d{2}') THEN TRY_CAST(substr(order_date_text, 1, 10) AS DATE) END AS order_date, "
+    + ", ".join(
+        rf"CASE WHEN regexp_full_match({c}_text, '[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?') THEN TRY_CAST({c}_text AS DOUBLE) END AS {c}"
+        for c in NUMBERS
+    )
+    + " FROM spoiled)",
+    "repeated AS (SELECT transaction_id, count(*) AS n FROM read GROUP BY transaction_id HAVING count(*) > 1)",
+)
 DUPLICATE_IDS = query(
     "SELECT transaction_id, count(*) AS occurrences FROM facts GROUP BY transaction_id HAVING count(*) > 1"
 )
@@ -984,6 +1044,7 @@ ORACLES: dict[str, str] = {
     "dataset_fingerprint": FINGERPRINT,
     "filter_options": FILTER_OPTIONS,
     "validation_report": VALIDATION,
+    "validation_report_spoiled": VALIDATION_SPOILED,
     "check_summary": f"""SELECT "check", CAST(sum(violations) AS BIGINT) AS violations,
   CASE WHEN sum(violations) = 0 THEN 'passed' ELSE 'failed' END AS status FROM ({VALIDATION}) GROUP BY "check" """,
     "duplicate_ids": DUPLICATE_IDS,

@@ -94,6 +94,29 @@ def validation(spark: SparkSession, folder: str) -> DataFrame:
     return tidy(report)
 
 
+# What every so many-th line is spoiled with, by the rest of its number: at least one line breaks each row rule.
+SPOIL_EVERY = 199
+SPOILED = (
+    (0, "transaction_id", "BAD-1"), (1, "order_id", "oops"), (2, "order_date", "2024-02-30"), (3, "order_date", "not-a-date"),
+    (4, "order_date", "2099-01-01"), (5, "order_date", "1990-05-05"), (6, "quantity", "abc"), (7, "quantity", "0"),
+    (8, "quantity", "-3"), (9, "quantity", "1.5"), (10, "list_price", "NaN"), (11, "list_price", "-5"),
+    (12, "list_price", "100d"), (13, "unit_cost", "-2"), (14, "discount_rate", "1.1"), (15, "discount_rate", "-0.1"),
+    (16, "region", None), (17, "product", None), (18, "unit_cost", "2f"), (19, "discount_rate", "x"),
+)
+
+
+def spoiled_validation(spark: SparkSession, folder: str) -> DataFrame:
+    """The strict gate over the lines as text, some of them spoiled."""
+    configure(spark)
+    raw = raw_sales(spark, folder)
+    rest = F.substring("transaction_id", 5, 20).cast("bigint") % SPOIL_EVERY
+    text = {c: F.col(c).cast("string") for c in RAW_COLUMNS}
+    for number, column, value in SPOILED:
+        text[column] = F.when(rest == number, F.lit(value)).otherwise(text[column])
+    report = validation_report(raw.select(*[x.alias(c) for c, x in text.items()]), dt.date(2001, 1, 1), dt.date(1996, 1, 1))
+    return tidy(report.drop("examples"))
+
+
 def lineage_row(spark: SparkSession, folder: str) -> DataFrame:
     """Size and dates of the facts, with the outcome of the gate over the same rows."""
     status = gate_status(validation(spark, folder))
@@ -262,6 +285,7 @@ QUERIES: dict[str, Query] = {
     "dataset_fingerprint": fingerprint,
     "filter_options": on_facts(lineage.filter_options, *DIMENSIONS),
     "validation_report": validation,
+    "validation_report_spoiled": spoiled_validation,
     "check_summary": lambda spark, folder: tidy(check_summary(validation(spark, folder))),
     "duplicate_ids": duplicates,
     "parse_number": numbers,
