@@ -156,6 +156,7 @@ def check_rows(rows: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
         }
     )
     revenue, quantity = F.col("_revenue"), F.col("_quantity")
+    # The fields and texts of the issues.
     collected = F.array_compact(
         F.array(
             _problem(F.col("_date").isNull(), "order_date", F.col("_source_date"), "Unparseable or missing date"),

@@ -48,6 +48,7 @@ def _row_rules(df: DataFrame, as_of: dt.date, min_date: dt.date) -> list[tuple[s
     date = strict_date(F.col("order_date"), stored_as["order_date"])
     quantity, price, discount, unit_cost = (number[c] for c in NUMERIC_COLUMNS)
     gross = quantity * price
+    # The checks' names and messages, in the order they are applied.
     rules = [
         ("null_values", "Null values found in required columns", F.col(c).isNull(), F.lit(c)) for c in RAW_COLUMNS
     ]

@@ -35,7 +35,7 @@ UNITS = {
     "gross_profit": "profit_units",
 }
 
-# A raw sales line as delivered, one row per order line.
+# A raw sales line as delivered, one row per order line.
 RAW_SALES = T.StructType(
     [
         T.StructField("transaction_id", T.StringType()),
@@ -54,7 +54,7 @@ RAW_SALES = T.StructType(
 )
 RAW_COLUMNS = tuple(RAW_SALES.fieldNames())
 
-# The columns of an exported fact.
+# The columns of an exported fact, in their order.
 FACT_COLUMNS = (
     "transaction_id",
     "order_id",
