@@ -38,7 +38,7 @@ HEX = re.compile(r"[0-9a-f]{16,}")  # the longest runs of at least so many
 # The method's own words and bounds.
 SENSITIVE = ("password", "passwd", "pwd", "secret", "token", "apikey", "api_key", "credential", "authorization", "bearer", "private", "access", "signature", "auth", "key")
 CONTEXT = re.compile("|".join(map(any_case, SENSITIVE)))
-CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,200}(?![A-Za-z0-9+/_=-])")
+CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}(?![A-Za-z0-9+/_=-])")
 BEFORE, AROUND = 48, 256
 #: Random letters and digits cost 8 bits each in short strings; in long ones the compressor codes them in 6.
 MIN_BITS, MIN_BITS_LONG, LONG = 6.8, 5.8, 64
