@@ -328,8 +328,8 @@ def test_large_buckets_are_tried_in_full(spark):
     rows = []
     for node in range(90):
         prints = [c ^ sum(1 << int(b) for b in random.choice(63, random.integers(0, 9), replace=False)) for c in centre]
-        rows.append((node, *prints, node % 7 if node < 60 else 100))
-    table = spark.createDataFrame(rows, "node long, f0 long, f1 long, f2 long, root long")
+        rows.append((node, *prints, 100 + node % 50, node % 7 if node < 60 else 100))
+    table = spark.createDataFrame(rows, "node long, f0 long, f1 long, f2 long, size long, root long")
     bits = 14
     sharing = defaultdict(set)
     for i in range(3):
@@ -337,14 +337,15 @@ def test_large_buckets_are_tried_in_full(spark):
             sharing[i, key].add(row)
 
     def near(a, b, i):
-        return sum((rows[a][1 + j] ^ rows[b][1 + j]).bit_count() for j in (i, (i + 1) % 3)) <= bits
+        small, large = sorted((rows[a][4], rows[b][4]))
+        return small >= 0.8 * large and sum((rows[a][1 + j] ^ rows[b][1 + j]).bit_count() for j in (i, (i + 1) % 3)) <= bits
 
     wanted = {(a, b) for (i, _), nodes in sharing.items() for a in nodes for b in nodes if a < b and near(a, b, i)}
-    found = simhash.candidate_pairs(table, 3, bits).collect()
+    found = simhash.candidate_pairs(table, 3, bits, 0.8).collect()
     first = {(r["a"], r["b"]) for r in found if r["b"] is not None}
     open_ = {r["a"] for r in found if r["b"] is None}
     assert first < wanted and open_
-    rest = {tuple(r) for r in simhash.rest_pairs(table.filter(F.col("node").isin(open_)), 3, bits).collect()}
+    rest = {tuple(r) for r in simhash.rest_pairs(table.filter(F.col("node").isin(open_)), 3, bits, 0.8).collect()}
     other_class = {(a, b) for a, b in wanted if rows[a][-1] != rows[b][-1]}
     assert rest <= other_class <= first | rest
 

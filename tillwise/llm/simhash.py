@@ -247,10 +247,11 @@ SIMILAR_SHINGLE = 5
 PRINTS = 3
 #: Bucket sizes up to which all pairs are candidates at once, and links of a node in a larger one before the rest is tried.
 FEW, LINKS = 12, 2
+COUNTED = 512
 
 
 def similar_prints(text: str | None, size: int, prints: int) -> list[int]:
-    """Fingerprints of the set of a text's shingles, under independent mixtures of their hashes."""
+    """Fingerprints of the set of a text's shingles, under independent mixtures of their hashes, and the set's size."""
     hashes = np.unique(shingle_hashes(text, size))
     found = []
     for number in range(prints):
@@ -258,7 +259,7 @@ def similar_prints(text: str | None, size: int, prints: int) -> list[int]:
         mixed = (mixed ^ mixed >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
         mixed = (mixed ^ mixed >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
         found.append(majority(mixed ^ mixed >> np.uint64(31)))
-    return found
+    return [*found, len(hashes)]
 
 
 def bits_for(similarity: float, deviations: float = 1.5, bits: int = 128) -> int:
@@ -267,15 +268,20 @@ def bits_for(similarity: float, deviations: float = 1.5, bits: int = 128) -> int
     return math.ceil(bits * share + deviations * math.sqrt(bits * share * (1 - share)))
 
 
-def near_enough(own: np.ndarray, other: np.ndarray, x, y, bits: int) -> np.ndarray:
-    return np.bitwise_count(own[x] ^ own[y]) + np.bitwise_count(other[x] ^ other[y]) <= bits
+def near_enough(own: np.ndarray, other: np.ndarray, sizes: np.ndarray, x, y, bits: int, similarity: float) -> np.ndarray:
+    """Near in two fingerprints, and sets of sizes that allow the similarity."""
+    close = np.bitwise_count(own[x] ^ own[y]) + np.bitwise_count(other[x] ^ other[y]) <= bits
+    return close & (np.minimum(sizes[x], sizes[y]) >= similarity * np.maximum(sizes[x], sizes[y]))
 
 
-def candidates_within(keys: np.ndarray, nodes: np.ndarray, own: np.ndarray, other: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs of nodes of one bucket whose fingerprints are near enough, and the nodes of buckets that leave some out.
+def candidates_within(
+    keys: np.ndarray, nodes: np.ndarray, own: np.ndarray, other: np.ndarray, counts: np.ndarray, bits: int, similarity: float
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of nodes of one bucket whose fingerprints are near enough, and the nodes that may have pairs left out.
 
     In buckets of up to `FEW` nodes all pairs; in larger ones every node with the `LINKS` smallest ones it is near to, which
-    links nearly all of a large group at a cost in proportion to its size. What that leaves out is tried by `rest_within`.
+    links nearly all of a large group at a cost in proportion to its size. What that leaves out is tried by `rest_within`, for
+    the nodes that have near ones left; beyond `COUNTED` nodes that is not found out, and all of a bucket are named.
     """
     own, other = own.view(np.uint64), other.view(np.uint64)  # bits of signed numbers would be those of their absolute values
     starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
@@ -286,29 +292,37 @@ def candidates_within(keys: np.ndarray, nodes: np.ndarray, own: np.ndarray, othe
     while len(at):
         at = at[at + step < len(keys)]
         at = at[keys[at] == keys[at + step]]
-        found = at[near_enough(own, other, at, at + step, bits)]
+        found = at[near_enough(own, other, counts, at, at + step, bits, similarity)]
         a.append(nodes[found])
         b.append(nodes[found + step])
         step += 1
     for start, size in zip(starts[sizes > FEW].tolist(), sizes[sizes > FEW].tolist(), strict=True):
         left = start + np.argsort(nodes[start : start + size], kind="stable")
+        members, tried = left, np.zeros(size, dtype=np.int64)
         times = np.zeros(len(left), dtype=np.int8)
         skipped = False
         while len(left) > 1:
             first, left, times = left[0], left[1:], times[1:]
-            close = near_enough(own, other, left, first, bits)
+            close = near_enough(own, other, counts, left, first, bits, similarity)
+            tried[first - start] += close.sum()
+            tried[left[close] - start] += 1
             a.append(np.full(int(close.sum()), nodes[first]))
             b.append(nodes[left[close]])
             times = times + close
             going_on = times < LINKS
             skipped = skipped or len(left) > 1 and not going_on.all()
             left, times = left[going_on], times[going_on]
+        if skipped and size <= COUNTED:
+            near = near_enough(own, other, counts, members[:, None], members[None, :], bits, similarity).sum(axis=1) - 1
+            members = members[near > tried[members - start]]
         if skipped:
-            open_.append(nodes[start : start + size])
+            open_.append(nodes[members])
     return np.concatenate(a), np.concatenate(b), np.concatenate(open_)
 
 
-def rest_within(keys: np.ndarray, nodes: np.ndarray, own: np.ndarray, other: np.ndarray, roots: np.ndarray, bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def rest_within(
+    keys: np.ndarray, nodes: np.ndarray, own: np.ndarray, other: np.ndarray, counts: np.ndarray, roots: np.ndarray, bits: int, similarity: float
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """All pairs of nodes of one bucket whose fingerprints are near enough and whose classes differ, in parts.
 
     The nodes of a bucket's largest class are not compared with each other, so a large group of copies costs nothing.
@@ -323,7 +337,7 @@ def rest_within(keys: np.ndarray, nodes: np.ndarray, own: np.ndarray, other: np.
         order = start + np.argsort(sizes[classes] * len(sizes) + classes, kind="stable")  # the largest class comes last
         for i in range(len(order) - int(sizes.max())):
             first, later = order[i], order[i + 1 :]
-            later = later[(roots[later] != roots[first]) & near_enough(own, other, later, first, bits)]
+            later = later[(roots[later] != roots[first]) & near_enough(own, other, counts, later, first, bits, similarity)]
             if len(later):
                 a.append(np.full(len(later), nodes[first]))
                 b.append(nodes[later])
@@ -370,31 +384,31 @@ def whole_buckets(batches: Iterator[pa.RecordBatch], columns: int) -> Iterator[l
             held = [x[whole:] for x in held]
 
 
-def candidate_pairs(distinct: DataFrame, prints: int, bits: int) -> DataFrame:
+def candidate_pairs(distinct: DataFrame, prints: int, bits: int, similarity: float) -> DataFrame:
     """Distinct pairs (`a` < `b`) of nodes that share a pair of keys in some fingerprint and are near in two of them.
 
-    A row without `b` names a node that lies in a bucket where not all pairs were taken.
+    A row without `b` names a node that may have near ones it is in no pair with. `size` is that of a node's set.
     """
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for columns in whole_buckets(batches, 4):
-            a, b, open_ = candidates_within(*columns, bits)
+        for columns in whole_buckets(batches, 5):
+            a, b, open_ = candidates_within(*columns, bits, similarity)
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
             open_ = np.unique(open_)
             yield pa.RecordBatch.from_arrays([pa.array(open_), pa.nulls(len(open_), pa.int64())], names=["a", "b"])
 
-    return buckets(distinct, prints).mapInArrow(compared, "a bigint, b bigint").distinct()
+    return buckets(distinct, prints, ("size",)).mapInArrow(compared, "a bigint, b bigint").distinct()
 
 
-def rest_pairs(distinct: DataFrame, prints: int, bits: int) -> DataFrame:
+def rest_pairs(distinct: DataFrame, prints: int, bits: int, similarity: float) -> DataFrame:
     """Distinct pairs as of `candidate_pairs`, all of them, but for pairs of nodes of one class (column `root`)."""
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for columns in whole_buckets(batches, 5):
-            for a, b in rest_within(*columns, bits):
+        for columns in whole_buckets(batches, 6):
+            for a, b in rest_within(*columns, bits, similarity):
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
-    return buckets(distinct, prints, ("root",)).mapInArrow(compared, "a bigint, b bigint").distinct()
+    return buckets(distinct, prints, ("size", "root")).mapInArrow(compared, "a bigint, b bigint").distinct()
 
 
 def similar_classes(
@@ -407,9 +421,9 @@ def similar_classes(
     surely; each candidate is verified on the whole sets, so no text is linked that is not similar. Large buckets are tried in
     two rounds: the first links their texts to a few of them, the second tries every pair that is not yet in one class.
     """
-    names = [f"f{i}" for i in range(prints)]
+    names = [*(f"f{i}" for i in range(prints)), "size"]
     own = docs.select(F.col(quoted(key)).alias("key"), F.coalesce(F.col(quoted(text)), F.lit("")).alias("text")).withColumn("node", F.xxhash64("text"))
-    marked = with_results(own, "text", {x: pa.int64() for x in names}, lambda found: np.array([similar_prints(x, size, prints) for x in found], dtype=np.int64).reshape(-1, prints).T)
+    marked = with_results(own, "text", {x: pa.int64() for x in names}, lambda found: np.array([similar_prints(x, size, prints) for x in found], dtype=np.int64).reshape(-1, prints + 1).T)
     table = written(marked.groupBy("node").agg(F.min(F.struct(F.col("key").isNull().alias("none"), "key")).alias("least"), *[F.min(x).alias(x) for x in names]))
     bits = bits_for(similarity)
 
@@ -431,12 +445,12 @@ def similar_classes(
     def classes(linked: DataFrame) -> DataFrame:
         return table.join(components(linked), "node", "left").withColumn("root", F.coalesce("root", "node"))
 
-    found = written(candidate_pairs(table, prints, bits))
+    found = written(candidate_pairs(table, prints, bits, similarity))
     pairs = found.filter("b IS NOT NULL")
     placed = classes(verified(pairs))
     left_out = found.filter("b IS NULL").select(F.col("a").alias("node"))
     if not left_out.isEmpty():
-        rest = written(rest_pairs(placed.join(left_out, "node", "left_semi"), prints, bits).join(pairs, ["a", "b"], "left_anti"))
+        rest = written(rest_pairs(placed.join(left_out, "node", "left_semi"), prints, bits, similarity).join(pairs, ["a", "b"], "left_anti"))
         if not rest.isEmpty():
             linked = placed.filter("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
             placed = classes(linked.union(verified(rest)))
