@@ -328,8 +328,8 @@ def test_large_buckets_are_tried_in_full(spark):
     rows = []
     for node in range(90):
         prints = [c ^ sum(1 << int(b) for b in random.choice(63, random.integers(0, 9), replace=False)) for c in centre]
-        rows.append((node, *prints, 100 + node % 50, node % 7 if node < 60 else 100))
-    table = spark.createDataFrame(rows, "node long, f0 long, f1 long, f2 long, size long, root long")
+        rows.append((node, *prints, 100 + node % 50, node % 2, -1 << 60, node % 7 if node < 60 else 100))
+    table = spark.createDataFrame(rows, "node long, f0 long, f1 long, f2 long, size long, odd0 long, odd1 long, root long")
     bits = 14
     sharing = defaultdict(set)
     for i in range(3):
@@ -350,6 +350,15 @@ def test_large_buckets_are_tried_in_full(spark):
     assert rest <= other_class <= first | rest
 
 
+def test_odd_bits_never_exceed_the_difference():
+    random = np.random.default_rng(9)
+    for n, d in ((3, 1), (50, 5), (50, 40), (900, 300)):
+        hashes = random.integers(0, 1 << 64, n + d, dtype=np.uint64)
+        a, b = (np.array(simhash.odd_bits(x), dtype=np.int64).view(np.uint64) for x in (hashes[:n], hashes[d:]))
+        assert 0 < np.bitwise_count(a ^ b).sum() <= 2 * d
+    assert simhash.odd_bits(np.zeros(0, dtype=np.uint64)) == [0, 0]
+
+
 def test_classes_of_a_template_with_few_true_copies(spark):
     """Many texts share a template and are unlike each other; each has one true copy among them."""
     template = [f"t{i}" for i in range(260)]

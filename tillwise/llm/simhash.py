@@ -30,6 +30,8 @@ from pyspark.sql import functions as F
 
 from tillwise.llm.common import quoted, with_results, written
 
+Sets = tuple[np.ndarray, np.ndarray, np.ndarray]
+
 BITS = 4
 SHINGLE = 4
 SEED = 42
@@ -247,11 +249,11 @@ SIMILAR_SHINGLE = 5
 PRINTS = 3
 #: Bucket sizes up to which all pairs are candidates at once, and links of a node in a larger one before the rest is tried.
 FEW, LINKS = 12, 2
-COUNTED = 512
+COUNTED = 256
 
 
 def similar_prints(text: str | None, size: int, prints: int) -> list[int]:
-    """Fingerprints of the set of a text's shingles, under independent mixtures of their hashes, and the set's size."""
+    """Fingerprints of the set of a text's shingles, under independent mixtures of their hashes, and `SET_COLUMNS`."""
     hashes = np.unique(shingle_hashes(text, size))
     found = []
     for number in range(prints):
@@ -259,7 +261,7 @@ def similar_prints(text: str | None, size: int, prints: int) -> list[int]:
         mixed = (mixed ^ mixed >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
         mixed = (mixed ^ mixed >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
         found.append(majority(mixed ^ mixed >> np.uint64(31)))
-    return [*found, len(hashes)]
+    return [*found, len(hashes), *odd_bits(hashes)]
 
 
 def bits_for(similarity: float, deviations: float = 1.5, bits: int = 128) -> int:
@@ -268,14 +270,28 @@ def bits_for(similarity: float, deviations: float = 1.5, bits: int = 128) -> int
     return math.ceil(bits * share + deviations * math.sqrt(bits * share * (1 - share)))
 
 
-def near_enough(own: np.ndarray, other: np.ndarray, sizes: np.ndarray, x, y, bits: int, similarity: float) -> np.ndarray:
-    """Near in two fingerprints, and sets of sizes that allow the similarity."""
+#: Columns of a set besides its fingerprints: its size, and bits that say for each slot of hashes whether it holds an odd number.
+SET_COLUMNS = ("size", "odd0", "odd1")
+
+
+def odd_bits(hashes: np.ndarray) -> list[int]:
+    """128 bits, as two signed numbers. Two sets differ in at least as many hashes as their bits differ."""
+    counts = np.bincount((hashes >> np.uint64(57)).astype(np.int64), minlength=128)
+    return np.packbits((counts & 1).astype(np.uint8), bitorder="little").view(np.int64).tolist()
+
+
+def near_enough(own: np.ndarray, other: np.ndarray, sets: Sets, x, y, bits: int, similarity: float) -> np.ndarray:
+    """Near in two fingerprints, and sets that can be similar: sizes and odd bits bound the similarity from above."""
+    size, odd0, odd1 = sets
     close = np.bitwise_count(own[x] ^ own[y]) + np.bitwise_count(other[x] ^ other[y]) <= bits
-    return close & (np.minimum(sizes[x], sizes[y]) >= similarity * np.maximum(sizes[x], sizes[y]))
+    close &= np.minimum(size[x], size[y]) >= similarity * np.maximum(size[x], size[y])
+    differing = np.bitwise_count(odd0[x] ^ odd0[y]) + np.bitwise_count(odd1[x] ^ odd1[y]).astype(np.int64)
+    # shared = (total - differing) / 2, so shared >= similarity * (total - shared) reads:
+    return close & ((1 + similarity) * differing <= (1 - similarity) * (size[x] + size[y]) + 1e-6)
 
 
 def candidates_within(
-    keys: np.ndarray, nodes: np.ndarray, own: np.ndarray, other: np.ndarray, counts: np.ndarray, bits: int, similarity: float
+    keys: np.ndarray, nodes: np.ndarray, own: np.ndarray, other: np.ndarray, sets: Sets, bits: int, similarity: float
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Pairs of nodes of one bucket whose fingerprints are near enough, and the nodes that may have pairs left out.
 
@@ -284,6 +300,7 @@ def candidates_within(
     the nodes that have near ones left; beyond `COUNTED` nodes that is not found out, and all of a bucket are named.
     """
     own, other = own.view(np.uint64), other.view(np.uint64)  # bits of signed numbers would be those of their absolute values
+    sets = sets[0], sets[1].view(np.uint64), sets[2].view(np.uint64)
     starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
     sizes = np.diff(np.concatenate([starts, [len(keys)]]))
     a, b, open_ = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
@@ -292,7 +309,7 @@ def candidates_within(
     while len(at):
         at = at[at + step < len(keys)]
         at = at[keys[at] == keys[at + step]]
-        found = at[near_enough(own, other, counts, at, at + step, bits, similarity)]
+        found = at[near_enough(own, other, sets, at, at + step, bits, similarity)]
         a.append(nodes[found])
         b.append(nodes[found + step])
         step += 1
@@ -303,7 +320,7 @@ def candidates_within(
         skipped = False
         while len(left) > 1:
             first, left, times = left[0], left[1:], times[1:]
-            close = near_enough(own, other, counts, left, first, bits, similarity)
+            close = near_enough(own, other, sets, left, first, bits, similarity)
             tried[first - start] += close.sum()
             tried[left[close] - start] += 1
             a.append(np.full(int(close.sum()), nodes[first]))
@@ -313,7 +330,7 @@ def candidates_within(
             skipped = skipped or len(left) > 1 and not going_on.all()
             left, times = left[going_on], times[going_on]
         if skipped and size <= COUNTED:
-            near = near_enough(own, other, counts, members[:, None], members[None, :], bits, similarity).sum(axis=1) - 1
+            near = near_enough(own, other, sets, members[:, None], members[None, :], bits, similarity).sum(axis=1) - 1
             members = members[near > tried[members - start]]
         if skipped:
             open_.append(nodes[members])
@@ -321,13 +338,14 @@ def candidates_within(
 
 
 def rest_within(
-    keys: np.ndarray, nodes: np.ndarray, own: np.ndarray, other: np.ndarray, counts: np.ndarray, roots: np.ndarray, bits: int, similarity: float
+    keys: np.ndarray, nodes: np.ndarray, own: np.ndarray, other: np.ndarray, sets: Sets, roots: np.ndarray, bits: int, similarity: float
 ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """All pairs of nodes of one bucket whose fingerprints are near enough and whose classes differ, in parts.
 
     The nodes of a bucket's largest class are not compared with each other, so a large group of copies costs nothing.
     """
     own, other = own.view(np.uint64), other.view(np.uint64)
+    sets = sets[0], sets[1].view(np.uint64), sets[2].view(np.uint64)
     starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
     a, b, count = [], [], 0
     for start, end in zip(starts.tolist(), [*starts[1:].tolist(), len(keys)], strict=True):
@@ -337,7 +355,7 @@ def rest_within(
         order = start + np.argsort(sizes[classes] * len(sizes) + classes, kind="stable")  # the largest class comes last
         for i in range(len(order) - int(sizes.max())):
             first, later = order[i], order[i + 1 :]
-            later = later[(roots[later] != roots[first]) & near_enough(own, other, counts, later, first, bits, similarity)]
+            later = later[(roots[later] != roots[first]) & near_enough(own, other, sets, later, first, bits, similarity)]
             if len(later):
                 a.append(np.full(len(later), nodes[first]))
                 b.append(nodes[later])
@@ -387,28 +405,30 @@ def whole_buckets(batches: Iterator[pa.RecordBatch], columns: int) -> Iterator[l
 def candidate_pairs(distinct: DataFrame, prints: int, bits: int, similarity: float) -> DataFrame:
     """Distinct pairs (`a` < `b`) of nodes that share a pair of keys in some fingerprint and are near in two of them.
 
-    A row without `b` names a node that may have near ones it is in no pair with. `size` is that of a node's set.
+    A row without `b` names a node that may have near ones it is in no pair with. `SET_COLUMNS` describe a node's set.
     """
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for columns in whole_buckets(batches, 5):
-            a, b, open_ = candidates_within(*columns, bits, similarity)
+        for columns in whole_buckets(batches, 7):
+            keys, nodes, own, other, *sets = columns
+            a, b, open_ = candidates_within(keys, nodes, own, other, tuple(sets), bits, similarity)
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
             open_ = np.unique(open_)
             yield pa.RecordBatch.from_arrays([pa.array(open_), pa.nulls(len(open_), pa.int64())], names=["a", "b"])
 
-    return buckets(distinct, prints, ("size",)).mapInArrow(compared, "a bigint, b bigint").distinct()
+    return buckets(distinct, prints, SET_COLUMNS).mapInArrow(compared, "a bigint, b bigint").distinct()
 
 
 def rest_pairs(distinct: DataFrame, prints: int, bits: int, similarity: float) -> DataFrame:
     """Distinct pairs as of `candidate_pairs`, all of them, but for pairs of nodes of one class (column `root`)."""
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for columns in whole_buckets(batches, 6):
-            for a, b in rest_within(*columns, bits, similarity):
+        for columns in whole_buckets(batches, 8):
+            keys, nodes, own, other, *sets, roots = columns
+            for a, b in rest_within(keys, nodes, own, other, tuple(sets), roots, bits, similarity):
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
-    return buckets(distinct, prints, ("size", "root")).mapInArrow(compared, "a bigint, b bigint").distinct()
+    return buckets(distinct, prints, (*SET_COLUMNS, "root")).mapInArrow(compared, "a bigint, b bigint").distinct()
 
 
 def similar_classes(
@@ -421,9 +441,9 @@ def similar_classes(
     surely; each candidate is verified on the whole sets, so no text is linked that is not similar. Large buckets are tried in
     two rounds: the first links their texts to a few of them, the second tries every pair that is not yet in one class.
     """
-    names = [*(f"f{i}" for i in range(prints)), "size"]
+    names = [*(f"f{i}" for i in range(prints)), *SET_COLUMNS]
     own = docs.select(F.col(quoted(key)).alias("key"), F.coalesce(F.col(quoted(text)), F.lit("")).alias("text")).withColumn("node", F.xxhash64("text"))
-    marked = with_results(own, "text", {x: pa.int64() for x in names}, lambda found: np.array([similar_prints(x, size, prints) for x in found], dtype=np.int64).reshape(-1, prints + 1).T)
+    marked = with_results(own, "text", {x: pa.int64() for x in names}, lambda found: np.array([similar_prints(x, size, prints) for x in found], dtype=np.int64).reshape(-1, len(names)).T)
     table = written(marked.groupBy("node").agg(F.min(F.struct(F.col("key").isNull().alias("none"), "key")).alias("least"), *[F.min(x).alias(x) for x in names]))
     bits = bits_for(similarity)
 
