@@ -419,6 +419,19 @@ def test_base_spans_and_novelty():
     assert secrets.scan_text("nothing near " + random.split()[-1]) == [] and secrets.scan_text(None) == secrets.scan_text("") == []
 
 
+def test_keys_of_any_alphabet_and_length_are_judged_by_their_own_entropy():
+    random = np.random.default_rng(12)
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    for alphabet in ("0123456789ABCDEF", upper + "234567", upper + "0123456789", upper + lower, upper):
+        for size in (32, 64, 128, 512):
+            key = "".join(random.choice(list(alphabet), size).tolist())
+            start = len(PROSE) * 3 + 18
+            text = PROSE * 3 + "the secret key is " + key + " " + PROSE * 3
+            assert (start, 3, start + size) in secrets.scan_text(text), (alphabet, size)
+    for dull in ("private getElementsByClassNameAndAttributes", "secret user_account_settings_default_value", "token " + "x" * 40, "key " + "=" * 40):
+        assert secrets.scan_text(PROSE + dull) == secrets.scan_text(dull) == []
+
+
 def test_redaction_keeps_rows_and_columns(docs, no_docs):
     kept = secrets.redact(docs)
     assert kept.columns == docs.columns and kept.count() == docs.count()

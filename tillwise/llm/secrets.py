@@ -4,15 +4,21 @@ Base spans come from three patterns over the whole text. The method adds spans:
 sensitive word, or inside code, is a candidate. Its novelty is its marginal compressed size: how many more bytes a
 zstandard frame takes with the candidate than without, where the compressor is primed with a dictionary of identifiers and
 the frame holds the text around the candidate. A word, an identifier or anything the surroundings repeat adds a few
-bytes; a random key is incompressible and adds nearly its entropy. Candidates in a sensitive context with at least
-`MIN_BITS` bits a character (`MIN_BITS_LONG` beyond `LONG` characters) are reported.
+bytes; a random key is incompressible and adds nearly its entropy. What entropy that is depends on the candidate's alphabet,
+its length and how the frame codes literals, so it is measured: random characters of the same alphabet are put in the
+candidate's place. Candidates in a sensitive context that take at least the share `AS_RANDOM` of their bytes
+(`AS_RANDOM_LONG` beyond `LONG` characters) are reported; those of letters alone must also be unlike words in their pairs of letters.
 
 Spans are code points, end exclusive. Null and empty texts have none. Equal texts have equal spans.
 """
 
 from __future__ import annotations
 
+import math
+import random
 import re
+import string
+from collections import Counter
 from functools import lru_cache
 
 import pyarrow as pa
@@ -40,8 +46,17 @@ SENSITIVE = ("password", "passwd", "pwd", "secret", "token", "apikey", "api_key"
 CONTEXT = re.compile("|".join(map(any_case, SENSITIVE)))
 CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}(?![A-Za-z0-9+/_=-])")
 BEFORE, AROUND = 48, 256
-#: Random letters and digits cost 8 bits each in short strings; in long ones the compressor codes them in 6.
-MIN_BITS, MIN_BITS_LONG, LONG = 6.8, 5.8, 64
+#: Short strings are stored byte by byte, so that a chance match shows; in long ones it does not.
+AS_RANDOM, AS_RANDOM_LONG, LONG = 0.8, 0.9, 64
+#: Random strings differ among themselves, in long ones of small alphabets by more than that; the cheapest of so many counts.
+DRAWS = 3
+#: From small to large; a candidate has the first that holds all its characters, separators left aside.
+ALPHABETS = (
+    string.digits, "0123456789ABCDEF", "0123456789abcdef", string.ascii_uppercase, string.ascii_lowercase,
+    string.ascii_uppercase + "234567", string.ascii_lowercase + "234567", string.ascii_uppercase + string.digits,
+    string.ascii_lowercase + string.digits, string.ascii_letters, string.ascii_letters + string.digits, string.ascii_letters + string.digits + "+/",
+)
+SEPARATORS = frozenset("_-=")
 #: Identifiers and words that code and settings are full of; they prime the compressor.
 IDENTIFIERS = (
     "import from return class def function const let var public private static void string integer boolean number object "
@@ -63,13 +78,44 @@ def compressor():
     return zstandard.ZstdCompressor(level=12, dict_data=primed, write_content_size=False)
 
 
-def marginal_bits(text: str, start: int, end: int) -> float:
-    """Bits a character that the candidate adds to its surroundings."""
+def random_like(candidate: str) -> list[str]:
+    """`DRAWS` strings of random characters of the candidate's alphabet, separators where it has them; the same for equal ones."""
+    own = set(candidate) - SEPARATORS
+    alphabet = next(x for x in ALPHABETS if own <= set(x))
+    source = random.Random(candidate)
+    drawn = (source.choices(alphabet, k=len(candidate)) for _ in range(DRAWS))
+    return ["".join(x if x in SEPARATORS else y for x, y in zip(candidate, one, strict=True)) for one in drawn]
+
+
+@lru_cache(maxsize=1)
+def letter_pairs() -> dict[str, float]:
+    """Bits of a letter behind another one, in the identifiers."""
+    pairs = Counter(x + y for word in re.findall("[a-z]+", IDENTIFIERS.lower()) if len(set(word)) > 1 and word not in string.ascii_lowercase for x, y in zip(word, word[1:]))
+    firsts = Counter(x[0] for x in pairs.elements())
+    return {x + y: -math.log2((pairs[x + y] + 0.2) / (firsts[x] + 0.2 * 26)) for x in string.ascii_lowercase for y in string.ascii_lowercase}
+
+
+def wordlike(candidate: str) -> bool:
+    """Whether the pairs of letters are likelier in identifiers than among letters that are all equally likely."""
+    letters = candidate.lower()
+    bits = [letter_pairs()[x + y] for x, y in zip(letters, letters[1:]) if x.isalpha() and y.isalpha()]
+    return sum(bits) < math.log2(26) * len(bits)
+
+
+def is_random(text: str, start: int, end: int) -> bool:
+    """Whether the candidate adds nearly as many bytes to its surroundings as random characters of its alphabet do."""
+    candidate = text[start:end]
+    if not any(x.isalnum() for x in candidate) or not any(x.isdigit() for x in candidate) and wordlike(candidate):
+        return False
     before = text[max(0, start - AROUND) : start]
     after = text[end : end + AROUND]
-    without = len(compressor().compress((before + after).encode("utf-8", "replace")))
-    whole = len(compressor().compress((before + after + " " + text[start:end]).encode("utf-8", "replace")))
-    return 8 * (whole - without - 1) / (end - start)
+
+    def size(added: str) -> int:
+        return len(compressor().compress((before + after + added).encode("utf-8", "replace")))
+
+    without = size("") + 1
+    share = AS_RANDOM if end - start <= LONG else AS_RANDOM_LONG
+    return size(" " + candidate) - without >= share * (min(size(" " + x) for x in random_like(candidate)) - without)
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -84,18 +130,15 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def novel_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """Incompressible strings in a sensitive context that no base span touches."""
+    """Incompressible strings in a sensitive context that no base span covers to their ends."""
     found = []
     for m in CANDIDATE.finditer(text):
         start, end = m.span()
-        string = m.group()
-        if not (any(x.isdigit() for x in string) and any(x.isalpha() for x in string)):
-            continue  # words and numbers
-        if any(s < end and start < e for s, _, e in base):
+        if any((s <= start or kind == 0) and s < end <= e for s, kind, e in base):  # an assignment may begin inside its label
             continue
         if not CONTEXT.search(text, max(0, start - BEFORE), start):
             continue
-        if marginal_bits(text, start, end) >= (MIN_BITS if end - start <= LONG else MIN_BITS_LONG):
+        if is_random(text, start, end):
             found.append((start, 3, end))
     return found
 
