@@ -432,6 +432,30 @@ def test_keys_of_any_alphabet_and_length_are_judged_by_their_own_entropy():
         assert secrets.scan_text(PROSE + dull) == secrets.scan_text(dull) == []
 
 
+def test_every_line_of_a_wrapped_key_is_reported():
+    body = base64.b64encode(np.random.default_rng(3).bytes(64 * 57)).decode()
+    for width in (64, 76):
+        lines = [body[i : i + width] for i in range(0, len(body), width)] + ["qTzr4w=="]
+        pem = ["-----BEGIN RSA PRIVATE KEY-----", "Proc-Type: 4,ENCRYPTED", "DEK-Info: AES-128-CBC,1F2A", "", *lines, "-----END RSA PRIVATE KEY-----"]
+        for text in ("\n".join(pem), "\r\n".join(pem), "    " + "\n    ".join(pem), "secret: " + "\n  ".join(lines), "x = {'k': '" + "\\n".join(pem) + "'}"):
+            for around in ("", PROSE * 3):
+                redacted = secrets.redact_text(around + text + "\n" + around)
+                assert not any(x in redacted for x in lines) and redacted.startswith(around) and redacted.endswith("\n" + around)
+                assert redacted.count("[SECRET]") == len(lines)
+
+
+def test_labels_far_ahead_and_values_in_code():
+    key = "q7Zx9Lr2Vt5Kp8Wm3Yc6Hd1Jf4Gs0Bn"
+    for text in (
+        "the token that opens the north gate of the old stone bridge near the town is {}", "keys: {}, K8dPz2Rq6Xw1Vn5Tb9Lc3Jh7Mf0Gs4Y",
+        'connect("{}")', "{{'id': '{}'}}", "value = `{}`", "x = b'{}'",
+    ):
+        redacted = secrets.redact_text(PROSE + "\n" + text.format(key))
+        assert "q7Zx9" not in redacted and "K8dPz" not in redacted and redacted.startswith(PROSE), text
+    assert secrets.scan_text("the token is lost. it is long ago now that nobody has seen the old bridge " + key) == []
+    assert secrets.scan_text("they said '" + key + "' to us") == []
+
+
 def test_redaction_keeps_rows_and_columns(docs, no_docs):
     kept = secrets.redact(docs)
     assert kept.columns == docs.columns and kept.count() == docs.count()

@@ -1,13 +1,15 @@
 """Secret scans: base patterns, and novelty under a primed zstandard compressor.
 
 Base spans come from three patterns over the whole text. The method adds spans: a long string that stands behind a
-sensitive word, or inside code, is a candidate. Its novelty is its marginal compressed size: how many more bytes a
+sensitive word, or inside code, is a candidate. Its context is sensitive if such a word stands just before it or before it
+in its sentence, if it lies in a private key block, if it is a quoted value of code, or if the candidate right before it, in its line
+or the line above, has such a context: a key may be wrapped over lines. Its novelty is its marginal compressed size: how many more bytes a
 zstandard frame takes with the candidate than without, where the compressor is primed with a dictionary of identifiers and
 the frame holds the text around the candidate. A word, an identifier or anything the surroundings repeat adds a few
 bytes; a random key is incompressible and adds nearly its entropy. What entropy that is depends on the candidate's alphabet,
 its length and how the frame codes literals, so it is measured: random characters of the same alphabet are put in the
 candidate's place. Candidates in a sensitive context that take at least the share `AS_RANDOM` of their bytes
-(`AS_RANDOM_LONG` beyond `LONG` characters) are reported; those of letters alone must also be unlike words in their pairs of letters.
+(`AS_RANDOM_LONG` beyond `LONG` characters) are reported; those of letters alone must also be unlike words in their pairs of letters. The short last line of a wrapped key goes with it.
 
 Spans are code points, end exclusive. Null and empty texts have none. Equal texts have equal spans.
 """
@@ -18,8 +20,11 @@ import math
 import random
 import re
 import string
+from bisect import bisect_right
 from collections import Counter
+from collections.abc import Iterator
 from functools import lru_cache
+from operator import itemgetter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -46,6 +51,14 @@ SENSITIVE = ("password", "passwd", "pwd", "secret", "token", "apikey", "api_key"
 CONTEXT = re.compile("|".join(map(any_case, SENSITIVE)))
 CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}(?![A-Za-z0-9+/_=-])")
 BEFORE, AROUND = 48, 256
+SENTENCE_END = re.compile(r"[.!?]\s|\n")
+KEY_BLOCK = re.compile(r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----")
+#: A quoted value in code: assigned, an entry, an argument or an element.
+IN_CODE = re.compile(r"[=:(\[{,]\s{0,8}[A-Za-z]{0,2}([\"'`])\Z")
+#: What may stand around the lines of a wrapped key, the step to the next line, and a short last line.
+MARGIN = r"(?:\\r|[^\S\n]|[\"'`+,;\\>#*|.])"
+NEXT_LINE = re.compile(rf"{MARGIN}*?(?:\n|\\n){MARGIN}*+")
+LAST_LINE = re.compile(rf"{NEXT_LINE.pattern}([A-Za-z0-9+/][A-Za-z0-9+/_-]{{0,18}}=*)(?={MARGIN}*(?:\n|\\n|\Z|-----END))")
 #: Short strings are stored byte by byte, so that a chance match shows; in long ones it does not.
 AS_RANDOM, AS_RANDOM_LONG, LONG = 0.8, 0.9, 64
 #: Random strings differ among themselves, in long ones of small alphabets by more than that; the cheapest of so many counts.
@@ -129,17 +142,64 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
+def key_blocks(text: str) -> list[tuple[int, int]]:
+    """(start, end) of private key blocks with an end."""
+    found, at = [], 0
+    while begin := KEY_BLOCK.search(text, at):
+        at = text.find("-----END", begin.end())
+        if at < 0:
+            break
+        found.append((begin.end(), at))
+    return found
+
+
+def place_of(places: list[tuple[int, int]], start: int) -> int:
+    i = bisect_right(places, start, key=itemgetter(0)) - 1
+    return i if i >= 0 and start < places[i][1] else -1
+
+
+def sensitive_candidates(text: str) -> Iterator[tuple[int, int, int]]:
+    """(start, end, number of the private key block or -1) of the candidates in a sensitive context."""
+    candidates = [m.span() for m in CANDIDATE.finditer(text)]
+    if not candidates:
+        return
+    words = [m.end() for m in CONTEXT.finditer(text)]
+    ends = [m.end() for m in SENTENCE_END.finditer(text)] if words else []
+    blocks = key_blocks(text) if words else []
+    last = None  # end of the candidate before, if its context is sensitive
+    for start, end in candidates:
+        block = place_of(blocks, start)
+        i, j = bisect_right(words, start), bisect_right(ends, start)
+        sensitive = block >= 0 or i > 0 and words[i - 1] > min(start - BEFORE, ends[j - 1] if j else 0)
+        if not sensitive and last is not None:
+            gap = text[last:start].strip()
+            sensitive = len(gap) <= BEFORE and "\n" not in gap
+        if not sensitive:
+            quote = IN_CODE.search(text, max(0, start - 12), start)
+            sensitive = quote is not None and text.startswith(quote.group(1), end)
+        last = end if sensitive else None
+        if sensitive:
+            yield start, end, block
+
+
 def novel_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """Incompressible strings in a sensitive context that no base span covers to their ends."""
+    """Incompressible strings in a sensitive context that no base span covers to their ends; all lines of key blocks with one."""
     found = []
-    for m in CANDIDATE.finditer(text):
-        start, end = m.span()
-        if any((s <= start or kind == 0) and s < end <= e for s, kind, e in base):  # an assignment may begin inside its label
-            continue
-        if not CONTEXT.search(text, max(0, start - BEFORE), start):
+    candidates = list(sensitive_candidates(text))
+    covered = [any((s <= start or kind == 0) and s < end <= e for s, kind, e in base) for start, end, _ in candidates]  # an assignment may begin inside its label
+    random_ = [not known and is_random(text, start, end) for (start, end, _), known in zip(candidates, covered, strict=True)]
+    keys = {block for (_, _, block), known, yes in zip(candidates, covered, random_, strict=True) if block >= 0 and (known or yes)}
+    above = None  # the line of a key before
+    for (start, end, block), known, yes in zip(candidates, covered, random_, strict=True):
+        if not (known or yes or block in keys):
+            above = None
             continue
-        if is_random(text, start, end):
+        if not known:
             found.append((start, 3, end))
+        wrapped = above is not None and above[1] - above[0] == end - start and NEXT_LINE.fullmatch(text, above[1], start)
+        if (wrapped or block in keys) and (rest := LAST_LINE.match(text, end)) and rest.end(1) - rest.start(1) < end - start:
+            found.append((rest.start(1), 3, rest.end(1)))
+        above = start, end
     return found
 
 
