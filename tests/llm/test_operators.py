@@ -456,6 +456,20 @@ def test_labels_far_ahead_and_values_in_code():
     assert secrets.scan_text("they said '" + key + "' to us") == []
 
 
+def test_keys_that_stand_twice_are_reported_twice():
+    key = "q7Zx9Lr2Vt5Kp8Wm3Yc6Hd1Jf4Gs0Bn"
+    for size in (30, 64, 200, 400):
+        long = (key if size == 30 else LONG_KEY)[:size]
+        for gap in ("", *(PROSE[:n] for n in (1, 40, 100)), PROSE * 2, PROSE * 4):
+            for times in (2, 3, 9):
+                text = f"\n{gap}secret key: ".join(["", *[long] * times]) + "\n" + gap
+                assert [text[s:e] for s, _, e in secrets.scan_text(text)] == [long] * times, (size, gap, times)
+    assert secrets.redact_text(f"key: {key}\nold-{key}-old") == "key: [SECRET]\n[SECRET]"
+    for text in (f"key: {LONG_KEY[:64]}\n{LONG_KEY[:32]}\n{LONG_KEY[32:64]}\n", f"secret {LONG_KEY[:32]}\n{LONG_KEY[32:64]}\n{LONG_KEY[:64]}"):
+        assert [s for s, _, _ in secrets.scan_text(text)] == [m.start() for m in re.finditer(r"\S{32,}", text)]
+    assert secrets.around("abXabYab", 3, 5) == ("X", "Y")
+
+
 def test_redaction_keeps_rows_and_columns(docs, no_docs):
     kept = secrets.redact(docs)
     assert kept.columns == docs.columns and kept.count() == docs.count()

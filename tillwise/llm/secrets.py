@@ -10,6 +10,8 @@ bytes; a random key is incompressible and adds nearly its entropy. What entropy
 its length and how the frame codes literals, so it is measured: random characters of the same alphabet are put in the
 candidate's place. Candidates in a sensitive context that take at least the share `AS_RANDOM` of their bytes
 (`AS_RANDOM_LONG` beyond `LONG` characters) are reported; those of letters alone must also be unlike words in their pairs of letters. The short last line of a wrapped key goes with it.
+Each distinct candidate of a text is judged once, short ones first, in surroundings from which its other occurrences and the keys
+found so far are taken out.
 
 Spans are code points, end exclusive. Null and empty texts have none. Equal texts have equal spans.
 """
@@ -20,9 +22,9 @@ import math
 import random
 import re
 import string
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from operator import itemgetter
 
@@ -115,13 +117,28 @@ def wordlike(candidate: str) -> bool:
     return sum(bits) < math.log2(26) * len(bits)
 
 
-def is_random(text: str, start: int, end: int) -> bool:
+def around(text: str, start: int, end: int, keys: Iterable[str] = ()) -> tuple[str, str]:
+    """The text before and after the candidate, without what repeats it or one of the keys."""
+    candidate, length = text[start:end], end - start
+    low, high = max(0, start - AROUND - length), min(len(text), end + AROUND + length)
+    taken = sorted({candidate, *keys}, key=len, reverse=True)
+    for x in taken:  # occurrences across the edges
+        if (cut := text.find(x, max(0, low - len(x) + 1), min(start, low + len(x) - 1))) >= 0:
+            low = cut + len(x)
+        if (cut := text.rfind(x, max(end, high - len(x) + 1), high + len(x) - 1)) >= 0:
+            high = cut
+    before, after = text[low:start], text[end:high]
+    for x in taken:
+        before, after = before.replace(x, ""), after.replace(x, "")
+    return before[-AROUND:], after[:AROUND]
+
+
+def is_random(text: str, start: int, end: int, keys: Iterable[str] = ()) -> bool:
     """Whether the candidate adds nearly as many bytes to its surroundings as random characters of its alphabet do."""
     candidate = text[start:end]
     if not any(x.isalnum() for x in candidate) or not any(x.isdigit() for x in candidate) and wordlike(candidate):
         return False
-    before = text[max(0, start - AROUND) : start]
-    after = text[end : end + AROUND]
+    before, after = around(text, start, end, keys)
 
     def size(added: str) -> int:
         return len(compressor().compress((before + after + added).encode("utf-8", "replace")))
@@ -187,7 +204,14 @@ def novel_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int,
     found = []
     candidates = list(sensitive_candidates(text))
     covered = [any((s <= start or kind == 0) and s < end <= e for s, kind, e in base) for start, end, _ in candidates]  # an assignment may begin inside its label
-    random_ = [not known and is_random(text, start, end) for (start, end, _), known in zip(candidates, covered, strict=True)]
+    verdicts: dict[str, bool] = {}
+    starts = [start for start, *_ in candidates]
+    for i in sorted(range(len(candidates)), key=lambda i: candidates[i][1] - candidates[i][0]):
+        start, end, _ = candidates[i]
+        if not covered[i] and text[start:end] not in verdicts:
+            near = candidates[bisect_left(starts, start - AROUND) : bisect_right(starts, end + AROUND)]
+            verdicts[text[start:end]] = is_random(text, start, end, [x for s, e, _ in near if verdicts.get(x := text[s:e])])
+    random_ = [not known and verdicts[text[start:end]] for (start, end, _), known in zip(candidates, covered, strict=True)]
     keys = {block for (_, _, block), known, yes in zip(candidates, covered, random_, strict=True) if block >= 0 and (known or yes)}
     above = None  # the line of a key before
     for (start, end, block), known, yes in zip(candidates, covered, random_, strict=True):
