@@ -56,6 +56,20 @@ def test_main_text_drops_what_is_no_article():
     assert html_text.main_text(page) == "On & on\nFirst words of it\nfood © A\nlast one"
 
 
+def test_boxes_lists_and_tables_do_not_cut_an_article():
+    links = "".join(f"<li><a href=/{i}>go</a></li>" for i in range(10))
+    share = "<div class=share><a>f</a> <a>t</a> <a>m</a></div>"
+    cells = "".join(f"<tr><td>{i}</td><td><a>{i}</a></td></tr>" for i in range(12))
+    title, lead, body, end = "Rain is on its way", " ".join(["lead"] * 20), " ".join(["body"] * 60), "The end"
+    box = f"<nav><ul>{links}</ul></nav>"
+    for inner in (share, box, f"<aside class=related><ul>{links}</ul></aside>", share + box, ""):
+        page = f"<body>{box}<article><h1>{title}</h1>{inner}<p>{lead}</p>{inner}<p>{body}</p>{inner}<p>{end}</p>{inner}</article>{box}<footer>{share}us</footer></body>"
+        assert html_text.main_text(page) == "\n".join([title, lead, body, end])
+    for inner, text in ((f"<ul>{links}</ul>", ["go"] * 10), (f"<table>{cells}</table>", [str(i // 2) for i in range(24)])):
+        page = f"<main><p>{title}</p>{inner}<p>{body}</p>{inner}<p>{end}</p></main>"
+        assert html_text.main_text(page) == "\n".join([title, *text, body, *text, end])
+
+
 def test_main_text_of_odd_pages(spark):
     odd = {None: "", "": "", "<!-- x": "", "<script>x": "", "a < b <": "a < b <", "plain words": "plain words", '<p title="x>y': "y", "</p></p>ok": "ok"}
     rows = spark.createDataFrame([(x,) for x in odd], "html string")
