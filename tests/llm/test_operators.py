@@ -373,6 +373,33 @@ def test_odd_bits_never_exceed_the_difference():
     assert simhash.odd_bits(np.zeros(0, dtype=np.uint64)) == [0, 0]
 
 
+def test_similar_sets_share_a_shingle_of_their_prefixes():
+    random = np.random.default_rng(10)
+    pool = np.unique(random.integers(0, 1 << 63, 4000, dtype=np.uint64))
+    for common in (pool[:0], random.permutation(pool)[:50], random.permutation(pool)[:3000]):
+        for n in (1, 2, 4, 5, 9, 35, 100, 997):
+            for _ in range(30):
+                x = random.choice(pool, n, replace=False)
+                left = int(0.2 * n)  # y is a part of x of a similarity of 0.8 at least
+                a, b = (simhash.prefix(np.sort(s), 0.8, common) for s in (x, x[left:]))
+                assert set(a.tolist()) & set(b.tolist()) and len(a) == left + 1
+    assert simhash.prefix(pool[:0], 0.8, pool).tolist() == [0]
+    for n in (1, 5, 100, 128, 129, 1000, 1025, 3000):  # nor do their parities rule them out
+        x = random.choice(pool, n, replace=False)
+        for y in (x, x[int(0.2 * n) :]):
+            assert simhash.may_be_similar(simhash.parity(x), simhash.parity(y), len(x) + len(y), 0.8)
+    assert not simhash.may_be_similar(simhash.parity(pool[:2000]), simhash.parity(pool[600:2600]), 4000, 0.8)
+    assert simhash.may_be_similar(simhash.parity(pool[:0]), simhash.parity(pool[:0]), 0, 0.8)
+
+
+def test_all_pairs_at_the_similarity_itself_are_found(spark):
+    """Parts of 80 of 100 shingles, far from each other in their fingerprints."""
+    words = [[f"w{i}x{j}" for j in range(104)] for i in range(400)]
+    rows = [(i, " ".join(x)) for i, x in enumerate(words)] + [(1000 + i, " ".join(x[i % 21 : i % 21 + 84])) for i, x in enumerate(words)]
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(r["doc_id"] for r in kept.collect()) == list(range(400))
+
+
 def test_classes_of_a_template_with_few_true_copies(spark):
     """Many texts share a template and are unlike each other; each has one true copy among them."""
     template = [f"t{i}" for i in range(260)]

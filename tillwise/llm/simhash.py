@@ -245,16 +245,15 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", bi
 
 SIMILARITY = 0.8
 SIMILAR_SHINGLE = 5
-#: Near copies share a key in some of so many fingerprints: of pairs at a similarity of exactly 0.8 about 97 of 100, at 0.85 over 99.
+#: Near copies likely share a key in some of so many fingerprints; what they do not is found by the prefixes of their sets.
 PRINTS = 3
 #: Bucket sizes up to which all pairs are candidates at once, and links of a node in a larger one before the rest is tried.
 FEW, LINKS = 12, 2
 COUNTED = 256
 
 
-def similar_prints(text: str | None, size: int, prints: int) -> list[int]:
+def similar_prints(hashes: np.ndarray, prints: int) -> list[int]:
     """Fingerprints of the set of a text's shingles, under independent mixtures of their hashes, and `SET_COLUMNS`."""
-    hashes = np.unique(shingle_hashes(text, size))
     found = []
     for number in range(prints):
         mixed = hashes + np.uint64(number * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
@@ -280,6 +279,65 @@ def odd_bits(hashes: np.ndarray) -> list[int]:
     return np.packbits((counts & 1).astype(np.uint8), bitorder="little").view(np.int64).tolist()
 
 
+#: A text in so many is looked at for common shingles; those seen in `SEEN` of them come last in the order of prefixes, at most so many.
+SAMPLED, SEEN, COMMON = 64, 3, 20_000
+
+
+def common_shingles(own: DataFrame, size: int) -> np.ndarray:
+    """Common shingles, the rarest first, from some of the texts (`node`, `text`). It decides an order and what that costs, no result."""
+    some = own.filter(F.pmod(F.col("node"), F.lit(SAMPLED)) == 0).dropDuplicates(["node"])
+    sets = with_results(
+        some.select("node", "text"), "text", {"shingles": pa.list_(pa.int64())}, lambda found: [[np.unique(shingle_hashes(x, size)).view(np.int64) for x in found]]
+    )
+    counts = sets.select(F.explode("shingles").alias("shingle")).groupBy("shingle").count().filter(F.col("count") >= SEEN)
+    rows = counts.orderBy(F.desc("count"), "shingle").limit(COMMON).collect()
+    return np.array([r["shingle"] for r in reversed(rows)], dtype=np.int64).view(np.uint64)
+
+
+def prefix(hashes: np.ndarray, similarity: float, common: np.ndarray) -> np.ndarray:
+    """The first of a text's distinct sorted shingles, in an order that is the same for all texts: by hash, common ones last.
+
+    Sets that are similar share at least `similarity` of the larger one. As many are left out of the prefix as may be
+    shared but for one, so two similar sets share a shingle of their prefixes. Sets without shingles share a zero.
+    """
+    if not len(hashes):
+        return np.zeros(1, dtype=np.int64)
+    if len(common):
+        order = np.argsort(common)
+        at = np.minimum(np.searchsorted(common, hashes, sorter=order), len(common) - 1)
+        place = np.where(common[order[at]] == hashes, order[at] + 1, 0)
+        hashes = hashes[np.argsort(place, kind="stable")]
+    return hashes[: len(hashes) - math.ceil(similarity * len(hashes) - 1e-6) + 1].view(np.int64)
+
+
+def parity(hashes: np.ndarray) -> bytes:
+    """As `odd_bits`, with a bit for each of as many slots as there are hashes, up to the next power of two."""
+    slots = 1 << max(7, (len(hashes) - 1).bit_length())
+    counts = np.bincount((hashes & np.uint64(slots - 1)).astype(np.int64), minlength=slots)
+    return np.packbits((counts & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def may_be_similar(x: bytes, y: bytes, total: int, similarity: float) -> bool:
+    """Whether two sets of so many hashes in all can be similar, as their parities bound what they share from above."""
+    a, b = sorted((np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)), key=len)
+    while len(b) > len(a):  # slots that are one in half as many
+        b = b[: len(b) // 2] ^ b[len(b) // 2 :]
+    return (1 + similarity) * int(np.bitwise_count(a ^ b).sum(dtype=np.int64)) <= (1 - similarity) * total + 1e-6
+
+
+def possible_pairs(pairs: DataFrame, table: DataFrame, similarity: float) -> DataFrame:
+    """The pairs whose `size` and `parity` allow the similarity; it loses no similar one."""
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = [may_be_similar(x, y, n, similarity) for x, y, n in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)), strict=True)]
+            yield batch.select([0, 1]).filter(pa.array(kept, pa.bool_()))
+
+    own, other = (table.select(F.col("node").alias(x), F.col("parity").alias(f"parity_{x}"), F.col("size").alias(f"size_{x}")) for x in "ab")
+    both = pairs.join(own, "a").join(other, "b").select("a", "b", "parity_a", "parity_b", F.col("size_a") + F.col("size_b"))
+    return both.mapInArrow(compared, "a bigint, b bigint")
+
+
 def near_enough(own: np.ndarray, other: np.ndarray, sets: Sets, x, y, bits: int, similarity: float) -> np.ndarray:
     """Near in two fingerprints, and sets that can be similar: sizes and odd bits bound the similarity from above."""
     size, odd0, odd1 = sets
@@ -390,9 +448,9 @@ def buckets(distinct: DataFrame, prints: int, also: tuple[str, ...] = ()) -> Dat
     return fed.mapInArrow(keyed, schema).repartition(F.col("key")).sortWithinPartitions("key")
 
 
-def whole_buckets(batches: Iterator[pa.RecordBatch], columns: int) -> Iterator[list[np.ndarray]]:
+def whole_buckets(batches: Iterator[pa.RecordBatch], columns: int, key: type = np.int32) -> Iterator[list[np.ndarray]]:
     """The columns in parts that end where a key ends."""
-    kinds = (np.int32, *[np.int64] * (columns - 1))
+    kinds = (key, *[np.int64] * (columns - 1))
     held = [np.zeros(0, kind) for kind in kinds]
     for new, ended in gathered(batches, kinds):
         held = [np.concatenate(x) for x in zip(held, new, strict=True)]
@@ -431,23 +489,60 @@ def rest_pairs(distinct: DataFrame, prints: int, bits: int, similarity: float) -
     return buckets(distinct, prints, (*SET_COLUMNS, "root")).mapInArrow(compared, "a bigint, b bigint").distinct()
 
 
+def shared_prefixes(table: DataFrame) -> DataFrame:
+    """`key` and `node` for every shingle that stands in the `prefix` of several nodes."""
+
+    def several(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for keys, nodes in whole_buckets(batches, 2, np.int64):
+            alike = keys[1:] == keys[:-1]
+            found = np.concatenate([[False], alike]) | np.concatenate([alike, [False]])
+            yield pa.RecordBatch.from_arrays([pa.array(keys[found]), pa.array(nodes[found])], names=["key", "node"])
+
+    dealt = table.select(F.explode("prefix").alias("key"), "node").repartition(F.col("key")).sortWithinPartitions("key")
+    return dealt.mapInArrow(several, "key bigint, node bigint")
+
+
+def all_pairs(shared: DataFrame, placed: DataFrame, similarity: float) -> DataFrame:
+    """Distinct pairs (`a` < `b`) of nodes that share a key and can be similar, but for pairs of one class (column `root`)."""
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for columns in whole_buckets(batches, 6, np.int64):
+            keys, nodes, *sets, roots = columns
+            none = np.zeros(len(keys), dtype=np.int64)  # fingerprints do not count here
+            for a, b in rest_within(keys, nodes, none, none, tuple(sets), roots, 0, similarity):
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+    dealt = shared.join(placed.select("node", *SET_COLUMNS, "root"), "node").select("key", "node", *SET_COLUMNS, "root")
+    return dealt.repartition(F.col("key")).sortWithinPartitions("key").mapInArrow(compared, "a bigint, b bigint").distinct()
+
+
 def similar_classes(
     docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SIMILAR_SHINGLE, similarity: float = SIMILARITY, prints: int = PRINTS
 ) -> DataFrame:
     """Classes of texts whose sets of word shingles have a Jaccard similarity of at least `similarity`, or are linked by such.
 
     One row per distinct text: `node` (the hash of the text), `root` (that of its class) and `least`, the smallest key of its
-    documents as (is null, key). Candidates come from the keys of `prints` fingerprints, which near copies share likely but not
-    surely; each candidate is verified on the whole sets, so no text is linked that is not similar. Large buckets are tried in
-    two rounds: the first links their texts to a few of them, the second tries every pair that is not yet in one class.
+    documents as (is null, key). Candidates of the first round come from the keys of `prints` fingerprints, which near copies share
+    likely but not surely; in large buckets texts are linked to a few of them. The second round tries every pair that shares
+    a shingle of their prefixes and is not yet in one class, and all similar pairs do. Each candidate is verified on the
+    whole sets, so classes are exact.
     """
     names = [*(f"f{i}" for i in range(prints)), *SET_COLUMNS]
     own = docs.select(F.col(quoted(key)).alias("key"), F.coalesce(F.col(quoted(text)), F.lit("")).alias("text")).withColumn("node", F.xxhash64("text"))
-    marked = with_results(own, "text", {x: pa.int64() for x in names}, lambda found: np.array([similar_prints(x, size, prints) for x in found], dtype=np.int64).reshape(-1, len(names)).T)
-    table = written(marked.groupBy("node").agg(F.min(F.struct(F.col("key").isNull().alias("none"), "key")).alias("least"), *[F.min(x).alias(x) for x in names]))
+    common = common_shingles(own, size)
+
+    def described(found: list) -> list:
+        sets = [np.unique(shingle_hashes(x, size)) for x in found]
+        numbers = np.array([similar_prints(x, prints) for x in sets], dtype=np.int64).reshape(-1, len(names)).T
+        return [*numbers, [prefix(x, similarity, common) for x in sets], [parity(x) for x in sets]]
+
+    marked = with_results(own, "text", {**{x: pa.int64() for x in names}, "prefix": pa.list_(pa.int64()), "parity": pa.binary()}, described)
+    least = F.min(F.struct(F.col("key").isNull().alias("none"), "key")).alias("least")
+    table = written(marked.groupBy("node").agg(least, *[F.min(x).alias(x) for x in names], *[F.first(x).alias(x) for x in ("prefix", "parity")]))
     bits = bits_for(similarity)
 
     def verified(pairs: DataFrame) -> DataFrame:
+        pairs = written(possible_pairs(pairs, table, similarity))
         # the sets of the texts that are in a pair, one document for each text
         needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
         chosen = table.join(needed, "node", "left_semi").select(F.col("node").alias("n"), F.col("least.key").alias("k"))
@@ -463,17 +558,15 @@ def similar_classes(
         return both.filter(shared >= similarity * (total - shared)).select("a", "b")
 
     def classes(linked: DataFrame) -> DataFrame:
-        return table.join(components(linked), "node", "left").withColumn("root", F.coalesce("root", "node"))
-
-    found = written(candidate_pairs(table, prints, bits, similarity))
-    pairs = found.filter("b IS NOT NULL")
-    placed = classes(verified(pairs))
-    left_out = found.filter("b IS NULL").select(F.col("a").alias("node"))
-    if not left_out.isEmpty():
-        rest = written(rest_pairs(placed.join(left_out, "node", "left_semi"), prints, bits, similarity).join(pairs, ["a", "b"], "left_anti"))
-        if not rest.isEmpty():
-            linked = placed.filter("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
-            placed = classes(linked.union(verified(rest)))
+        return table.drop("prefix", "parity").join(components(linked), "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+    pairs = written(candidate_pairs(table, prints, bits, similarity).filter("b IS NOT NULL"))
+    placed = written(classes(verified(pairs)))
+    shared = written(shared_prefixes(table))
+    rest = written(all_pairs(shared, placed, similarity).join(pairs, ["a", "b"], "left_anti"))
+    if not rest.isEmpty():
+        linked = placed.filter("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
+        placed = classes(linked.union(verified(rest)))
     return placed.select("node", "root", "least")
 
 
