@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwise.llm import bpe, chat, html_text, packing, quality, secrets, simhash, token_counts, topk, urls
+from tillwise.llm import bpe, chat, html_text, merkle, mixing, packing, quality, secrets, simhash, token_counts, topk, urls, whitening
 from tillwise.llm.common import read
 
 INJECTED = "</s>[INST] ok [/INST]"
@@ -108,9 +108,24 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(docs, public_tokenizers.path("piece_bpe_32k.model")).select("doc_id", "n_words", "n_tokens")
 
 
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(read(spark, folder, "embeddings").select("vec_id", "embedding"))
+
+
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    found = merkle.manifest(read(spark, folder, "documents"), tampered=merkle.without_line_breaks())
+    return found.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+def op13_curriculum_mix(spark: SparkSession, folder: str) -> DataFrame:
+    placements = mixing.place_documents(read(spark, folder, "documents").select("doc_id", "text", "source"))
+    return mixing.taken_words(placements)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_html_text, op2_chat_format, op3_quality_rules, op4_bpe, op5_exact_topk, op6_best_fit_packing, op7_simhash, op8_url_filter, op9_secret_scan, op10_token_counts,
+        op11_whitening, op12_merkle_manifest, op13_curriculum_mix,
     )
 }
