@@ -18,19 +18,17 @@ number costs nothing. Documents without an id take part; a component without any
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillwise.llm.common import quoted, with_results, written
-
-Sets = tuple[np.ndarray, np.ndarray, np.ndarray]
+from tillwise.operators.ordering import broadcast_if_small
 
 BITS = 4
 SHINGLE = 4
@@ -227,361 +225,54 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", bits: int = BITS, size: int = SHINGLE, seed: int = SEED) -> DataFrame:
-    """One row per document: the key, `fingerprint` (signed) and `component_id`, the smallest key reachable."""
-    own = docs.select(F.col(quoted(key)).alias("key"), F.col(quoted(text)).alias("text"))
-    prints = written(fingerprints(own, "text", "fingerprint", size, seed))
-    distinct = prints.groupBy("fingerprint").agg(F.min("key").alias("least_key"))
-    roots = components(links(distinct.select("fingerprint"), bits=bits))
-    placed = distinct.join(roots, F.col("fingerprint") == F.col("node"), "left").select(
-        "fingerprint", "least_key", F.coalesce("root", "fingerprint").alias("root")
-    )
-    named = placed.groupBy("root").agg(F.min("least_key").alias("component_id"))
-    classes = placed.join(named, "root").select("fingerprint", "component_id")
-    return prints.join(classes, "fingerprint").select(F.col("key").alias(key), "fingerprint", "component_id")
-
-
-# ---------------------------------------------------------------- near copies by similarity of their shingles
-
-SIMILARITY = 0.8
-SIMILAR_SHINGLE = 5
-#: Near copies likely share a key in some of so many fingerprints; what they do not is found by the prefixes of their sets.
-PRINTS = 3
-#: Bucket sizes up to which all pairs are candidates at once, and links of a node in a larger one before the rest is tried.
-FEW, LINKS = 12, 2
-COUNTED = 256
-
-
-def similar_prints(hashes: np.ndarray, prints: int) -> list[int]:
-    """Fingerprints of the set of a text's shingles, under independent mixtures of their hashes, and `SET_COLUMNS`."""
-    found = []
-    for number in range(prints):
-        mixed = hashes + np.uint64(number * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
-        mixed = (mixed ^ mixed >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
-        mixed = (mixed ^ mixed >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
-        found.append(majority(mixed ^ mixed >> np.uint64(31)))
-    return [*found, len(hashes), *odd_bits(hashes)]
-
-
-def bits_for(similarity: float, deviations: float = 1.5, bits: int = 128) -> int:
-    """Differing bits between two fingerprints each of sets of that similarity: the mean and so many standard deviations."""
-    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    return math.ceil(bits * share + deviations * math.sqrt(bits * share * (1 - share)))
-
-
-#: Columns of a set besides its fingerprints: its size, and bits that say for each slot of hashes whether it holds an odd number.
-SET_COLUMNS = ("size", "odd0", "odd1")
-
-
-def odd_bits(hashes: np.ndarray) -> list[int]:
-    """128 bits, as two signed numbers. Two sets differ in at least as many hashes as their bits differ."""
-    counts = np.bincount((hashes >> np.uint64(57)).astype(np.int64), minlength=128)
-    return np.packbits((counts & 1).astype(np.uint8), bitorder="little").view(np.int64).tolist()
-
-
-#: A text in so many is looked at for common shingles; those seen in `SEEN` of them come last in the order of prefixes, at most so many.
-SAMPLED, SEEN, COMMON = 64, 3, 20_000
-
-
-def common_shingles(own: DataFrame, size: int) -> np.ndarray:
-    """Common shingles, the rarest first, from some of the texts (`node`, `text`). It decides an order and what that costs, no result."""
-    some = own.filter(F.pmod(F.col("node"), F.lit(SAMPLED)) == 0).dropDuplicates(["node"])
-    sets = with_results(
-        some.select("node", "text"), "text", {"shingles": pa.list_(pa.int64())}, lambda found: [[np.unique(shingle_hashes(x, size)).view(np.int64) for x in found]]
-    )
-    counts = sets.select(F.explode("shingles").alias("shingle")).groupBy("shingle").count().filter(F.col("count") >= SEEN)
-    rows = counts.orderBy(F.desc("count"), "shingle").limit(COMMON).collect()
-    return np.array([r["shingle"] for r in reversed(rows)], dtype=np.int64).view(np.uint64)
-
-
-def prefix(hashes: np.ndarray, similarity: float, common: np.ndarray) -> np.ndarray:
-    """The first of a text's distinct sorted shingles, in an order that is the same for all texts: by hash, common ones last.
-
-    Sets that are similar share at least `similarity` of the larger one. As many are left out of the prefix as may be
-    shared but for one, so two similar sets share a shingle of their prefixes. Sets without shingles share a zero.
-    """
-    if not len(hashes):
-        return np.zeros(1, dtype=np.int64)
-    if len(common):
-        order = np.argsort(common)
-        at = np.minimum(np.searchsorted(common, hashes, sorter=order), len(common) - 1)
-        place = np.where(common[order[at]] == hashes, order[at] + 1, 0)
-        hashes = hashes[np.argsort(place, kind="stable")]
-    return hashes[: len(hashes) - math.ceil(similarity * len(hashes) - 1e-6) + 1].view(np.int64)
-
-
-def parity(hashes: np.ndarray) -> bytes:
-    """As `odd_bits`, with a bit for each of as many slots as there are hashes, up to the next power of two."""
-    slots = 1 << max(7, (len(hashes) - 1).bit_length())
-    counts = np.bincount((hashes & np.uint64(slots - 1)).astype(np.int64), minlength=slots)
-    return np.packbits((counts & 1).astype(np.uint8), bitorder="little").tobytes()
-
-
-def may_be_similar(x: bytes, y: bytes, total: int, similarity: float) -> bool:
-    """Whether two sets of so many hashes in all can be similar, as their parities bound what they share from above."""
-    a, b = sorted((np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)), key=len)
-    while len(b) > len(a):  # slots that are one in half as many
-        b = b[: len(b) // 2] ^ b[len(b) // 2 :]
-    return (1 + similarity) * int(np.bitwise_count(a ^ b).sum(dtype=np.int64)) <= (1 - similarity) * total + 1e-6
-
-
-def possible_pairs(pairs: DataFrame, table: DataFrame, similarity: float) -> DataFrame:
-    """The pairs whose `size` and `parity` allow the similarity; it loses no similar one."""
-
-    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            kept = [may_be_similar(x, y, n, similarity) for x, y, n in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)), strict=True)]
-            yield batch.select([0, 1]).filter(pa.array(kept, pa.bool_()))
-
-    own, other = (table.select(F.col("node").alias(x), F.col("parity").alias(f"parity_{x}"), F.col("size").alias(f"size_{x}")) for x in "ab")
-    both = pairs.join(own, "a").join(other, "b").select("a", "b", "parity_a", "parity_b", F.col("size_a") + F.col("size_b"))
-    return both.mapInArrow(compared, "a bigint, b bigint")
-
-
-def near_enough(own: np.ndarray, other: np.ndarray, sets: Sets, x, y, bits: int, similarity: float) -> np.ndarray:
-    """Near in two fingerprints, and sets that can be similar: sizes and odd bits bound the similarity from above."""
-    size, odd0, odd1 = sets
-    close = np.bitwise_count(own[x] ^ own[y]) + np.bitwise_count(other[x] ^ other[y]) <= bits
-    close &= np.minimum(size[x], size[y]) >= similarity * np.maximum(size[x], size[y])
-    differing = np.bitwise_count(odd0[x] ^ odd0[y]) + np.bitwise_count(odd1[x] ^ odd1[y]).astype(np.int64)
-    # shared = (total - differing) / 2, so shared >= similarity * (total - shared) reads:
-    return close & ((1 + similarity) * differing <= (1 - similarity) * (size[x] + size[y]) + 1e-6)
+#: Parts that the rows of one root are dealt to where the roots are too many to broadcast.
+SALTS = 32
 
 
-def candidates_within(
-    keys: np.ndarray, nodes: np.ndarray, own: np.ndarray, other: np.ndarray, sets: Sets, bits: int, similarity: float
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs of nodes of one bucket whose fingerprints are near enough, and the nodes that may have pairs left out.
+def classes(prints: DataFrame, least: Column, bits: int = BITS) -> DataFrame:
+    """`fingerprint` and `first`, the least value of `least` in its component, from rows with a `fingerprint`.
 
-    In buckets of up to `FEW` nodes all pairs; in larger ones every node with the `LINKS` smallest ones it is near to, which
-    links nearly all of a large group at a cost in proportion to its size. What that leaves out is tried by `rest_within`, for
-    the nodes that have near ones left; beyond `COUNTED` nodes that is not found out, and all of a bucket are named.
+    Minima are taken before and after the rows are dealt out. Only linked fingerprints are joined with the names of their components,
+    by broadcast where these are few (they are counted), else in `SALTS` parts, so that a giant component does not meet in one task.
     """
-    own, other = own.view(np.uint64), other.view(np.uint64)  # bits of signed numbers would be those of their absolute values
-    sets = sets[0], sets[1].view(np.uint64), sets[2].view(np.uint64)
-    starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-    sizes = np.diff(np.concatenate([starts, [len(keys)]]))
-    a, b, open_ = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
-    at = np.flatnonzero(np.repeat(sizes <= FEW, sizes))
-    step = 1
-    while len(at):
-        at = at[at + step < len(keys)]
-        at = at[keys[at] == keys[at + step]]
-        found = at[near_enough(own, other, sets, at, at + step, bits, similarity)]
-        a.append(nodes[found])
-        b.append(nodes[found + step])
-        step += 1
-    for start, size in zip(starts[sizes > FEW].tolist(), sizes[sizes > FEW].tolist(), strict=True):
-        left = start + np.argsort(nodes[start : start + size], kind="stable")
-        members, tried = left, np.zeros(size, dtype=np.int64)
-        times = np.zeros(len(left), dtype=np.int8)
-        skipped = False
-        while len(left) > 1:
-            first, left, times = left[0], left[1:], times[1:]
-            close = near_enough(own, other, sets, left, first, bits, similarity)
-            tried[first - start] += close.sum()
-            tried[left[close] - start] += 1
-            a.append(np.full(int(close.sum()), nodes[first]))
-            b.append(nodes[left[close]])
-            times = times + close
-            going_on = times < LINKS
-            skipped = skipped or len(left) > 1 and not going_on.all()
-            left, times = left[going_on], times[going_on]
-        if skipped and size <= COUNTED:
-            near = near_enough(own, other, sets, members[:, None], members[None, :], bits, similarity).sum(axis=1) - 1
-            members = members[near > tried[members - start]]
-        if skipped:
-            open_.append(nodes[members])
-    return np.concatenate(a), np.concatenate(b), np.concatenate(open_)
-
-
-def rest_within(
-    keys: np.ndarray, nodes: np.ndarray, own: np.ndarray, other: np.ndarray, sets: Sets, roots: np.ndarray, bits: int, similarity: float
-) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """All pairs of nodes of one bucket whose fingerprints are near enough and whose classes differ, in parts.
-
-    The nodes of a bucket's largest class are not compared with each other, so a large group of copies costs nothing.
-    """
-    own, other = own.view(np.uint64), other.view(np.uint64)
-    sets = sets[0], sets[1].view(np.uint64), sets[2].view(np.uint64)
-    starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-    a, b, count = [], [], 0
-    for start, end in zip(starts.tolist(), [*starts[1:].tolist(), len(keys)], strict=True):
-        _, classes, sizes = np.unique(roots[start:end], return_inverse=True, return_counts=True)
-        if len(sizes) < 2:
-            continue
-        order = start + np.argsort(sizes[classes] * len(sizes) + classes, kind="stable")  # the largest class comes last
-        for i in range(len(order) - int(sizes.max())):
-            first, later = order[i], order[i + 1 :]
-            later = later[(roots[later] != roots[first]) & near_enough(own, other, sets, later, first, bits, similarity)]
-            if len(later):
-                a.append(np.full(len(later), nodes[first]))
-                b.append(nodes[later])
-                count += len(later)
-            if count >= 100_000:
-                yield np.concatenate(a), np.concatenate(b)
-                a, b, count = [], [], 0
-    if count:
-        yield np.concatenate(a), np.concatenate(b)
-
-
-def buckets(distinct: DataFrame, prints: int, also: tuple[str, ...] = ()) -> DataFrame:
-    """A row for each node and key, with two fingerprints and further number columns; rows of one key lie together."""
-
-    names = ["key", "node", "own", "other", *also]
-
-    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            nodes = batch.column(0).to_numpy()
-            found = [batch.column(1 + i).to_numpy() for i in range(prints)]
-            more = [batch.column(1 + prints + i).to_numpy() for i in range(len(also))]
-            for i in range(prints):
-                rows, keys = pair_keys(found[i])
-                keys = keys + (i << 26)
-                for at in range(0, len(rows), 100_000):
-                    part = rows[at : at + 100_000]
-                    columns = [keys[at : at + 100_000].astype(np.int32), nodes[part], found[i][part], found[(i + 1) % prints][part], *(x[part] for x in more)]
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=names)
-
-    fed = spread(distinct.select("node", *[f"f{i}" for i in range(prints)], *also))
-    schema = ", ".join(["key int", *(f"{x} bigint" for x in names[1:])])
-    return fed.mapInArrow(keyed, schema).repartition(F.col("key")).sortWithinPartitions("key")
-
-
-def whole_buckets(batches: Iterator[pa.RecordBatch], columns: int, key: type = np.int32) -> Iterator[list[np.ndarray]]:
-    """The columns in parts that end where a key ends."""
-    kinds = (key, *[np.int64] * (columns - 1))
-    held = [np.zeros(0, kind) for kind in kinds]
-    for new, ended in gathered(batches, kinds):
-        held = [np.concatenate(x) for x in zip(held, new, strict=True)]
-        whole = len(held[0]) if ended or not len(held[0]) else int((held[0] == held[0][-1]).argmax())
-        if whole:
-            yield [x[:whole] for x in held]
-            held = [x[whole:] for x in held]
-
-
-def candidate_pairs(distinct: DataFrame, prints: int, bits: int, similarity: float) -> DataFrame:
-    """Distinct pairs (`a` < `b`) of nodes that share a pair of keys in some fingerprint and are near in two of them.
-
-    A row without `b` names a node that may have near ones it is in no pair with. `SET_COLUMNS` describe a node's set.
-    """
-
-    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for columns in whole_buckets(batches, 7):
-            keys, nodes, own, other, *sets = columns
-            a, b, open_ = candidates_within(keys, nodes, own, other, tuple(sets), bits, similarity)
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
-            open_ = np.unique(open_)
-            yield pa.RecordBatch.from_arrays([pa.array(open_), pa.nulls(len(open_), pa.int64())], names=["a", "b"])
-
-    return buckets(distinct, prints, SET_COLUMNS).mapInArrow(compared, "a bigint, b bigint").distinct()
-
-
-def rest_pairs(distinct: DataFrame, prints: int, bits: int, similarity: float) -> DataFrame:
-    """Distinct pairs as of `candidate_pairs`, all of them, but for pairs of nodes of one class (column `root`)."""
-
-    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for columns in whole_buckets(batches, 8):
-            keys, nodes, own, other, *sets, roots = columns
-            for a, b in rest_within(keys, nodes, own, other, tuple(sets), roots, bits, similarity):
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
-
-    return buckets(distinct, prints, (*SET_COLUMNS, "root")).mapInArrow(compared, "a bigint, b bigint").distinct()
-
-
-def shared_prefixes(table: DataFrame) -> DataFrame:
-    """`key` and `node` for every shingle that stands in the `prefix` of several nodes."""
-
-    def several(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for keys, nodes in whole_buckets(batches, 2, np.int64):
-            alike = keys[1:] == keys[:-1]
-            found = np.concatenate([[False], alike]) | np.concatenate([alike, [False]])
-            yield pa.RecordBatch.from_arrays([pa.array(keys[found]), pa.array(nodes[found])], names=["key", "node"])
-
-    dealt = table.select(F.explode("prefix").alias("key"), "node").repartition(F.col("key")).sortWithinPartitions("key")
-    return dealt.mapInArrow(several, "key bigint, node bigint")
-
-
-def all_pairs(shared: DataFrame, placed: DataFrame, similarity: float) -> DataFrame:
-    """Distinct pairs (`a` < `b`) of nodes that share a key and can be similar, but for pairs of one class (column `root`)."""
+    distinct = written(prints.groupBy("fingerprint").agg(F.min(least).alias("first")))
+    roots = components(links(distinct.select("fingerprint"), bits=bits))
+    joined = distinct.join(roots, F.col("fingerprint") == F.col("node"), "left")
+    linked = joined.select("fingerprint", "first", F.coalesce("root", "fingerprint").alias("root"))
+    several = linked.groupBy("root").agg(F.min("first").alias("named"), F.count("*").alias("members")).filter("members > 1").drop("members")
+    named = written(several)
+    small = broadcast_if_small(named)
+    if small is named:
+        salted = named.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        found = linked.withColumn("salt", F.pmod(F.xxhash64("fingerprint"), F.lit(SALTS)).cast("int")).join(salted, ["root", "salt"], "left")
+    else:
+        found = linked.join(small, "root", "left")
+    return found.select("fingerprint", F.coalesce("named", "first").alias("first"))
 
-    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for columns in whole_buckets(batches, 6, np.int64):
-            keys, nodes, *sets, roots = columns
-            none = np.zeros(len(keys), dtype=np.int64)  # fingerprints do not count here
-            for a, b in rest_within(keys, nodes, none, none, tuple(sets), roots, 0, similarity):
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
-    dealt = shared.join(placed.select("node", *SET_COLUMNS, "root"), "node").select("key", "node", *SET_COLUMNS, "root")
-    return dealt.repartition(F.col("key")).sortWithinPartitions("key").mapInArrow(compared, "a bigint, b bigint").distinct()
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", bits: int = BITS, size: int = SHINGLE, seed: int = SEED) -> DataFrame:
+    """One row per document: the key, `fingerprint` (signed) and `component_id`, the smallest key reachable."""
+    own = docs.select(F.col(quoted(key)).alias("key"), F.col(quoted(text)).alias("text"))
+    prints = written(fingerprints(own, "text", "fingerprint", size, seed))
+    found = classes(prints, F.col("key"), bits).withColumnRenamed("first", "component_id")
+    return prints.join(found, "fingerprint").select(F.col("key").alias(key), "fingerprint", "component_id")
 
 
-def similar_classes(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SIMILAR_SHINGLE, similarity: float = SIMILARITY, prints: int = PRINTS
-) -> DataFrame:
-    """Classes of texts whose sets of word shingles have a Jaccard similarity of at least `similarity`, or are linked by such.
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", bits: int = BITS, size: int = SHINGLE, seed: int = SEED) -> DataFrame:
+    """One row of each component, in full, with the columns of `docs`: that of the smallest key.
 
-    One row per distinct text: `node` (the hash of the text), `root` (that of its class) and `least`, the smallest key of its
-    documents as (is null, key). Candidates of the first round come from the keys of `prints` fingerprints, which near copies share
-    likely but not surely; in large buckets texts are linked to a few of them. The second round tries every pair that shares
-    a shingle of their prefixes and is not yet in one class, and all similar pairs do. Each candidate is verified on the
-    whole sets, so classes are exact.
-    """
-    names = [*(f"f{i}" for i in range(prints)), *SET_COLUMNS]
-    own = docs.select(F.col(quoted(key)).alias("key"), F.coalesce(F.col(quoted(text)), F.lit("")).alias("text")).withColumn("node", F.xxhash64("text"))
-    common = common_shingles(own, size)
-
-    def described(found: list) -> list:
-        sets = [np.unique(shingle_hashes(x, size)) for x in found]
-        numbers = np.array([similar_prints(x, prints) for x in sets], dtype=np.int64).reshape(-1, len(names)).T
-        return [*numbers, [prefix(x, similarity, common) for x in sets], [parity(x) for x in sets]]
-
-    marked = with_results(own, "text", {**{x: pa.int64() for x in names}, "prefix": pa.list_(pa.int64()), "parity": pa.binary()}, described)
-    least = F.min(F.struct(F.col("key").isNull().alias("none"), "key")).alias("least")
-    table = written(marked.groupBy("node").agg(least, *[F.min(x).alias(x) for x in names], *[F.first(x).alias(x) for x in ("prefix", "parity")]))
-    bits = bits_for(similarity)
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        pairs = written(possible_pairs(pairs, table, similarity))
-        # the sets of the texts that are in a pair, one document for each text
-        needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        chosen = table.join(needed, "node", "left_semi").select(F.col("node").alias("n"), F.col("least.key").alias("k"))
-        texts = own.join(chosen, (F.col("node") == F.col("n")) & F.col("key").eqNullSafe(F.col("k")), "left_semi")
-        sets = with_results(
-            texts.select("node", "text"), "text", {"shingles": pa.list_(pa.int64())}, lambda found: [[np.unique(shingle_hashes(x, size)).view(np.int64) for x in found]]
-        )
-        sets = written(sets.dropDuplicates(["node"]))
-        both = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a").join(
-            sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b"
-        )
-        shared, total = F.size(F.array_intersect("x", "y")), F.size("x") + F.size("y")
-        return both.filter(shared >= similarity * (total - shared)).select("a", "b")
-
-    def classes(linked: DataFrame) -> DataFrame:
-        return table.drop("prefix", "parity").join(components(linked), "node", "left").withColumn("root", F.coalesce("root", "node"))
-
-    pairs = written(candidate_pairs(table, prints, bits, similarity).filter("b IS NOT NULL"))
-    placed = written(classes(verified(pairs)))
-    shared = written(shared_prefixes(table))
-    rest = written(all_pairs(shared, placed, similarity).join(pairs, ["a", "b"], "left_anti"))
-    if not rest.isEmpty():
-        linked = placed.filter("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
-        placed = classes(linked.union(verified(rest)))
-    return placed.select("node", "root", "least")
-
-
-def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SIMILAR_SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
-    """One row of each class of similar texts, in full, with the columns of `docs`: that of the smallest key.
-
-    Keys may be null (they come last) or repeated; of several rows with the chosen key and text one stays.
+    Keys may be null (they come last) or repeated; of several rows with the chosen key one stays, of equal rows any.
     """
     names = docs.columns
     plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
     own_key, own_text = f"c{names.index(key)}", f"c{names.index(text)}"
-    classes = similar_classes(plain, own_key, own_text, size, similarity)
-    chosen = written(classes.groupBy("root").agg(F.min(F.struct("least", "node")).alias("first")).select(F.col("first.node").alias("node"), F.col("first.least.key").alias("k")))
-    hashed = plain.withColumn("node_in", F.xxhash64(F.coalesce(F.col(own_text), F.lit(""))))
-    found = hashed.join(chosen, (F.col("node_in") == F.col("node")) & F.col(own_key).eqNullSafe(F.col("k")), "left_semi")
-    # Rows that share the key and the text: one stays. Grouping would carry the texts; the window holds few rows a key.
-    order = Window.partitionBy("node_in", own_key).orderBy(F.xxhash64(*plain.columns))
-    return found.withColumn("place", F.row_number().over(order)).filter("place = 1").select(*plain.columns).toDF(*names)
+    whole = F.struct(F.xxhash64(*plain.columns).alias("h"), F.xxhash64(F.lit(1), *plain.columns).alias("i"))
+    marked = plain.select(F.col(own_key).alias("key"), F.col(own_text).alias("text"), whole.alias("whole"))
+    prints = written(fingerprints(marked, "text", "fingerprint", size, seed))
+    least = F.struct(F.col("key").isNull().alias("none"), "key", "whole")
+    chosen = classes(prints, least, bits).select("first.key", "first.whole").distinct()
+    # Equal rows become one before they are dealt out; then texts and chosen rows meet in the same partitioning.
+    single = plain.withColumns({"key_in": F.col(own_key), "h": whole["h"], "i": whole["i"]}).dropDuplicates(["h", "i", "key_in"])
+    wanted = chosen.select("key", F.col("whole.h").alias("wh"), F.col("whole.i").alias("wi"))
+    found = single.join(wanted, (F.col("h") == F.col("wh")) & (F.col("i") == F.col("wi")) & F.col("key_in").eqNullSafe(F.col("key")), "left_semi")
+    return found.select(*plain.columns).toDF(*names)
