@@ -19,7 +19,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the one with the smallest id, in full."""
+    """One document of each component of linked SimHash fingerprints: the one with the smallest id, in full."""
     return simhash.keep_one(docs)
 
 
