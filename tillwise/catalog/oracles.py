@@ -975,6 +975,9 @@ accepted AS (
 """
 
 INGEST_FACTS = UPLOAD + f"SELECT * {rounding((*DOUBLES, 'discount_rate', 'gross_margin'))} FROM accepted"
+INGEST_FILE_PRODUCTS = UPLOAD + """SELECT category || ' "' || substr(product, length(category) + 2) || '",' || chr(10) || '(' || category || ')' AS product,
+  category, count(*) AS "rows", CAST(sum(CAST(net_revenue AS DECIMAL(18,2))) AS DOUBLE) AS revenue
+FROM accepted GROUP BY ALL"""
 INGEST_QUALITY = UPLOAD + """SELECT total_rows, valid_rows, total_rows - valid_rows AS rejected_rows, duplicate_rows, issue_count,
   CAST(greatest(0, floor(100 - (total_rows - valid_rows) / total_rows::DOUBLE * 100 - 3 + 0.5)) AS BIGINT) AS score,
   'Region was not mapped; that drilldown will use “Unspecified”.; Customer segment was not mapped; that drilldown will use “Unspecified”.'
@@ -1055,5 +1058,6 @@ ORACLES: dict[str, str] = {
     "ingest_issues": UPLOAD + "SELECT * FROM issues",
     "ingest_preview": UPLOAD + 'SELECT * FROM issues ORDER BY "row", field LIMIT 500',
     "ingest_quality": INGEST_QUALITY,
+    "ingest_file_products": INGEST_FILE_PRODUCTS,
     "ingest_summary": INGEST_SUMMARY,
 }

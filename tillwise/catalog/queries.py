@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillwise.catalog.uploads import net_amount, sales_upload, untidy_amount, untidy_date
+from tillwise.catalog.uploads import net_amount, sales_file, sales_upload, untidy_amount, untidy_date
 from tillwise.functions.parsing import parse_date, parse_number
 from tillwise.operators import changes, discounts, economics, forecast, lineage, opportunity, recommend, trends
 from tillwise.operators.facts import exact_money, export_facts
@@ -21,6 +21,7 @@ from tillwise.plans.report import COMBINATIONS
 from tillwise.schema import DIMENSIONS, RAW_COLUMNS, UNITS
 from tillwise.session import configure
 from tillwise.sources.star import raw_sales, read_table, sales_facts
+from tillwise.sources.tables import read_upload
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -88,6 +89,15 @@ def on_upload(view: Callable[[Ingest], DataFrame], digits: Mapping[str, int] | N
     return run
 
 
+def file_products(spark: SparkSession, folder: str) -> DataFrame:
+    """Accepted rows and revenue by product, of the upload written as CSV files and read back by byte ranges."""
+    configure(spark)
+    rows = read_upload(spark, sales_file(spark, folder))
+    found = ingest(rows, infer_mapping([c for c in rows.columns if c != ROW_INDEX]))
+    revenue = F.sum(F.col("net_revenue").cast("decimal(18,2)"))
+    return tidy(found.facts.groupBy("product", "category").agg(F.count("*").alias("rows"), revenue.alias("revenue")))
+
+
 def validation(spark: SparkSession, folder: str) -> DataFrame:
     configure(spark)
     report = validation_report(raw_sales(spark, folder), dt.date(2001, 1, 1), dt.date(1996, 1, 1))
@@ -295,6 +305,7 @@ QUERIES: dict[str, Query] = {
     "ingest_issues": on_upload(lambda i: i.issues),
     "ingest_preview": on_upload(lambda i: i.preview),
     "ingest_quality": on_upload(lambda i: i.quality),
+    "ingest_file_products": file_products,
     "ingest_summary": on_upload(
         lambda i: economics.view_kpis(exact_money(i.facts)),
         digits={c: 2 for c in ("gross_revenue", "revenue", "profit", "cost", "discount_amount")},

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwise.operators.ingest import ROW_INDEX
 from tillwise.operators.ordering import with_row_index
+from tillwise.session import ensure_checkpoint_dir
 from tillwise.sources.star import read_table
 
 # Together these identify a line; the repeat number comes first, so copies follow all originals.
@@ -43,22 +46,42 @@ def net_amount() -> F.Column:
     return F.round(price * (1 - F.col("l_discount").cast("decimal(4,2)")), 2).cast("decimal(15,2)")
 
 
-def sales_upload(spark: SparkSession, folder: str) -> DataFrame:
-    """All lines as text; the lines returned with flag A appear a second time."""
+def sales_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The stored columns of all lines; the lines returned with flag A appear a second time."""
     lines = read_table(spark, folder, "lineitem")
     orders = read_table(spark, folder, "orders").withColumnRenamed("o_orderkey", "l_orderkey")
     parts = read_table(spark, folder, "part").withColumnRenamed("p_partkey", "l_partkey")
     copies = F.when(F.col("l_returnflag") == "A", F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     joined = lines.join(parts, "l_partkey").join(orders, "l_orderkey").withColumn("copy", F.explode(copies))
-    # Numbered before the text is written, so that the sort moves the narrow stored columns.
-    stored = joined.select(
+    return joined.select(
         *LINE_ORDER, "l_discount", "l_tax", "l_returnflag", "o_orderdate", "o_orderpriority", "p_type", "p_name", "p_retailprice"
     )
-    numbered = with_row_index(stored, LINE_ORDER, ROW_INDEX)
+
+
+def sales_upload(spark: SparkSession, folder: str) -> DataFrame:
+    """All lines as text, numbered before the text is written, so that the sort moves the narrow stored columns."""
+    numbered = with_row_index(sales_lines(spark, folder), LINE_ORDER, ROW_INDEX)
+    return numbered.select(ROW_INDEX, *untidy_columns())
+
+
+def sales_file(spark: SparkSession, folder: str) -> str:
+    """The upload as CSV files under the checkpoint folder; product names hold quotes, commas and line breaks."""
+    named = F.concat("p_type", F.lit(' "'), "p_name", F.lit('",\n('), "p_type", F.lit(")")).alias("SKU Name")
+    columns = [named if position == SKU else column for position, column in enumerate(untidy_columns())]
+    ensure_checkpoint_dir(spark)
+    place = f"{spark.sparkContext.getCheckpointDir()}/upload-{uuid.uuid4().hex}"
+    sales_lines(spark, folder).select(*columns).write.option("header", True).option("escape", '"').csv(place)
+    return place
+
+
+#: Position of the product among the columns below.
+SKU = 2
+
+
+def untidy_columns() -> list[F.Column]:
     quantity = F.col("l_quantity").cast("bigint")
     cost = (quantity * F.col("p_retailprice").cast("decimal(15,2)")).cast("decimal(15,2)").cast("string")
-    return numbered.select(
-        ROW_INDEX,
+    return [
         untidy_date("o_orderdate", "l_returnflag").alias("Invoice Date"),
         F.concat(F.lit("INV-"), "l_orderkey").alias("Invoice No"),
         F.concat_ws(" ", "p_type", "p_name").alias("SKU Name"),
@@ -73,4 +96,4 @@ def sales_upload(spark: SparkSession, folder: str) -> DataFrame:
         F.when(F.col("l_linenumber") == 7, "n/a")
         .otherwise(F.concat(F.rint(F.col("l_discount") * 100).cast("int").cast("string"), F.lit("%")))
         .alias("Discount %"),
-    )
+    ]

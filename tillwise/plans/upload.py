@@ -27,12 +27,11 @@ def load_upload(
     path: str,
     folder: str,
     mapping: Mapping[str, str] | None = None,
-    quoted_newlines: bool = True,
     file_format: str = "parquet",
 ) -> Ingest:
     """Read a sales file and write its sections, its quality report and its rejected rows."""
     configure(spark)
-    rows = read_upload(spark, path, quoted_newlines)
+    rows = read_upload(spark, path)
     result = accept(rows, mapping)
     sections = upload_sections(result.facts, len(rows.columns) - 1) | {"quality": result.quality}
     write_sections(sections, folder, file_format)

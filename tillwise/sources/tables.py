@@ -6,16 +6,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillwise.functions.parsing import NUMBER_SHAPE, WHITE_SPACE, strict_date
+from tillwise.functions.parsing import NUMBER_SHAPE, strict_date
 from tillwise.operators.ingest import ROW_INDEX
-from tillwise.operators.ordering import number_slices
+from tillwise.operators.ordering import broadcast_if_small, number_slices
 from tillwise.schema import RAW_COLUMNS, RAW_SALES
-from tillwise.session import stored
+from tillwise.session import durable
+from tillwise.sources.csv_rows import BLOCK, CELLS, FILE, PLACE, read_rows
 
 # Names of the library's own columns begin so.
 RESERVED = "_tillwise_"
 
-UNREADABLE_SUFFIXES = (".xlsx", ".xls")
+READABLE_SUFFIXES = (".csv", ".txt")
+HEADER = f"{RESERVED}header"
 
 
 def read_sales_csv(spark: SparkSession, path: str, typed: bool = True) -> DataFrame:
@@ -51,37 +53,27 @@ def read_facts(spark: SparkSession, path: str) -> DataFrame:
     return facts.withColumn("month", F.col("month").cast("string"))
 
 
-def read_upload(spark: SparkSession, path: str, quoted_newlines: bool = True) -> DataFrame:
-    """All columns of a CSV as text, blank rows dropped, short rows padded, rows numbered.
+def read_upload(spark: SparkSession, path: str) -> DataFrame:
+    """All columns of a CSV file, or of a folder of them, as text, blank rows dropped, short rows padded, rows numbered.
 
-    Quoted line breaks keep a file in one split; switch them off to read huge files in parallel.
-    The parsed rows are written out once, so later passes neither parse nor number them again.
+    Files are read by byte ranges also where quoted cells hold line breaks. The rows are written out once, and numbered by
+    file and position: no order over the rows is computed. The first row of every file is its header.
     """
-    if path.lower().endswith(UNREADABLE_SUFFIXES):
-        raise ValueError("Unsupported file type. Save the workbook as CSV first.")
-    table = raw_reader(spark, quoted_newlines).option("header", True).csv(path)
-    if not table.columns:
+    name = path.rstrip("/").rsplit("/", 1)[-1].lower()
+    if "." in name and not name.endswith(READABLE_SUFFIXES):
+        raise ValueError("Unsupported file type. Save the table as CSV.")
+    rows = read_rows(spark, path)
+    header = rows.where(F.col(BLOCK) == 0).select(CELLS, FILE, PLACE).orderBy(FILE, PLACE).first()
+    if header is None:
         raise ValueError("The uploaded file does not contain a readable table.")
-    # Columns by position, under the headers as written; the reader renames repeated ones.
-    header = raw_reader(spark, quoted_newlines).option("header", False).csv(path).first() or ()
-    kept = upload_names([*header, *table.columns[len(header) :]])
-    plain = table.toDF(*[f"{RESERVED}{i}" for i in range(len(table.columns))])
-    text = [F.coalesce(F.col(f"{RESERVED}{i}"), F.lit("")).alias(name) for i, name in kept.items()]
-    file, block = f"{RESERVED}file", f"{RESERVED}block"
-    filled = plain.select(*text, F.col("_metadata.file_path").alias(file), F.col("_metadata.file_block_start").alias(block))
-    is_blank = F.translate(F.concat(*[F.col(quoted(name)) for name in kept.values()]), WHITE_SPACE, "") == ""
-    placed = stored(filled.where(~is_blank).withColumn("_tillwise_place", F.monotonically_increasing_id()))
-    if placed.isEmpty():
+    kept = upload_names(header[CELLS])
+    cells = [F.coalesce(F.get(F.col(CELLS), F.lit(i)), F.lit("")).alias(name) for i, name in kept.items()]
+    heads = rows.where(F.col(BLOCK) == 0).groupBy(FILE, BLOCK).agg(F.min(PLACE).alias(HEADER))
+    body = rows.join(broadcast_if_small(durable(heads)), [FILE, BLOCK], "left").where(F.col(HEADER).isNull() | (F.col(PLACE) > F.col(HEADER)))
+    numbered = number_slices(body.select(FILE, BLOCK, PLACE, *cells), [FILE, BLOCK], ROW_INDEX)
+    if numbered.isEmpty():
         raise ValueError("The uploaded file does not contain a readable table.")
-    return number_slices(placed, [file, block], ROW_INDEX)
-
-
-def raw_reader(spark: SparkSession, quoted_newlines: bool):
-    return spark.read.option("quote", '"').option("escape", '"').option("multiLine", quoted_newlines).option("mode", "PERMISSIVE")
-
-
-def quoted(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
+    return numbered
 
 
 def upload_names(headers: list[str | None]) -> dict[int, str]:
