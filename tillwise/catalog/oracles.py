@@ -1030,6 +1030,9 @@ ORACLES: dict[str, str] = {
     "period_drivers_latest": drivers(LAST_MONTH, MONTH_BEFORE_LAST),
     "period_drivers_mom": drivers(LAST_MONTH, MONTH_BEFORE_LAST),
     "period_drivers_yoy": drivers(LAST_COMPLETE, YEAR_BEFORE_COMPLETE),
+    "cube_monthly_performance": MONTHLY_PERFORMANCE,
+    "cube_dimension_summary": DIMENSION_SUMMARY,
+    "cube_product_economics": PRODUCT_ECONOMICS,
     "opportunity_radar": OPPORTUNITY_RADAR,
     "economic_bridge": bridge(),
     "economic_bridge_by_region": bridge("region"),

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from tillwise.catalog.uploads import net_amount, sales_file, sales_upload, untidy_amount, untidy_date
 from tillwise.functions.parsing import parse_date, parse_number
 from tillwise.operators import changes, discounts, economics, forecast, lineage, opportunity, recommend, trends
+from tillwise.operators.cube import sales_cube
 from tillwise.operators.facts import exact_money, export_facts
 from tillwise.operators.filters import Filters, filter_facts
 from tillwise.operators.ingest import ROW_INDEX, Ingest, ingest
@@ -77,6 +78,11 @@ def on_facts(operator: Callable[[DataFrame], DataFrame], *columns: str, digits:
     return run
 
 
+def on_cube(operator: Callable[[DataFrame], DataFrame], digits: Mapping[str, int] | None = None) -> Query:
+    """A query that applies an operator to the cube of all facts."""
+    return on_facts(lambda f: operator(sales_cube(f)), *ECONOMICS, *CALENDAR, *DIMENSIONS, digits=digits)
+
+
 def on_upload(view: Callable[[Ingest], DataFrame], digits: Mapping[str, int] | None = None) -> Query:
     """A query over the checked rows of the untidy upload."""
 
@@ -287,6 +293,9 @@ QUERIES: dict[str, Query] = {
         *DIMENSIONS,
         digits=EVIDENCE,
     ),
+    "cube_monthly_performance": on_cube(trends.monthly_performance, digits=MONEY_MEANS),
+    "cube_dimension_summary": on_cube(economics.dimension_summary),
+    "cube_product_economics": on_cube(trends.product_economics),
     "enriched_facts": on_facts(
         lambda f: f.drop("order_key", *UNITS.values()), *ECONOMICS, *CALENDAR, *DIMENSIONS
     ),

@@ -5,49 +5,32 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillwise.functions.bands import DISCOUNT_BANDS, discount_bucket
 from tillwise.functions.ratios import ratio, ratio_or_zero
 from tillwise.operators import ordering
-from tillwise.operators.economics import cents, group_economics
+from tillwise.operators.economics import cents, group_economics, is_cube
 from tillwise.operators.ordering import average_ranks, order_statistics, quantile_position, running_totals
 from tillwise.operators.totals import total
 from tillwise.session import durable
 
-# Right-closed upper bounds of the discount bands and their labels.
-DISCOUNT_BANDS = (
-    (0.05, "0–5%"),
-    (0.10, "5–10%"),
-    (0.15, "10–15%"),
-    (0.20, "15–20%"),
-    (0.26, "20–26%"),
-    (1.0, "26%+"),
-)
-LOWEST_RATE = -0.001
-
 # Values on at least one row in this many are hot; there cannot be more than this many of them.
 HOT_SHARE = 1_000
 
 
-def discount_bucket(rate: Column) -> Column:
-    """Label of the band a rate falls in, null outside all bands."""
-    rate = rate.cast("double")
-    label = F.when(rate <= LOWEST_RATE, None)
-    for upper, name in DISCOUNT_BANDS:
-        label = label.when(rate <= upper, name)
-    return label
-
-
 def discount_distribution(facts: DataFrame) -> DataFrame:
-    banded = facts.withColumn("discount_bucket", discount_bucket(F.col("discount_rate")))
+    """Economics per discount band, of facts or of a cube."""
+    banded = facts if is_cube(facts) else facts.withColumn("discount_bucket", discount_bucket(F.col("discount_rate")))
     kept = banded.where(F.col("discount_bucket").isNotNull())
     place = F.array_position(F.array(*[F.lit(name) for _, name in DISCOUNT_BANDS]), F.col("discount_bucket"))
     return group_economics(kept, ["discount_bucket"]).orderBy(place)
 
 
 def discount_summary(facts: DataFrame) -> DataFrame:
-    """Mean and weighted rate, revenue given up, and the margin before and after discounts."""
+    """Mean and weighted rate, revenue given up, and the margin before and after discounts; of facts or of a cube."""
+    counted = (F.sum("rates"), F.sum("lines")) if is_cube(facts) else (F.sum("discount_rate"), F.count("discount_rate"))
     whole = facts.agg(
-        F.sum("discount_rate").alias("rates"),
-        F.count("discount_rate").alias("lines"),
+        counted[0].alias("rates"),
+        counted[1].alias("lines"),
         total(facts, "gross_revenue").alias("gross"),
         total(facts, "discount_amount").alias("discount"),
         total(facts, "net_revenue").alias("net"),

@@ -22,6 +22,8 @@ SUMS = {
     "discount_amount": "discount_amount",
     "units": "quantity",
 }
+#: Columns of a cube (see `operators/cube`): the grouping a row counts orders in (null for cells), and that count.
+MARK, ORDERS = "_tillwise_grouping", "_tillwise_orders"
 RANKED_DIMENSIONS = {dimension: place for place, dimension in enumerate(DIMENSIONS)}
 
 
@@ -30,9 +32,33 @@ def order_identity(facts: DataFrame) -> Column:
     return F.col(ORDER_KEY if ORDER_KEY in facts.columns else "order_id")
 
 
+def is_cube(facts: DataFrame) -> bool:
+    return MARK in facts.columns
+
+
+def grouping_name(by: Sequence[str]) -> str:
+    return ",".join(sorted(by)) or "all"
+
+
 def _aggregates(facts: DataFrame, sums: Sequence[str], orders: bool) -> list[Column]:
     columns = [total(facts, SUMS[name]).alias(name) for name in sums]
-    return columns + ([F.countDistinct(order_identity(facts)).alias("orders")] if orders else [])
+    if orders:
+        counted = F.coalesce(F.sum(ORDERS), F.lit(0)) if is_cube(facts) else F.countDistinct(order_identity(facts))
+        columns.append(counted.alias("orders"))
+    return columns
+
+
+def _cube_rows(cube: DataFrame, by: Sequence[str | Column], orders: bool) -> DataFrame:
+    """The cells, and the rows that count orders in this grouping."""
+    cells = F.col(MARK).isNull()
+    if not orders:
+        return cube.where(cells)
+    if not all(isinstance(x, str) for x in by):
+        raise ValueError("Group a cube by names of columns.")
+    name = grouping_name(by)
+    if cube.where(F.col(MARK) == name).isEmpty() and not cube.where(cells).isEmpty():
+        raise ValueError(f"The cube does not count orders by {name}.")
+    return cube.where(cells | (F.col(MARK) == name))
 
 
 def exact_economics(
@@ -41,8 +67,10 @@ def exact_economics(
     """Grouped sums in the type of the facts (exact for decimals).
 
     Distinct orders are counted in the same aggregation: rows first shrink to one per group and
-    order on the map side, which also dissolves a hot group before anything is shuffled.
+    order on the map side, which also dissolves a hot group before anything is shuffled. A cube counted them before.
     """
+    if is_cube(facts):
+        facts = _cube_rows(facts, by, orders)
     return facts.groupBy(*by).agg(*_aggregates(facts, sums, orders))
 
 
@@ -70,7 +98,7 @@ def cents(value: Column, digits: int = 2) -> Column:
 
 def executive_kpis(facts: DataFrame) -> DataFrame:
     """Thirteen headline metrics; ratios on an empty base are zero."""
-    whole = facts.agg(*_aggregates(facts, tuple(SUMS), True))
+    whole = exact_economics(facts, [])
     whole = whole.withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in SUMS})
     revenue = cents(F.col("revenue"))
     return whole.select(
@@ -94,7 +122,7 @@ def executive_kpis(facts: DataFrame) -> DataFrame:
 
 def view_kpis(facts: DataFrame, by: Sequence[str | Column] = ()) -> DataFrame:
     """Eleven unrounded metrics of a filtered view, all zero when nothing matches."""
-    grouped = exact_economics(facts, by) if by else facts.agg(*_aggregates(facts, tuple(SUMS), True))
+    grouped = exact_economics(facts, by)
     grouped = money_as_double(grouped.withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in SUMS}))
     return grouped.withColumns(
         {
@@ -160,7 +188,12 @@ def profitability_map(facts: DataFrame) -> DataFrame:
 def by_dimension(facts: DataFrame, dimensions: Sequence[str] = DIMENSIONS) -> DataFrame:
     """One row per line and dimension. An exploded array keeps the partitioning of the lines."""
     pairs = [F.struct(F.lit(d).alias("dimension"), F.col(d).alias("value")) for d in dimensions]
-    return facts.select("*", F.explode(F.array(*pairs)).alias("_pair")).select("*", "_pair.*").drop("_pair", *dimensions)
+    rows = facts.select("*", F.explode(F.array(*pairs)).alias("_pair")).select("*", "_pair.*").drop("_pair", *dimensions)
+    if not is_cube(facts):
+        return rows
+    counts = F.col(MARK) == F.col("dimension")  # orders counted by a dimension belong to its values only
+    name = F.when(counts, F.lit(grouping_name(["dimension", "value"])))
+    return rows.where(F.col(MARK).isNull() | counts).withColumn(MARK, name)
 
 
 def dimension_economics(facts: DataFrame, dimensions: Sequence[str] = DIMENSIONS, orders: bool = True) -> DataFrame:
@@ -248,7 +281,7 @@ def pareto_summary(facts: DataFrame, dimension: str, level: float = 0.8, leaders
 
 def economic_bridge(facts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Gross revenue to gross profit as ordered steps."""
-    grouped = exact_economics(facts, by, orders=False) if by else facts.agg(*_aggregates(facts, tuple(SUMS), False))
+    grouped = exact_economics(facts, by, orders=False)
     grouped = money_as_double(grouped.withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in SUMS}))
     steps = (
         ("gross_revenue", "gross_revenue"),

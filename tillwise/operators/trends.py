@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 from tillwise.functions.calendar import month_start
 from tillwise.functions.ratios import ratio, relative_change
 from tillwise.operators.economics import (
+    MARK,
     cents,
     exact_economics,
     group_economics,
+    grouping_name,
+    is_cube,
     money_as_double,
     monthly_series,
     with_rates,
@@ -138,6 +141,11 @@ def product_economics(
         F.struct(F.lit(None).cast("string").alias("_category"), F.col("month").alias("_month")),
     )
     grained = facts.select("*", F.explode(grains).alias("_grain")).select("*", "_grain.*")
+    if is_cube(facts):  # orders are counted by product and category, in the first grain
+        counts = (F.col(MARK) == grouping_name(["product", "category"])) & F.col("_category").isNotNull()
+        grained = grained.where(F.col(MARK).isNull() | counts).withColumn(
+            MARK, F.when(F.col(MARK).isNotNull(), F.lit(grouping_name(["product", "_category", "_month"])))
+        )
     grouped = exact_economics(grained, ["product", "_category", "_month"])
     with_margin = with_rates(grouped)
 
