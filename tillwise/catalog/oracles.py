@@ -745,6 +745,20 @@ FROM (SELECT CAST(sum(('0x' || substr(digest, 1, 16))::UBIGINT) AS VARCHAR) || '
         || CAST(sum(('0x' || substr(digest, 17, 16))::UBIGINT) AS VARCHAR) AS fingerprint, count(*) AS row_count
       FROM (SELECT sha256({FINGERPRINT_LINE}) AS digest FROM facts))"""
 )
+STORED_LINE = " || ".join(
+    f"CASE WHEN {c} IS NULL THEN '-' ELSE length({c}) || ':' || {c} END"
+    for c in (
+        "transaction_id", "order_id", "CAST(order_date AS VARCHAR)", "region", "channel", "customer_segment", "category", "product",
+        "CAST(quantity AS VARCHAR)", "CAST(gross_revenue AS VARCHAR)", "CAST(discount_amount AS VARCHAR)", "CAST(discount_rate AS VARCHAR)",
+        "CAST(net_revenue AS VARCHAR)", "CAST(cost AS VARCHAR)", "CAST(gross_profit AS VARCHAR)", "month",
+    )
+)
+STORED_BUILD = query(
+    f"""SELECT CAST(sum(('0x' || substr(digest, 1, 16))::UBIGINT) AS VARCHAR) || '-'
+        || CAST(sum(('0x' || substr(digest, 17, 16))::UBIGINT) AS VARCHAR) AS fingerprint, count(*) AS row_count,
+  count(DISTINCT month) AS months, strftime(min(order_date), '%Y-%m-%d') AS first_day, strftime(max(order_date), '%Y-%m-%d') AS last_day
+FROM (SELECT month, order_date, sha256({STORED_LINE}) AS digest FROM facts)"""
+)
 FILTER_OPTIONS = query("SELECT DISTINCT dimension, value FROM sliced WHERE value <> ''", BY_DIMENSION)
 
 VALIDATION_ROWS = (
@@ -1048,6 +1062,7 @@ ORACLES: dict[str, str] = {
     "fact_export": EXPORT,
     "lineage_metadata": LINEAGE,
     "dataset_fingerprint": FINGERPRINT,
+    "stored_build": STORED_BUILD,
     "filter_options": FILTER_OPTIONS,
     "validation_report": VALIDATION,
     "validation_report_spoiled": VALIDATION_SPOILED,

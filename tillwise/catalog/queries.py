@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable, Mapping
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,8 +22,9 @@ from tillwise.operators.mapping import infer_mapping
 from tillwise.operators.validate import check_summary, duplicate_ids, gate_status, validation_report
 from tillwise.plans.report import COMBINATIONS
 from tillwise.schema import DIMENSIONS, RAW_COLUMNS, UNITS
-from tillwise.session import configure
-from tillwise.sources.star import raw_sales, read_table, sales_facts
+from tillwise.session import configure, ensure_checkpoint_dir
+from tillwise.sources.sinks import append_facts, read_catalogue, stored_fingerprint, write_facts
+from tillwise.sources.star import order_months, raw_sales, read_table, sales_facts
 from tillwise.sources.tables import read_upload
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,6 +81,30 @@ def on_facts(operator: Callable[[DataFrame], DataFrame], *columns: str, digits:
     return run
 
 
+def on_months(operator: Callable[..., DataFrame], *columns: str) -> Query:
+    """A query that compares months, which it finds in a catalogue made from the orders alone."""
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        configure(spark)
+        return tidy(operator(sales_facts(spark, folder, columns), catalogue=order_months(spark, folder)))
+
+    return run
+
+
+def stored_build(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprint and months of facts that were written in two parts, from their catalogue."""
+    configure(spark)
+    facts = sales_facts(spark, folder)
+    ensure_checkpoint_dir(spark)
+    place = f"{spark.sparkContext.getCheckpointDir()}/facts-{uuid.uuid4().hex}"
+    early = F.col("order_date") < F.lit(VIEW.start_date).cast("date")
+    write_facts(facts.where(early), place)
+    append_facts(facts.where(~early), place)
+    months = read_catalogue(spark, place).agg(F.count("*").alias("months"), F.min("first_day").alias("first_day"), F.max("last_day").alias("last_day"))
+    return tidy(months.withColumn("build", stored_fingerprint(spark, place).select(F.struct("fingerprint", "row_count")).scalar())
+                .select("months", "first_day", "last_day", "build.fingerprint", "build.row_count"))
+
+
 def on_cube(operator: Callable[[DataFrame], DataFrame], digits: Mapping[str, int] | None = None) -> Query:
     """A query that applies an operator to the cube of all facts."""
     return on_facts(lambda f: operator(sales_cube(f)), *ECONOMICS, *CALENDAR, *DIMENSIONS, digits=digits)
@@ -248,13 +275,13 @@ QUERIES: dict[str, Query] = {
         "region",
         "customer_segment",
     ),
-    "what_changed": on_facts(changes.what_changed, *ECONOMICS, *CALENDAR),
-    "period_brief_mom": on_facts(lambda f: changes.period_brief(f, "mom"), *ECONOMICS, *CALENDAR),
-    "period_brief_yoy": on_facts(lambda f: changes.period_brief(f, "yoy"), *ECONOMICS, *CALENDAR),
-    "period_drivers_latest": on_facts(lambda f: changes.period_drivers(f, "latest"), *CALENDAR, *DIMENSIONS),
-    "period_drivers_mom": on_facts(lambda f: changes.period_drivers(f, "mom"), *CALENDAR, *DIMENSIONS),
-    "period_drivers_yoy": on_facts(
-        lambda f: changes.period_drivers(f, "yoy", complete_only=True), *CALENDAR, *DIMENSIONS
+    "what_changed": on_months(changes.what_changed, *ECONOMICS, *CALENDAR),
+    "period_brief_mom": on_months(partial(changes.period_brief, mode="mom"), *ECONOMICS, *CALENDAR),
+    "period_brief_yoy": on_months(partial(changes.period_brief, mode="yoy"), *ECONOMICS, *CALENDAR),
+    "period_drivers_latest": on_months(partial(changes.period_drivers, mode="latest"), *CALENDAR, *DIMENSIONS),
+    "period_drivers_mom": on_months(partial(changes.period_drivers, mode="mom"), *CALENDAR, *DIMENSIONS),
+    "period_drivers_yoy": on_months(
+        partial(changes.period_drivers, mode="yoy", complete_only=True), *CALENDAR, *DIMENSIONS
     ),
     "opportunity_radar": on_facts(
         lambda f: opportunity.opportunity_radar(f, RADAR),
@@ -302,6 +329,7 @@ QUERIES: dict[str, Query] = {
     "fact_export": on_facts(export_facts, *ECONOMICS, *CALENDAR, *DIMENSIONS),
     "lineage_metadata": lineage_row,
     "dataset_fingerprint": fingerprint,
+    "stored_build": stored_build,
     "filter_options": on_facts(lineage.filter_options, *DIMENSIONS),
     "validation_report": validation,
     "validation_report_spoiled": spoiled_validation,

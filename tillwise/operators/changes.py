@@ -22,13 +22,26 @@ DRIVER_SCHEMA = (
 )
 
 
-def months_present(facts: DataFrame, complete_only: bool = False) -> list[str]:
-    """The months with sales, oldest first: a calendar-bounded list.
+def month_catalogue(facts: DataFrame) -> DataFrame:
+    """A row per month: its lines and its first and last day. Catalogues of parts of a table add up, see `merged_catalogue`."""
+    days = (F.min("order_date").alias("first_day"), F.max("order_date").alias("last_day"))
+    return facts.groupBy("month").agg(F.count("*").alias("lines"), *days).where(F.col("month").isNotNull())
+
+
+def merged_catalogue(catalogue: DataFrame) -> DataFrame:
+    """One row per month of catalogues written at different times."""
+    days = (F.min("first_day").alias("first_day"), F.max("last_day").alias("last_day"))
+    return catalogue.groupBy("month").agg(F.sum("lines").alias("lines"), *days)
+
+
+def months_present(facts: DataFrame, complete_only: bool = False, catalogue: DataFrame | None = None) -> list[str]:
+    """The months with sales, oldest first: a calendar-bounded list, from a catalogue of months where there is one.
 
     With ``complete_only`` the last month counts only if sales reach its last day.
     """
-    found = facts.groupBy("month").agg(F.max("order_date").alias("last_day")).collect()
-    months = sorted(row.month for row in found if row.month is not None)
+    known = month_catalogue(facts) if catalogue is None else merged_catalogue(catalogue)
+    found = known.where(F.col("lines") > 0).select("month", "last_day").collect()
+    months = sorted(row.month for row in found)
     if complete_only and months:
         last_day = max(row.last_day for row in found if row.month == months[-1])
         following = month_bounds(months[-1])[1]
@@ -37,13 +50,15 @@ def months_present(facts: DataFrame, complete_only: bool = False) -> list[str]:
     return months
 
 
-def compared_months(facts: DataFrame, mode: str, complete_only: bool = False) -> tuple[str, str] | None:
+def compared_months(
+    facts: DataFrame, mode: str, complete_only: bool = False, catalogue: DataFrame | None = None
+) -> tuple[str, str] | None:
     """The latest month and the one it is compared with.
 
     ``latest`` takes the month present before it, ``mom`` the calendar month before it or else the
     month present before it, ``yoy`` the same month of the year before or nothing.
     """
-    months = months_present(facts, complete_only)
+    months = months_present(facts, complete_only, catalogue)
     if len(months) < 2:
         return None
     current = months[-1]
@@ -68,9 +83,12 @@ def _at(facts: DataFrame, month: str, column: str) -> Column:
     return F.coalesce(total(facts, column, F.col("month") == month), F.lit(0))
 
 
-def period_brief(facts: DataFrame, mode: str = "mom", complete_only: bool = False) -> DataFrame:
-    """One row of changes in revenue, profit and margin, or none without two comparable months."""
-    chosen = compared_months(facts, mode, complete_only)
+def period_brief(facts: DataFrame, mode: str = "mom", complete_only: bool = False, catalogue: DataFrame | None = None) -> DataFrame:
+    """One row of changes in revenue, profit and margin, or none without two comparable months.
+
+    With a catalogue of months only the lines of the two months are read.
+    """
+    chosen = compared_months(facts, mode, complete_only, catalogue)
     if chosen is None:
         return facts.sparkSession.createDataFrame([], BRIEF_SCHEMA)
     current, previous = chosen
@@ -94,18 +112,20 @@ def period_brief(facts: DataFrame, mode: str = "mom", complete_only: bool = Fals
     )
 
 
-def what_changed(facts: DataFrame) -> DataFrame:
+def what_changed(facts: DataFrame, catalogue: DataFrame | None = None) -> DataFrame:
     """The last two months present."""
-    return period_brief(facts, "latest")
+    return period_brief(facts, "latest", catalogue=catalogue)
 
 
-def period_drivers(facts: DataFrame, mode: str = "mom", top: int = 5, complete_only: bool = False) -> DataFrame:
+def period_drivers(
+    facts: DataFrame, mode: str = "mom", top: int = 5, complete_only: bool = False, catalogue: DataFrame | None = None
+) -> DataFrame:
     """The dimension values with the largest revenue gains and losses across all dimensions.
 
-    Only the two compared months are read. Current and previous revenue come from one conditional
+    Only the two compared months are read, with a catalogue also to find them. Current and previous revenue come from one conditional
     aggregation, so values seen in one month only need no outer join.
     """
-    chosen = compared_months(facts, mode, complete_only)
+    chosen = compared_months(facts, mode, complete_only, catalogue)
     if chosen is None:
         return facts.sparkSession.createDataFrame([], DRIVER_SCHEMA)
     current, previous = chosen

@@ -31,21 +31,35 @@ def lineage_metadata(
     )
 
 
-def dataset_fingerprint(df: DataFrame, columns: Sequence[str], seed: int = 0) -> DataFrame:
-    """A fingerprint of the rows that does not depend on their order or partitioning.
+#: Columns of the added-up digests: sums of parts of a table add up to those of the table.
+DIGEST_SUMS = ("digest_high", "digest_low")
+
 
-    Every value is written with its length in front, so that different rows never read the same. Two
-    64-bit parts of every row's digest are added up exactly; the build id digests the sums, the row
-    count, the schema version and the seed.
+def digest_sums(columns: Sequence[str]) -> list[Column]:
+    """Two 64-bit parts of every row's digest, added up exactly.
+
+    Every value is written with its length in front, so that different rows never read the same.
     """
     texts = [F.col(c).cast("string") for c in columns]
     line = F.concat(*[F.coalesce(F.concat(F.length(x).cast("string"), F.lit(":"), x), F.lit("-")) for x in texts])
-    digested = df.select(F.sha2(line, 256).alias("digest"))
-    parts_of = [F.conv(F.substring("digest", at, 16), 16, 10).cast("decimal(20,0)") for at in (1, 17)]
-    sums = [F.coalesce(F.sum(part), F.lit(0)).cast("string") for part in parts_of]
-    total = digested.agg(F.concat_ws("-", *sums).alias("fingerprint"), F.count("*").alias("row_count"))
+    digest = F.sha2(line, 256)
+    parts = [F.conv(F.substring(digest, at, 16), 16, 10).cast("decimal(20,0)") for at in (1, 17)]
+    return [F.coalesce(F.sum(part), F.lit(0)).alias(name) for part, name in zip(parts, DIGEST_SUMS, strict=True)]
+
+
+def fingerprint_of(total: DataFrame, seed: int = 0) -> DataFrame:
+    """Fingerprint and build id from the digest sums and the `row_count` of a whole table."""
+    told = total.select(F.concat_ws("-", *[F.col(c).cast("string") for c in DIGEST_SUMS]).alias("fingerprint"), "row_count")
     parts: list[Column] = [F.col("fingerprint"), F.col("row_count").cast("string"), F.lit(SCHEMA_VERSION), F.lit(str(seed))]
-    return total.withColumn("build_id", F.substring(F.sha2(F.concat_ws("|", *parts), 256), 1, 16))
+    return told.withColumn("build_id", F.substring(F.sha2(F.concat_ws("|", *parts), 256), 1, 16))
+
+
+def dataset_fingerprint(df: DataFrame, columns: Sequence[str], seed: int = 0) -> DataFrame:
+    """A fingerprint of the rows that does not depend on their order or partitioning.
+
+    The build id digests the sums, the row count, the schema version and the seed.
+    """
+    return fingerprint_of(df.agg(*digest_sums(columns), F.count("*").alias("row_count")), seed)
 
 
 def filter_options(facts: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tillwise.functions.parsing import strict_date, strict_number
 from tillwise.schema import RAW_COLUMNS
-from tillwise.session import durable
+from tillwise.session import stored
 
 # The checks of a report, in the order they are applied.
 CHECKS = (
@@ -147,7 +147,7 @@ def validation_report(
     ids_position = first + len(RAW_COLUMNS)  # ids are checked after nulls
     positions = [first + i + (i >= len(RAW_COLUMNS)) for i in range(len(rules))]
     counts = df.agg(*[F.count_if(violated).alias(f"rule_{i}") for i, (_, _, violated, _) in enumerate(rules)]).first()
-    repeats = durable(duplicate_ids(df))  # read for the total and for examples
+    repeats = stored(duplicate_ids(df))  # read for the total and for examples
     repeated = repeats.agg(F.coalesce(F.sum(F.col("occurrences") - 1), F.lit(0)).alias("n")).first().n
 
     nulls = len(RAW_COLUMNS)  # the rules on nulls come first, and their example is the column's name

@@ -4,7 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tillwise.operators.changes import merged_catalogue, month_catalogue
+from tillwise.operators.lineage import DIGEST_SUMS, digest_sums, fingerprint_of
+from tillwise.schema import FACT_COLUMNS
+
+# Beside the month partitions of a fact table: a row per month and write, hidden from readers of the facts.
+CATALOGUE = "_catalogue"
+# Not digested: quotients of other columns, which engines write out differently.
+RATIOS = ("gross_margin",)
 
 
 def write_sections(sections: Mapping[str, DataFrame], folder: str, file_format: str = "parquet") -> None:
@@ -14,11 +24,37 @@ def write_sections(sections: Mapping[str, DataFrame], folder: str, file_format:
 
 
 def write_facts(facts: DataFrame, path: str) -> None:
-    """Joined facts as a month-partitioned table, which later queries prune and need not join.
+    """Joined facts as a month-partitioned table, which later queries prune and need not join, with a catalogue of its months.
 
     The rebalance hint gives each month few files and lets a hot month spread over several tasks.
     """
-    facts.hint("rebalance", "month").write.mode("overwrite").partitionBy("month").parquet(path)
+    _write(facts, path, "overwrite")
+
+
+def append_facts(facts: DataFrame, path: str) -> None:
+    """Add facts to a table. Only the new lines are digested and counted; the catalogue gets rows for their months."""
+    _write(facts, path, "append")
+
+
+def _write(facts: DataFrame, path: str, mode: str) -> None:
+    place = path.rstrip("/")
+    facts.hint("rebalance", "month").write.mode(mode).partitionBy("month").parquet(place)
+    columns = [c for c in FACT_COLUMNS if c in facts.columns and c not in RATIOS]
+    digests = facts.groupBy("month").agg(*digest_sums(columns)).withColumnRenamed("month", "_month")
+    known = month_catalogue(facts).join(digests, F.col("month") == F.col("_month")).drop("_month")
+    known.write.mode(mode).parquet(f"{place}/{CATALOGUE}")
+
+
+def read_catalogue(spark: SparkSession, path: str) -> DataFrame:
+    """The months of a written fact table: `month`, `lines`, `first_day`, `last_day`."""
+    return merged_catalogue(spark.read.parquet(f"{path.rstrip('/')}/{CATALOGUE}"))
+
+
+def stored_fingerprint(spark: SparkSession, path: str, seed: int = 0) -> DataFrame:
+    """The fingerprint of a written fact table from its catalogue; no line is read."""
+    known = spark.read.parquet(f"{path.rstrip('/')}/{CATALOGUE}")
+    sums = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in DIGEST_SUMS]
+    return fingerprint_of(known.agg(*sums, F.coalesce(F.sum("lines"), F.lit(0)).alias("row_count")), seed)
 
 
 def write_issues(issues: DataFrame, path: str) -> None:

@@ -97,6 +97,17 @@ def _joined(spark: SparkSession, folder: str, wanted: frozenset[str]) -> DataFra
     return lines.withColumns({c: F.coalesce(c, F.lit(UNKNOWN)) for c in lines.columns if c in DIMENSIONS})
 
 
+def order_months(spark: SparkSession, folder: str) -> DataFrame:
+    """A catalogue of months from the orders alone: `month`, `lines`, `first_day`, `last_day`.
+
+    Lines are counted by orders here: every order of the star has lines, so no month is added, and the lines are not read.
+    """
+    dates = read_table(spark, folder, "orders").select(F.col("o_orderdate").cast("date").alias("order_date"))
+    by_day = dates.where(F.col("order_date").isNotNull()).groupBy("order_date").agg(F.count("*").alias("lines"))
+    days = (F.min("order_date").alias("first_day"), F.max("order_date").alias("last_day"))
+    return by_day.groupBy(F.date_format("order_date", "yyyy-MM").alias("month")).agg(F.sum("lines").alias("lines"), *days)
+
+
 def _line_columns() -> dict[str, Column]:
     return {
         "transaction_id": F.concat(F.lit("TXN-"), F.col(ORDER_KEY) * 10 + F.col("l_linenumber")),
