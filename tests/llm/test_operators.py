@@ -265,6 +265,21 @@ def test_search_equals_all_products(spark):
     assert topk.search(whole.limit(0), F.col("vec_id") % 20 == 0).collect() == []
 
 
+def test_repeated_query_rows_have_their_own_answers(spark):
+    random = np.random.default_rng(3)
+    rows = [(i, random.normal(0, 0.4, 6).round(3).tolist(), "x") for i in range(90)]
+    rows += [(20, rows[20][1], "y"), (40, random.normal(0, 0.4, 6).round(3).tolist(), "z"), (41, rows[41][1], "z"), (None, [1.0] * 6, "n")]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, row string").select("vec_id", "row", topk.whole(F.col("embedding")).alias("embedding"))
+    got = [tuple(r) for r in topk.search(table, F.col("vec_id") % 20 == 0, 10, block=16, query_block=2, cells=4).collect()]
+    usable = [(i, np.floor(64 * np.array(v)).astype(int)) for i, v, _ in rows if i is not None]
+    wanted = []
+    for i, q in usable:
+        if i % 20 == 0:
+            scores = sorted((-int(q @ v), j) for j, v in usable if j != i)[:10]
+            wanted += [(i, rank, j, -s) for rank, (s, j) in enumerate(scores, 1)]
+    assert sorted(got) == sorted(wanted)
+
+
 # ------------------------------------------------------------------ near duplicates
 
 
