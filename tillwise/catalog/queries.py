@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable, Mapping
+from dataclasses import replace
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +17,7 @@ from tillwise.functions.parsing import parse_date, parse_number
 from tillwise.operators import changes, discounts, economics, forecast, lineage, opportunity, recommend, trends
 from tillwise.operators.cube import sales_cube
 from tillwise.operators.facts import exact_money, export_facts
-from tillwise.operators.filters import Filters, filter_facts
+from tillwise.operators.filters import Filters, filter_facts, previous_period
 from tillwise.operators.ingest import ROW_INDEX, Ingest, ingest
 from tillwise.operators.mapping import infer_mapping
 from tillwise.operators.validate import check_summary, duplicate_ids, gate_status, validation_report
@@ -36,6 +37,7 @@ CALENDAR = ("order_date", "month")
 # The window and values the filtered queries look at.
 VIEW = Filters("1997-01-01", "1998-12-31", region="ASIA", segment="BUILDING")
 DATA_START = "1995-01-01"
+BOTH_PERIODS = replace(VIEW, start_date=previous_period(VIEW, DATA_START).start_date)
 SCOPE = Filters("1995-01-01", "2001-08-01", region="EUROPE", category="PROMO", product="PROMO red widget")
 # The test data has small spreads between slices; the shipped thresholds would keep nothing.
 RADAR = opportunity.Thresholds(recovery_share=1e-5, margin_gap=0.001)
@@ -71,12 +73,17 @@ def tidy(df: DataFrame, digits: Mapping[str, int] | None = None) -> DataFrame:
     return df.select(*columns)
 
 
-def on_facts(operator: Callable[[DataFrame], DataFrame], *columns: str, digits: Mapping[str, int] | None = None) -> Query:
-    """A query that applies an operator to the facts it needs columns of."""
+def on_facts(
+    operator: Callable[[DataFrame], DataFrame],
+    *columns: str,
+    digits: Mapping[str, int] | None = None,
+    within: Filters | None = None,
+) -> Query:
+    """A query that applies an operator to the facts it needs columns of, within filters that it applies itself."""
 
     def run(spark: SparkSession, folder: str) -> DataFrame:
         configure(spark)
-        return tidy(operator(sales_facts(spark, folder, columns)), digits)
+        return tidy(operator(sales_facts(spark, folder, columns, within)), digits)
 
     return run
 
@@ -266,7 +273,7 @@ QUERIES: dict[str, Query] = {
     ),
     "product_economics": on_facts(trends.product_economics, *ECONOMICS, "product", "month"),
     "filtered_kpis": on_facts(
-        lambda f: economics.view_kpis(filter_facts(f, VIEW)), *ECONOMICS, *CALENDAR, "region", "customer_segment"
+        lambda f: economics.view_kpis(filter_facts(f, VIEW)), *ECONOMICS, *CALENDAR, "region", "customer_segment", within=VIEW
     ),
     "period_over_period_kpis": on_facts(
         lambda f: changes.period_over_period_kpis(f, VIEW, DATA_START),
@@ -274,6 +281,7 @@ QUERIES: dict[str, Query] = {
         *CALENDAR,
         "region",
         "customer_segment",
+        within=BOTH_PERIODS,
     ),
     "what_changed": on_months(changes.what_changed, *ECONOMICS, *CALENDAR),
     "period_brief_mom": on_months(partial(changes.period_brief, mode="mom"), *ECONOMICS, *CALENDAR),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -12,11 +12,13 @@ from tillwise.functions.calendar import month_key
 from tillwise.functions.parsing import as_date, as_number
 from tillwise.functions.ratios import ratio_or_zero
 from tillwise.functions.text import plain_number, text_or
+from tillwise.operators.keyfilter import key_filter, with_match
 from tillwise.operators.mapping import mapping_warnings, require_mapping
 from tillwise.schema import DIMENSIONS, FACT_COLUMNS
 from tillwise.session import stored
 
 ROW_INDEX = "_tillwise_row"  # 0-based position of a row in the upload; no upload may have such a header
+DIGEST = "_tillwise_digest"
 MAX_ISSUES = 500
 
 # The checks an upload goes through.
@@ -65,13 +67,29 @@ def _source_columns(rows: DataFrame) -> list[str]:
     return [c for c in rows.columns if c != ROW_INDEX]
 
 
-def first_occurrences(rows: DataFrame) -> DataFrame:
+def row_digest(columns: Sequence[str]) -> Column:
+    """64 bits of a row. Equal digests only send rows to the comparison, so nothing rests on their being rare."""
+    return F.xxhash64(*[F.col(f"`{c}`") for c in columns])
+
+
+def first_occurrences(rows: DataFrame, digest: Callable[[Sequence[str]], Column] = row_digest) -> DataFrame:
     """Distinct rows at their first position.
 
-    Grouping by whole rows (not by a hash of them) is exact, and copies collapse in the map-side
-    combine, so a row repeated any number of times does not burden one task.
+    Digests are shuffled first. Rows whose digest occurs once are distinct and stay where they are; a Bloom filter of the
+    digests that meet tells them from the rest. Only the rest is grouped, by whole rows, which is exact whatever the digests.
+    Copies collapse on the map side in both steps, so a row repeated any number of times does not burden one task. Where
+    most rows are copies, all are grouped.
     """
-    return rows.groupBy(*_source_columns(rows)).agg(F.min(ROW_INDEX).alias(ROW_INDEX))
+    columns = _source_columns(rows)
+    digested = rows.withColumn(DIGEST, digest(columns))
+    meeting = digested.groupBy(DIGEST).agg(F.count("*").alias("_tillwise_met")).where(F.col("_tillwise_met") > 1)
+    words = key_filter(meeting, DIGEST)
+    first = F.min(ROW_INDEX).alias(ROW_INDEX)
+    if words is None:
+        return rows.groupBy(*columns).agg(first)
+    told = with_match(digested, words, "_tillwise_meets", DIGEST)
+    alone = told.where(~F.col("_tillwise_meets")).select(*columns, ROW_INDEX)
+    return told.where("_tillwise_meets").groupBy(*columns).agg(first).unionByName(alone)
 
 
 def duplicate_rows(rows: DataFrame, firsts: DataFrame) -> DataFrame:

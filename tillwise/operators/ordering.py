@@ -45,7 +45,7 @@ def running_totals(
         *keys, *[F.coalesce(F.sum(f"_{new}_slice").over(earlier), F.lit(0)).alias(f"_{new}_before") for new in totals]
     )
     if not within:
-        before = F.broadcast(before)  # one row per shuffle partition
+        before = broadcast_if_small(durable(before))  # one row per shuffle partition
 
     inside = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = sliced.withColumns({f"_{new}_inside": F.sum(c).over(inside) for new, c in totals.items()})

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from tillwise.functions.calendar import calendar_columns
 from tillwise.functions.ratios import ratio
+from tillwise.operators.filters import Filters
+from tillwise.operators.keyfilter import key_filter, reduced
 from tillwise.operators.totals import money_of
 from tillwise.schema import DIMENSIONS, ORDER_KEY, RAW_COLUMNS, UNITS
 
@@ -63,7 +65,18 @@ def _parts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _orders(spark: SparkSession, folder: str, wanted: frozenset[str]) -> DataFrame:
+def _slice(df: DataFrame, within: Filters | None) -> DataFrame:
+    """Keep the wanted values of the dimensions at hand; plain equality, which reaches the scan.
+
+    Rows without a value count under `UNKNOWN`, so that value is left to a filter of the joined lines.
+    """
+    for dimension, value in within.active().items() if within else ():
+        if dimension in df.columns and value != UNKNOWN:
+            df = df.where(F.col(dimension) == value)
+    return df
+
+
+def _orders(spark: SparkSession, folder: str, wanted: frozenset[str], within: Filters | None) -> DataFrame:
     orders = read_table(spark, folder, "orders").select(
         F.col("o_orderkey").alias(ORDER_KEY),
         F.col("o_custkey").alias("c_custkey"),
@@ -79,21 +92,45 @@ def _orders(spark: SparkSession, folder: str, wanted: frozenset[str]) -> DataFra
             region = read_table(spark, folder, "region").select("r_regionkey", F.col("r_name").alias("region"))
             customer = customer.join(nation.join(region, "r_regionkey", "left"), "n_nationkey", "left")
         orders = orders.join(customer, "c_custkey", "left")
-    return orders
+    if within is None:
+        return orders
+    days = F.col("order_date").between(F.lit(within.start_date).cast("date"), F.lit(within.end_date).cast("date"))
+    return _slice(orders.where(days), within)
+
 
+def _fits_broadcast(df: DataFrame) -> bool:
+    """Whether Spark's own size estimate lets it broadcast the table in a join."""
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= limit
 
-def _joined(spark: SparkSession, folder: str, wanted: frozenset[str]) -> DataFrame:
+
+def _joined(spark: SparkSession, folder: str, wanted: frozenset[str], within: Filters | None = None) -> DataFrame:
     """Lines with the tables the wanted columns come from.
 
     The orders join comes last and on the narrow order key, which stays in the result: the joined
     rows are then already partitioned for counting distinct orders. Columns are derived only after
     it, so that the shuffle carries nothing but the stored ones.
+
+    A view needs the lines of its orders only. Unless those orders are broadcast anyhow, a Bloom filter of their
+    keys reduces the lines where they are scanned. Orders too many for a filter are joined first.
     """
     lines = _lines(spark, folder)
-    if wanted & FROM_PART:
-        lines = lines.join(_parts(spark, folder), "l_partkey", "left")
+    kind, orders_first = "left", False
     if wanted & FROM_ORDER:
-        lines = lines.join(_orders(spark, folder, wanted), ORDER_KEY, "left")
+        orders = _orders(spark, folder, wanted, within)
+        if within is not None:
+            kind = "inner"
+            if not _fits_broadcast(orders):
+                words = key_filter(orders, ORDER_KEY)
+                orders_first = words is None
+                lines = lines if orders_first else reduced(lines, words, ORDER_KEY)
+        if orders_first:
+            lines = lines.join(orders, ORDER_KEY, kind)
+    if wanted & FROM_PART:
+        # A filter on a column of the parts turns the join into an inner one.
+        lines = _slice(lines.join(_parts(spark, folder), "l_partkey", "left"), within)
+    if wanted & FROM_ORDER and not orders_first:
+        lines = lines.join(orders, ORDER_KEY, kind)
     return lines.withColumns({c: F.coalesce(c, F.lit(UNKNOWN)) for c in lines.columns if c in DIMENSIONS})
 
 
@@ -127,15 +164,21 @@ def raw_sales(spark: SparkSession, folder: str) -> DataFrame:
     return lines.withColumns({**_line_columns(), **prices}).select(*RAW_COLUMNS)
 
 
-def sales_facts(spark: SparkSession, folder: str, columns: Iterable[str] | None = None) -> DataFrame:
+def sales_facts(
+    spark: SparkSession, folder: str, columns: Iterable[str] | None = None, within: Filters | None = None
+) -> DataFrame:
     """Enriched facts; joins only the tables that the named columns come from.
 
+    ``within`` leaves out lines that these filters would drop, before the joins where that can be; it does not replace filtering.
+
     Leaving a join out is safe because every join keeps all lines: a line without its part, order or
     customer counts under ``Unspecified`` with no cost or date. With no columns named every table is joined. Prices have cents and
     discounts whole percents, so all money is exact in ten-thousandths.
     """
     wanted = frozenset(columns) if columns is not None else FROM_ORDER | FROM_PART
-    facts = _joined(spark, folder, wanted)
+    if within is not None:
+        wanted |= {"order_date", *within.active()}
+    facts = _joined(spark, folder, wanted, within)
 
     cents = F.rint(F.col("l_extendedprice") * 100).cast("bigint")
     percents = F.rint(F.col("l_discount") * 100).cast("bigint")
