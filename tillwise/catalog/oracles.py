@@ -82,6 +82,15 @@ def query(body: str, *steps: str) -> str:
     return "WITH " + ",\n".join((FACTS.strip(), *steps)) + "\n" + body
 
 
+def varied(sql: str, *changes: tuple[str, str]) -> str:
+    """The same SQL with other literals."""
+    for old, new in changes:
+        if old not in sql:
+            raise ValueError(f"No {old!r} in the SQL.")
+        sql = sql.replace(old, new)
+    return sql
+
+
 def rounded(value: str, digits: int = 6) -> str:
     """Rounded without negative zeros."""
     return f"CASE WHEN round({value}, {digits}) = 0 THEN 0 ELSE round({value}, {digits}) END"
@@ -988,6 +997,46 @@ accepted AS (
 )
 """
 
+# Thresholds so low that every rule finds something in the test data.
+LOW = (
+    ("h.discount_rate - l.discount_rate > 0.025", "h.discount_rate - l.discount_rate > 0.000001"),
+    ("profit_share + 0.03 < revenue_share", "profit_share - 0.5 < revenue_share"),
+    ("margin < med - 0.015 OR discount_rate > dis + 0.02", "margin < med - 0.00001 OR discount_rate > dis + 0.00001"),
+)
+# A month without lines: rows and calendar differ from there on.
+MONTHLY_CALENDAR = query(
+    f"""SELECT * {rounding({
+        "margin": 6, "discount_rate": 6, "mom_revenue_growth": 6, "mom_profit_growth": 6, "margin_change_pp": 4,
+        "revenue_rolling_3m": 2, "profit_rolling_3m": 2, "yoy_revenue_growth": 6, "yoy_profit_growth": 6,
+        "growth_acceleration": 6})}
+FROM (SELECT *, mom_revenue_growth - lag(mom_revenue_growth) OVER (ORDER BY month) AS growth_acceleration FROM grown)""",
+    f"months AS ({grouped('month', where="month <> '1996-05'")})",
+    """grown AS (
+  SELECT n.*, n.revenue / nullif(lag(n.revenue) OVER w, 0) - 1 AS mom_revenue_growth,
+         n.profit / nullif(lag(n.profit) OVER w, 0) - 1 AS mom_profit_growth,
+         (n.margin - lag(n.margin) OVER w) * 100 AS margin_change_pp,
+         avg(n.revenue) OVER (ORDER BY n.month ROWS 2 PRECEDING) AS revenue_rolling_3m,
+         avg(n.profit) OVER (ORDER BY n.month ROWS 2 PRECEDING) AS profit_rolling_3m,
+         n.revenue / nullif(b.revenue, 0) - 1 AS yoy_revenue_growth,
+         n.profit / nullif(b.profit, 0) - 1 AS yoy_profit_growth
+  FROM months n LEFT JOIN months b
+    ON b.month = strftime(CAST(n.month || '-01' AS DATE) - INTERVAL 12 MONTH, '%Y-%m') WINDOW w AS (ORDER BY n.month)
+)""",
+)
+DEFAULT_VIEW = query(
+    f"SELECT * {VIEW_ROUNDING}, (SELECT CAST(min(order_date) AS VARCHAR) FROM facts) AS start_date, "
+    "(SELECT CAST(max(order_date) AS VARCHAR) FROM facts) AS end_date FROM (" + VIEW_KPIS.format(where="TRUE") + ")"
+)
+# Sketches draw lots, so their estimates are not to be had here; the lines are, and that every estimate keeps its error.
+APPROXIMATE_MARGINS = query(
+    "SELECT region, CAST(share AS DOUBLE) AS share, count(gross_margin) AS lines, TRUE AS within_error "
+    "FROM facts, (VALUES (0.05), (0.25), (0.5), (0.85), (0.99)) AS s(share) GROUP BY region, share"
+)
+VALIDATION_COLUMNS = """SELECT * FROM (VALUES
+  ('required_columns', CAST(0 AS BIGINT), CAST(2 AS BIGINT), 'Missing required columns', 'channel; unit_cost'),
+  ('unexpected_columns', CAST(1 AS BIGINT), CAST(1 AS BIGINT), 'Unexpected columns present', 'note')
+) AS t("check", position, violations, message, examples)"""
+
 INGEST_FACTS = UPLOAD + f"SELECT * {rounding((*DOUBLES, 'discount_rate', 'gross_margin'))} FROM accepted"
 INGEST_FILE_PRODUCTS = UPLOAD + """SELECT category || ' "' || substr(product, length(category) + 2) || '",' || chr(10) || '(' || category || ')' AS product,
   category, count(*) AS "rows", CAST(sum(CAST(net_revenue AS DECIMAL(18,2))) AS DOUBLE) AS revenue
@@ -1044,6 +1093,13 @@ ORACLES: dict[str, str] = {
     "period_drivers_latest": drivers(LAST_MONTH, MONTH_BEFORE_LAST),
     "period_drivers_mom": drivers(LAST_MONTH, MONTH_BEFORE_LAST),
     "period_drivers_yoy": drivers(LAST_COMPLETE, YEAR_BEFORE_COMPLETE),
+    "recommendations_low_thresholds": varied(RECOMMENDED, *LOW),
+    "scoped_recommendations_low_thresholds": varied(SCOPED, *LOW),
+    "dynamic_recommendations_high": varied(DYNAMIC, ("discount_rate > 0.15", "discount_rate > 0.04")),
+    "opportunity_radar_high": varied(OPPORTUNITY_RADAR, ("all_profit * 0.025, all_revenue * 0.004", "all_profit * 0.000001, all_revenue * 0.000001")),
+    "monthly_performance_calendar": MONTHLY_CALENDAR,
+    "default_view_kpis": DEFAULT_VIEW,
+    "approximate_margin_quantiles": APPROXIMATE_MARGINS,
     "cube_monthly_performance": MONTHLY_PERFORMANCE,
     "cube_dimension_summary": DIMENSION_SUMMARY,
     "cube_product_economics": PRODUCT_ECONOMICS,
@@ -1066,6 +1122,7 @@ ORACLES: dict[str, str] = {
     "filter_options": FILTER_OPTIONS,
     "validation_report": VALIDATION,
     "validation_report_spoiled": VALIDATION_SPOILED,
+    "validation_report_columns": VALIDATION_COLUMNS,
     "check_summary": f"""SELECT "check", CAST(sum(violations) AS BIGINT) AS violations,
   CASE WHEN sum(violations) = 0 THEN 'passed' ELSE 'failed' END AS status FROM ({VALIDATION}) GROUP BY "check" """,
     "duplicate_ids": DUPLICATE_IDS,

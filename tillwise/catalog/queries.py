@@ -14,16 +14,16 @@ from pyspark.sql import types as T
 
 from tillwise.catalog.uploads import net_amount, sales_file, sales_upload, untidy_amount, untidy_date
 from tillwise.functions.parsing import parse_date, parse_number
-from tillwise.operators import changes, discounts, economics, forecast, lineage, opportunity, recommend, trends
+from tillwise.operators import changes, discounts, economics, forecast, lineage, opportunity, recommend, sketches, trends
 from tillwise.operators.cube import sales_cube
 from tillwise.operators.facts import exact_money, export_facts
-from tillwise.operators.filters import Filters, filter_facts, previous_period
+from tillwise.operators.filters import Filters, default_filters, filter_facts, previous_period
 from tillwise.operators.ingest import ROW_INDEX, Ingest, ingest
 from tillwise.operators.mapping import infer_mapping
 from tillwise.operators.validate import check_summary, duplicate_ids, gate_status, validation_report
 from tillwise.plans.report import COMBINATIONS
 from tillwise.schema import DIMENSIONS, RAW_COLUMNS, UNITS
-from tillwise.session import configure, ensure_checkpoint_dir
+from tillwise.session import configure, ensure_checkpoint_dir, stored
 from tillwise.sources.sinks import append_facts, read_catalogue, stored_fingerprint, write_facts
 from tillwise.sources.star import order_months, raw_sales, read_table, sales_facts
 from tillwise.sources.tables import read_upload
@@ -218,8 +218,43 @@ def dates(spark: SparkSession, folder: str) -> DataFrame:
     return tidy(written.withColumn("date", parse_date(F.col("written"))))
 
 
-def _scoped(facts: DataFrame) -> DataFrame:
-    return recommend.scoped_recommendations(recommend.recommendations(facts), SCOPE, top=5)
+def columns_validation(spark: SparkSession, folder: str) -> DataFrame:
+    """The strict gate over the lines without two of their columns and with one that does not belong."""
+    configure(spark)
+    raw = raw_sales(spark, folder).drop("channel", "unit_cost").withColumn("note", F.lit("x"))
+    return tidy(validation_report(raw, dt.date(2001, 1, 1), dt.date(1996, 1, 1)))
+
+
+def default_view(facts: DataFrame) -> DataFrame:
+    """Headline numbers under the filters a view opens with."""
+    chosen = default_filters(facts)
+    found = economics.view_kpis(filter_facts(facts, chosen))
+    return found.withColumns({"start_date": F.lit(chosen.start_date), "end_date": F.lit(chosen.end_date)})
+
+
+MISSING_MONTH = "1996-05"
+QUANTILES = (0.05, 0.25, 0.5, 0.85, 0.99)
+
+
+def calendar_growth(facts: DataFrame) -> DataFrame:
+    """Monthly performance with the year before looked up in the calendar, where a month has no lines."""
+    return trends.monthly_performance(facts.where(F.col("month") != MISSING_MONTH), calendar=True)
+
+
+def approximate_margins(facts: DataFrame) -> DataFrame:
+    """Quantiles of the line margin by region from sketches of its months, and whether each keeps the stated error in rank."""
+    months = stored(sketches.month_sketches(facts, "gross_margin", ["region"]))
+    estimates = stored(sketches.merged_quantiles(months, QUANTILES, ["region"]))
+    checked = sketches.rank_errors(facts, "gross_margin", estimates, ["region"])
+    return checked.select("region", "share", "lines", (F.col("error") <= sketches.rank_error()).alias("within_error"))
+
+
+# Thresholds so low that every rule finds something in the test data.
+LOW = {"channel_spread": 1e-6, "profit_lag": -0.5, "weak_margin": 1e-5, "weak_discount": 1e-5}
+
+
+def _scoped(facts: DataFrame, **thresholds: float) -> DataFrame:
+    return recommend.scoped_recommendations(recommend.recommendations(facts, **thresholds), SCOPE, top=5)
 
 
 MONEY_MEANS = {"revenue_rolling_3m": 2, "profit_rolling_3m": 2, "margin_change_pp": 4}
@@ -328,6 +363,23 @@ QUERIES: dict[str, Query] = {
         *DIMENSIONS,
         digits=EVIDENCE,
     ),
+    "recommendations_low_thresholds": on_facts(partial(recommend.recommendations, **LOW), *ECONOMICS, *DIMENSIONS, digits=EVIDENCE),
+    "scoped_recommendations_low_thresholds": on_facts(partial(_scoped, **LOW), *ECONOMICS, *DIMENSIONS, digits=EVIDENCE),
+    "dynamic_recommendations_high": on_facts(
+        lambda f: recommend.dynamic_recommendations(f, tension=0.98, discount_alert=0.04, discount_high=0.04, margin_gap=0.001),
+        *ECONOMICS,
+        *DIMENSIONS,
+        digits=EVIDENCE,
+    ),
+    "opportunity_radar_high": on_facts(
+        lambda f: opportunity.opportunity_radar(f, replace(RADAR, high_profit_share=1e-6, high_revenue_share=1e-6)),
+        *ECONOMICS,
+        *DIMENSIONS,
+        digits={"estimated_discount_recovery": 2, "priority_score": 2},
+    ),
+    "monthly_performance_calendar": on_facts(calendar_growth, *ECONOMICS, "month", digits=MONEY_MEANS),
+    "default_view_kpis": on_facts(default_view, *ECONOMICS, *CALENDAR),
+    "approximate_margin_quantiles": on_facts(approximate_margins, "gross_margin", "month", "region"),
     "cube_monthly_performance": on_cube(trends.monthly_performance, digits=MONEY_MEANS),
     "cube_dimension_summary": on_cube(economics.dimension_summary),
     "cube_product_economics": on_cube(trends.product_economics),
@@ -341,6 +393,7 @@ QUERIES: dict[str, Query] = {
     "filter_options": on_facts(lineage.filter_options, *DIMENSIONS),
     "validation_report": validation,
     "validation_report_spoiled": spoiled_validation,
+    "validation_report_columns": columns_validation,
     "check_summary": lambda spark, folder: tidy(check_summary(validation(spark, folder))),
     "duplicate_ids": duplicates,
     "parse_number": numbers,
