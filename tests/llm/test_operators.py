@@ -116,6 +116,34 @@ def test_folding_events(spark):
     assert back[1]["trained"] == ["hello", "final"]
 
 
+TURNS = [
+    (1, 0, "user", "q" * 1300), (1, 1, "assistant", "é\U0001f600\n" * 700), (1, 2, "user", None), (1, 3, "assistant", ""), (1, 3, "assistant", ""),
+    (1, 4, None, "x"), (1, 5, "assistant", "b"), (1, 5, "assistant", "a"), (1, 2**63 - 1, "user", "last"), (None, 0, "user", "<|end|>"), (None, None, "assistant", "y"),
+    (2, 7, "assistant", "z" * 200_000),
+]
+
+
+def test_log_of_finished_turns_folds_back(spark):
+    rows = spark.createDataFrame([(*r, "clash", 5) for r in TURNS], "conv_id long, turn long, role string, text string, seq string, copy int")
+    log = chat.conversation_log(rows)
+    kinds = {r["kind"]: r["count"] for r in log.groupBy("kind").count().collect()}
+    assert kinds["regenerate"] == 7 and kinds["edit"] == kinds["message"] == 5
+    assert kinds["delta"] == 7 + 5 + 3 + 391  # drafts, then pieces of 2,100, three times 1, and 200,000 code points
+    wanted = defaultdict(list)
+    for conv, turn, role, text in sorted(TURNS, key=lambda r: (r[0] or 0, -1 if r[1] is None else r[1], r[2] or "", r[3] or "")):
+        wanted[conv].append((role or "", text or ""))
+    back = {r["conv_id"]: r for r in chat.read_back(chat.render(chat.fold(log.repartition(5)))).collect()}
+    assert {k: [tuple(t) for t in r["turns"]] for k, r in back.items()} == wanted
+    assert all("".join(r["trained"]) == "".join(t for role, t in wanted[k] if role == "assistant") for k, r in back.items())
+    assert chat.render(chat.fold(chat.conversation_log(rows.limit(0)))).collect() == []
+
+
+def test_logs_are_shuffled_by_conversation_once(spark):
+    events = spark.createDataFrame([(1, 1, "message", 1, "user", "hi")], "conv_id long, seq long, kind string, message_id long, role string, text string")
+    plan = chat.render(chat.fold(events))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+
+
 @needs_tables
 def test_conversations_read_back(spark):
     rows = defaultdict(list)

@@ -5,8 +5,8 @@ A conversation is a log of events, each with a sequence number and the message i
 - `message` sets a message's text, `edit` replaces it, `delta` appends to it (streamed text);
 - `regenerate` empties it, so that later deltas start anew; `delete` removes the message until it is set again.
 
-Logs are partitioned by conversation and message and ordered by sequence number; the events after the last one that sets
-or empties the text are folded into the final text. Messages stand in the order of their first events. Ties in the
+Logs are partitioned by conversation, and the events of a message are ordered by sequence number; those after the last one
+that sets or empties the text are folded into the final text. Messages stand in the order of their first events. Ties in the
 sequence number are ordered by kind, role and text. A null text is empty, as is a null role; a message has the role of
 its first event. A null conversation id is a conversation of its own. Repeated rows are repeated events.
 
@@ -14,8 +14,11 @@ The template is `<|turn|>role<|text|>text<|end|>` for every message. Inside role
 control strings get a backslash after their first letter, so none survives; dropping each backslash before a letter gives
 the text back.
 
-Folding groups by message and numbers messages with windows, which spill; only the rendered conversation, one string, is
-gathered by conversation, as the result demands.
+`conversation_log` turns a table of finished turns into such a log, as a chat server would have written it, so that the fold
+has drafts to forget and pieces to put together. An empty table has no log and no conversation; further columns are left out.
+
+Folding and rendering share one partitioning by conversation, as a conversation ends up in one row anyhow. Events are gathered
+by message only, and sorted groups spill.
 """
 
 from __future__ import annotations
@@ -27,6 +30,7 @@ from pyspark.sql import functions as F
 TURN, TEXT, END = "<|turn|>", "<|text|>", "<|end|>"
 CONTROL = r"<(?=\||/?s>|/?SYS>|</?SYS)|\[(?=/?INST\])"
 TRAINED_ROLE = "assistant"
+PIECE = 512  # code points of a streamed piece
 SETS = ("message", "edit", "regenerate", "delete")
 
 
@@ -39,22 +43,42 @@ def unescape(text: Column) -> Column:
     return F.regexp_replace(text, r"(?s)\\(.)", "$1")
 
 
-def messages_as_events(rows: DataFrame, conversation: str = "conv_id", turn: str = "turn") -> DataFrame:
-    """Events of a table that has one finished message a row; rows of one turn are messages of their own.
+def conversation_log(rows: DataFrame, conversation: str = "conv_id", turn: str = "turn") -> DataFrame:
+    """The log of a table of finished turns; its fold is the table.
 
-    The number of a row among the rows of its turn keeps equal turns apart; they are ordered by role and text.
+    A turn of the trained role is a draft (its first piece) that is regenerated and then streamed in pieces of `PIECE` code
+    points. Any other turn is a message that lacks its last piece, and an edit to the whole text, which comes after the next
+    turn has begun. Rows of one turn are messages of their own, in the order of role and text, numbered among themselves to
+    keep equal rows apart. The sequence number of an event is its time, turn, row and step.
     """
     order = Window.partitionBy("conv_id", "turn").orderBy("role", "text")
     plain = rows.select(
         F.col(conversation).alias("conv_id"), F.col(turn).cast("bigint").alias("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")
     )
-    return plain.withColumn("copy", F.row_number().over(order)).select(
-        "conv_id", F.struct("turn", "copy").alias("seq"), F.lit("message").alias("kind"), F.struct("turn", "copy").alias("message_id"), "role", "text"
+    pieces = F.regexp_extract_all("text", F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+    cut = plain.withColumn("copy", F.row_number().over(order)).withColumn("pieces", pieces)
+    now, later = F.col("turn"), F.coalesce(F.try_add("turn", F.lit(1)), "turn")
+
+    def event(time: Column, step: Column, kind: str, text: Column) -> Column:
+        seq = F.struct(time.alias("time"), F.col("turn"), F.col("copy"), step.cast("int").alias("step"))
+        return F.struct(seq.alias("seq"), F.lit(kind).alias("kind"), text.alias("text"))
+
+    streamed = F.concat(
+        F.array(
+            event(now, F.lit(0), "delta", F.coalesce(F.get("pieces", F.lit(0)), F.lit(""))),
+            event(now, F.lit(1), "regenerate", F.lit(None).cast("string")),
+        ),
+        F.transform("pieces", lambda x, i: event(now, i + 2, "delta", x)),
     )
+    kept = F.slice("pieces", 1, F.greatest(F.size("pieces") - 1, F.lit(0)))
+    edited = F.array(event(now, F.lit(0), "message", F.array_join(kept, "")), event(later, F.lit(1), "edit", F.col("text")))
+    events = F.inline(F.when(F.col("role") == TRAINED_ROLE, streamed).otherwise(edited))
+    return cut.select("conv_id", F.struct("turn", "copy").alias("message_id"), "role", events)
 
 
 def fold(events: DataFrame) -> DataFrame:
     """`conv_id`, `position` (the first sequence number), `role` and the final `text` of every message that remains."""
+    events = events.repartition("conv_id")
     event = F.struct("seq", "kind", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     logs = events.groupBy("conv_id", "message_id").agg(F.sort_array(F.collect_list(event)).alias("log"))
     # The last event that sets the text, counted from 1; deltas before it are forgotten.

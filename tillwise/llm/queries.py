@@ -24,7 +24,7 @@ def op1_html_text(spark: SparkSession, folder: str) -> DataFrame:
 def op2_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     rows = read(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     more = spark.sql(f"SELECT -7L AS conv_id, turn, role, '{INJECTED}' AS text FROM VALUES (0L, 'user'), (1L, 'assistant') AS t(turn, role)")
-    rendered = chat.render(chat.fold(chat.messages_as_events(rows.unionByName(more))))
+    rendered = chat.render(chat.fold(chat.conversation_log(rows.unionByName(more))))
     back = chat.read_back(rendered)
     lines = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     trained = F.array_join("trained", "")
