@@ -508,6 +508,114 @@ def test_keys_that_stand_twice_are_reported_twice():
     assert secrets.around("abXabYab", 3, 5) == ("X", "Y")
 
 
+def test_short_keys_and_passwords_with_marks():
+    for text, key in (
+        ("the private access key is {}", "q7Zx9Lr2Vt5Kp8Wm"), ("and password is {}, they said", "Xk#9@Lr2!Vt5$Kp8%Wm3^Yc6&Hd1"), ("set dbPassword to '{}'", "v8#Lq!2zRt@5"),
+        ("the authtoken {} is old", "Zk3vQ9xLw2RtB7"), ("secretkey {}", "Zk3vQ9xLw2RtB7"), ("https://a.example/x?id=1&api_key={}", "q7Zx9Lr2Vt5Kp8Wm3Yc6Hd1Jf4Gs0Bn"),
+    ):
+        for around in ("", PROSE):
+            found = [text_[s:e] for text_ in [around + text.format(key)] for s, _, e in secrets.scan_text(text_)]
+            assert found and all(key in x for x in found), (text, found)
+
+
+def test_words_urls_and_checksums_are_no_secrets():
+    key = "q7Zx9Lr2Vt5Kp8Wm3Yc6Hd1Jf4Gs0Bn"
+    for text in (
+        "the keyboard and {}", "the author of {}", "their secretary wrote {}", "a monkey saw {}", "inaccessible {}", "access to https://youtu.be/watch?v={}",
+        '<script integrity="sha384-{}+x">', "the access digest: {}", "key sha256:{}", "the private key of 2024-11-23 and MacBookPro-2024 stays",
+        "secret meeting at 10:45-11:30 with understandable words", "token names like api/v2/users_list and C++/C#/F#-code are fine",
+    ):
+        assert secrets.scan_text(PROSE + text.format(key)) == [], text
+
+
+def test_rates_on_planted_secrets_and_on_plain_text():
+    random = np.random.default_rng(5)
+    words = [x for x in PROSE.split() if x.isalpha()]
+    letters = list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789")
+    labels = ("the password is {}", "secret: {}", "API token {}", "private key {}", "Authorization: Bearer {}", "access key = {}")
+    missed = 0
+    for i in range(300):
+        kind, size = i % 3, int(random.integers(16, 48))
+        key = "".join(random.choice(letters + list("!#$%&*@") * 3 if kind == 1 else letters, size).tolist())
+        before, after = (" ".join(random.choice(words, 30).tolist()) for _ in range(2))
+        text = f"{before}. {labels[i % len(labels)].format(key)} {after}"
+        missed += "".join(key) in secrets.redact_text(text)
+    assert missed <= 15  # 5 %
+    false = 0
+    for i in range(300):
+        label = secrets.SENSITIVE[i % len(secrets.SENSITIVE)]
+        plain = "-".join(random.choice(words, 4).tolist()) if i % 2 else "_".join([*random.choice(words, 3).tolist(), str(2000 + i % 25)])
+        false += bool(secrets.novel_spans(text := f"the {label} {plain} and " + " ".join(random.choice(words, 20).tolist()), secrets.base_spans(text)))
+    assert false <= 6  # 2 %
+
+
+def brute_spans(text):
+    """The base patterns by looking at one character after the other."""
+    found = []
+
+    def run(at, allowed):
+        end = at
+        while end < len(text) and text[end] in allowed:
+            end += 1
+        return end
+
+    letters, digits = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    value = set(letters + letters.upper() + digits + "+/_.=-")
+    lower = "".join(x.lower() if x.isascii() else "\0" for x in text)
+
+    def assigned(at):
+        for word in ("password", "passwd", "secret", "token", "api_key", "apikey"):
+            if lower.startswith(word, at):
+                p = at + len(word)
+                p += text[p : p + 1] in ("'", '"')
+                p = run(p, " ")
+                if text[p : p + 1] not in (":", "="):
+                    continue
+                start = run(p + 1, " ")
+                start += text[start : start + 1] in ("'", '"')
+                if run(start, value) > start:
+                    return start, run(start, value)
+        return None
+
+    at = 0
+    while at < len(text):
+        hit = assigned(at)
+        if hit and hit[1] - hit[0] >= 12:
+            found.append((at, 0, hit[1]))
+        at = hit[1] if hit else at + 1
+    at = 0
+    while at < len(text):
+        end = run(at + 4, letters.upper() + digits) if text.startswith("AKIA", at) else at
+        if end > at + 4 and end - at >= 18:
+            found.append((at, 1, end))
+        at = end if end > at + 4 else at + 1
+    at = 0
+    while at < len(text):
+        end = run(at, digits + "abcdef")
+        if end - at >= 16:
+            found.append((at, 2, end))
+        at = max(end, at + 1)
+    return sorted(found)
+
+
+@needs_tables
+def test_base_spans_equal_brute_force(spark):
+    texts = [r["text"] or "" for r in spark.read.parquet(f"{FOLDER}/documents.parquet").select("text").collect()]
+    texts += ["token = = x", "password: 'abcdefghijkl' passwd==abcdefghijklm", "secretsecret:abcdefghijklmnop", "AKIAAKIA" + "Z9" * 9, "api__key=abcdefghijklmn", "f" * 15 + "g" + "0" * 17]
+    found = 0
+    for text in texts:
+        got = secrets.base_spans(text)
+        assert got == brute_spans(text)
+        found += len(got)
+    assert found > 3
+
+
+def test_very_long_texts():
+    key = "q7Zx9Lr2Vt5Kp8Wm3Yc6Hd1Jf4Gs0Bn"
+    text = PROSE * 9_000 + "secret: " + key + " " + "a" * 500_000 + "://" + "9" * 300_000
+    assert (len(PROSE) * 9_000 , 0, len(PROSE) * 9_000 + 8 + len(key)) in secrets.scan_text(text)
+
+
 def test_redaction_keeps_rows_and_columns(docs, no_docs):
     kept = secrets.redact(docs)
     assert kept.columns == docs.columns and kept.count() == docs.count()

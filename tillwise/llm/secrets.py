@@ -10,6 +10,11 @@ bytes; a random key is incompressible and adds nearly its entropy. What entropy
 its length and how the frame codes literals, so it is measured: random characters of the same alphabet are put in the
 candidate's place. Candidates in a sensitive context that take at least the share `AS_RANDOM` of their bytes
 (`AS_RANDOM_LONG` beyond `LONG` characters) are reported; those of letters alone must also be unlike words in their pairs of letters. The short last line of a wrapped key goes with it.
+Besides strings of twenty and more letters, digits and the characters of base64, a candidate may be shorter (from twelve on) or hold any
+mark that passwords have; such ones must mix upper and lower case, digits or marks as random strings do, and need a sensitive word of their own.
+Sensitive words are whole words: parted from others by anything but a letter, or by a change of case as in `apiKey`, or joined to
+another sensitive word; the long ones may also end a longer word. Inside a URL only words of that URL count, and strings that are
+labelled as checksums are none.
 Each distinct candidate of a text is judged once, short ones first, in surroundings from which its other occurrences and the keys
 found so far are taken out.
 
@@ -50,8 +55,19 @@ HEX = re.compile(r"[0-9a-f]{16,}")  # the longest runs of at least so many
 
 # The method's own words and bounds.
 SENSITIVE = ("password", "passwd", "pwd", "secret", "token", "apikey", "api_key", "credential", "authorization", "bearer", "private", "access", "signature", "auth", "key")
-CONTEXT = re.compile("|".join(map(any_case, SENSITIVE)))
+CONTEXT = re.compile(f"(?:{'|'.join(map(any_case, SENSITIVE))})[sS]?")
+#: Words that are sensitive also at the end of a longer word, as in `dbpassword`.
+ENDINGS = ("password", "passwd", "secret", "token", "credential", "api_key", "apikey")
+URL = re.compile(r"://[^\s\"'`<>]+")
+CHECKSUM = re.compile(r"(?i:integrity|checksum|digest|etag|sha-?[0-9]{1,3}|md5)[\"']?\s{0,4}[=:]\s{0,4}[\"'`]?\Z")
+HASHED = re.compile(r"sha[0-9]{1,3}[-=]")
 CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}(?![A-Za-z0-9+/_=-])")
+#: Shorter ones with a digit, and ones with marks of passwords, which end at white space, quotes or punctuation.
+SHORT = re.compile(r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]{0,18}[0-9])[A-Za-z0-9+/_=-]{12,19}(?![A-Za-z0-9+/_=-])")
+MARKS = "!#$%&*?@^~|"
+MARKED = re.compile(rf"(?<![^\s\"'`=:(])(?=[A-Za-z0-9+./:=_-]{{0,64}}[{re.escape(MARKS)}])[A-Za-z0-9+./:=_{re.escape(MARKS)}-]{{12,}}(?=[\s\"'`,;)]|\Z)")
+#: Of the neighbouring characters of a random string, nearly two thirds differ in kind.
+MIXED = 0.4
 BEFORE, AROUND = 48, 256
 SENTENCE_END = re.compile(r"[.!?]\s|\n")
 KEY_BLOCK = re.compile(r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----")
@@ -70,8 +86,13 @@ ALPHABETS = (
     string.digits, "0123456789ABCDEF", "0123456789abcdef", string.ascii_uppercase, string.ascii_lowercase,
     string.ascii_uppercase + "234567", string.ascii_lowercase + "234567", string.ascii_uppercase + string.digits,
     string.ascii_lowercase + string.digits, string.ascii_letters, string.ascii_letters + string.digits, string.ascii_letters + string.digits + "+/",
+    string.ascii_letters + string.digits + string.punctuation,
 )
 SEPARATORS = frozenset("_-=")
+#: The parts of a name; the bits that a letter behind another one of its word may take on average.
+PARTS = re.compile("[A-Z]?[a-z]+|[A-Z]+|[0-9]+|[^A-Za-z0-9]")
+VOWELS = frozenset("aeiouy")
+NAME_BITS = 5.1
 #: Identifiers and words that code and settings are full of; they prime the compressor.
 IDENTIFIERS = (
     "import from return class def function const let var public private static void string integer boolean number object "
@@ -117,6 +138,19 @@ def wordlike(candidate: str) -> bool:
     return sum(bits) < math.log2(26) * len(bits)
 
 
+def identifier(candidate: str) -> bool:
+    """Whether it is a name: words that can be spoken, parted by case or separators, and at most two numbers."""
+    parts = PARTS.findall(candidate)
+    words = [x.lower() for x in parts if x[0].isalpha()]
+    numbers = sum(x[0].isdigit() for x in parts)
+    if numbers > 2 or len(words) + numbers < 2 or sum(map(len, words)) < 3 * len(words) or not words:
+        return False
+    if any(len(x) >= 3 and not VOWELS & set(x) for x in words):
+        return False
+    bits = [letter_pairs()[x + y] for word in words for x, y in zip(word, word[1:])]
+    return sum(bits) < NAME_BITS * len(bits)
+
+
 def around(text: str, start: int, end: int, keys: Iterable[str] = ()) -> tuple[str, str]:
     """The text before and after the candidate, without what repeats it or one of the keys."""
     candidate, length = text[start:end], end - start
@@ -136,7 +170,7 @@ def around(text: str, start: int, end: int, keys: Iterable[str] = ()) -> tuple[s
 def is_random(text: str, start: int, end: int, keys: Iterable[str] = ()) -> bool:
     """Whether the candidate adds nearly as many bytes to its surroundings as random characters of its alphabet do."""
     candidate = text[start:end]
-    if not any(x.isalnum() for x in candidate) or not any(x.isdigit() for x in candidate) and wordlike(candidate):
+    if not any(x.isalnum() for x in candidate) or not any(x.isdigit() for x in candidate) and wordlike(candidate) or identifier(candidate):
         return False
     before, after = around(text, start, end, keys)
 
@@ -175,19 +209,60 @@ def place_of(places: list[tuple[int, int]], start: int) -> int:
     return i if i >= 0 and start < places[i][1] else -1
 
 
+def context_words(text: str) -> list[int]:
+    """Ends of the sensitive words that stand as words."""
+    ends, joint = [], -1  # where a sensitive word ended that another one may join
+    for m in CONTEXT.finditer(text):
+        start, end = m.span()
+        before, after = text[start - 1 : start], text[end : end + 1]
+        begins = not before.isalpha() or text[start].isupper() and before.islower() or start == joint or m.group().lower().rstrip("s") in ENDINGS
+        if not begins:
+            continue
+        joint = end
+        if not after.isalpha() or after.isupper() and text[end - 1].islower():
+            ends.append(end)
+    return ends
+
+
+def mixed(candidate: str) -> bool:
+    """Whether upper and lower case, digits and marks follow each other as in a random string, three of the kinds at least."""
+    kinds = ["a" if x.islower() else "A" if x.isupper() else "0" if x.isdigit() else "!" for x in candidate]
+    changes = sum(x != y for x, y in zip(kinds, kinds[1:]))
+    return len(set(kinds)) >= 3 and changes >= MIXED * (len(kinds) - 1) and not wordlike(candidate) and not identifier(candidate)
+
+
 def sensitive_candidates(text: str) -> Iterator[tuple[int, int, int]]:
     """(start, end, number of the private key block or -1) of the candidates in a sensitive context."""
-    candidates = [m.span() for m in CANDIDATE.finditer(text)]
-    if not candidates:
+    plain = {m.span() for m in CANDIDATE.finditer(text)}
+    wild = {m.span() for m in SHORT.finditer(text)}
+    if any(x in text for x in MARKS):
+        wild |= {m.span() for m in MARKED.finditer(text) if len(set(m.group()) & set(MARKS)) >= 2}
+    if not plain and not wild:
         return
-    words = [m.end() for m in CONTEXT.finditer(text)]
+    words = context_words(text)
     ends = [m.end() for m in SENTENCE_END.finditer(text)] if words else []
     blocks = key_blocks(text) if words else []
+    urls = [m.span() for m in URL.finditer(text)]
     last = None  # end of the candidate before, if its context is sensitive
-    for start, end in candidates:
+    for start, end in sorted(plain | wild):
+        loose = (start, end) not in plain
+        if loose and (not words or not mixed(text[start:end])):
+            continue
+        if HASHED.match(text, start) or CHECKSUM.search(text, max(0, start - 24), start):
+            last = None
+            continue
+        i, j, url = bisect_right(words, start), bisect_right(ends, start), place_of(urls, start)
+        if url >= 0 or loose and "://" in text[start:end]:
+            if not loose and i > 0 and words[i - 1] > max(urls[url][0], start - BEFORE):
+                yield start, end, -1
+            last = None
+            continue
         block = place_of(blocks, start)
-        i, j = bisect_right(words, start), bisect_right(ends, start)
         sensitive = block >= 0 or i > 0 and words[i - 1] > min(start - BEFORE, ends[j - 1] if j else 0)
+        if loose:
+            if sensitive and block < 0:
+                yield start, end, block
+            continue
         if not sensitive and last is not None:
             gap = text[last:start].strip()
             sensitive = len(gap) <= BEFORE and "\n" not in gap
@@ -199,6 +274,16 @@ def sensitive_candidates(text: str) -> Iterator[tuple[int, int, int]]:
             yield start, end, block
 
 
+def outermost(spans: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """Without those inside another."""
+    kept, reach = [], -1
+    for span in sorted(spans, key=lambda x: (x[0], -x[2])):
+        if span[2] > reach:
+            kept.append(span)
+            reach = span[2]
+    return kept
+
+
 def novel_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """Incompressible strings in a sensitive context that no base span covers to their ends; all lines of key blocks with one."""
     found = []
@@ -224,7 +309,7 @@ def novel_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int,
         if (wrapped or block in keys) and (rest := LAST_LINE.match(text, end)) and rest.end(1) - rest.start(1) < end - start:
             found.append((rest.start(1), 3, rest.end(1)))
         above = start, end
-    return found
+    return outermost(found)
 
 
 def scan_text(text: str | None) -> list[tuple[int, int, int]]:
