@@ -70,6 +70,55 @@ def test_boxes_lists_and_tables_do_not_cut_an_article():
         assert html_text.main_text(page) == "\n".join([title, *text, body, *text, end])
 
 
+def test_one_class_word_does_not_drop_text_of_an_article():
+    nav = "<nav><ul><li><a href=/>Home</a></ul></nav>"
+    lead, body = " ".join(["lead"] * 20), " ".join(["body"] * 60)
+    kept = {
+        "<header><h1>The title</h1><p>By the desk</p></header>": "The title\nBy the desk",
+        "<header><h1><a href=/t>The title</a></h1></header>": "The title",
+        "<div class=header><h1>The title</h1></div>": "The title",
+        '<p class="site notice">It was noticed</p>': "It was noticed",
+        "<p class=comment-free>No comment</p>": "No comment",
+        "<p class=reply>They replied</p>": "They replied",
+        "<h2 class=section-header>On rain</h2>": "On rain",
+        '<h2 class=section-header><a href="#rain">On rain</a></h2>': "On rain",
+        "<section class=related-work><p>Others saw it</p></section>": "Others saw it",
+        "<p>Let <math><mi>x</mi><annotation>\\x</annotation></math> be</p>": "Let x be",
+        '<p>See <a class="copyright" href=/c>this</a></p>': "See",
+        '<p title="a hidden door">It was found</p>': "It was found",
+    }
+    for inner, text in kept.items():
+        page = f"<body>{nav}<article>{inner}<p>{lead}</p>{inner}<p>{body}</p>{inner}</article><footer>us</footer></body>"
+        assert html_text.main_text(page) == "\n".join([text, lead, text, body, text]), inner
+    for inner in (
+        '<div class="ad">Buy two shirts and get one</div>', "<p class=advert>Buy two shirts</p>", "<div class=comment-list><p>Nice post of yours</p></div>",
+        "<section class=related><h3>More</h3><p>Older news</p></section>", "<p class=share-bar><a>Share</a> <a>Tweet</a></p>", "<footer>By us</footer>",
+        "<header><a href=/>Home</a> <a href=/w>World</a></header>", "<div role=navigation>Pages</div>", "<p hidden>not seen</p>", '<span class="ads">Buy</span>',
+    ):
+        page = f"<body>{nav}<article>{inner}<p>{lead}</p>{inner}<p>{body}</p>{inner}</article><footer>us</footer></body>"
+        assert html_text.main_text(page) == f"{lead}\n{body}", inner
+    between = "<p>" + " ".join(["word"] * 40) + "</p>"
+    assert html_text.main_text(f"<body>{nav}<article><p>{lead}</p></article>{between}<article><p>One more</p></article></body>") == f"{lead}\nOne more"
+
+
+def test_the_scan_finds_the_region_where_no_element_tells():
+    links = "".join(f'<a href="/{i}">Older news of the valley {i}</a> ' for i in range(8))
+    short = "".join(f"<li><a href=/{i}>go</a></li>" for i in range(8))
+    title, lead, end = "Rain is on its way", "It <a href=/w>rains</a> once more in the valley, they say.", "That is <b>all</b> for now."
+    body = " ".join(["body"] * 60)
+    for before in (f"<div>{links}</div>", f"<ul>{short}</ul>", f"<table><tr><td>{links}</td></tr></table>", ""):
+        page = f"<html><body>{before}<h1>{title}</h1><p>{lead}</p><div><p>{body}</p></div><p>{end}</p>{before}{before}</body></html>"
+        assert html_text.main_text(page) == "\n".join([title, lead.replace("<a href=/w>", "").replace("</a>", ""), body, "That is all for now."])
+    linked_start = f"<body><ul>{short}</ul><p>So <a href=/a>a link of the whole first words</a> and {body}</p><ul>{short}</ul></body>"
+    assert html_text.main_text(linked_start) == f"So a link of the whole first words and {body}"
+
+
+def test_clashing_columns_of_pages(spark):
+    rows = spark.createDataFrame([(1, "<p>a b", "old", "x")], "page_id int, html string, Text string, text_in string")
+    (row,) = html_text.extract(rows).collect()
+    assert row["text"] == "a b" and row["text_in"] == "x" and set(row.asDict()) == {"page_id", "html", "text", "text_in"}
+
+
 def test_main_text_of_odd_pages(spark):
     odd = {None: "", "": "", "<!-- x": "", "<script>x": "", "a < b <": "a < b <", "plain words": "plain words", '<p title="x>y': "y", "</p></p>ok": "ok"}
     rows = spark.createDataFrame([(x,) for x in odd], "html string")

@@ -4,10 +4,16 @@ A page is a sequence of words and tags. Words score positive and tags negative;
 with the largest sum, which is the main content: long runs of words with few tags between them. The weights come from
 labelled pages. The weight of a tag is how much denser it is among boilerplate words than among content words; an
 attribute word (a part of a class, id or role) or an element counts as boilerplate, or as content, by the log odds of the
-words below it. What stands in boilerplate elements is no content wherever it lies, and where a page has elements that
-are known for content, words outside them score negative and the tags inside them nothing, so that no box, list or table cuts them.
+words below it. Words of links score what linked words are worth on the labelled pages. What stands in boilerplate elements
+is no content. Where a page has elements that are known for content, their tags and the words outside them score nothing,
+so that no box, list, table or text between two articles cuts them.
 
-The text of the region is decoded, white space inside a block becomes one space, blocks are joined by a line feed.
+Inside known content one attribute word is weak evidence. Element kinds, roles and hidden elements still count. A word counts
+on a box (an element that holds blocks) if the rest of its class or id names only structure, as in `comment-list` and unlike
+`related-work`; on paragraphs, headings, cells and inline elements only words for adverts and the like count. Otherwise,
+and for headers of articles without a heading, the element is boilerplate if most of its words are linked.
+
+The text of the region, widened to whole blocks, is decoded, white space inside a block becomes one space, blocks are joined by a line feed.
 Null and empty pages, and pages without words, have an empty text. Broken markup never fails: unclosed elements end with
 their parents, unknown end tags are ignored, an unclosed comment or script runs to the end of the page.
 """
@@ -27,13 +33,29 @@ from tillwise.llm.common import with_results
 
 # Fixed values of HTML: kinds of elements.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript iframe xmp noframes noembed template svg math select option button object canvas audio video".split())
+RAW = frozenset("script style textarea title noscript iframe xmp noframes noembed template svg annotation annotation-xml select option button object canvas audio video".split())
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 "
     "h5 h6 head header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead title tr ul".split()
 )
+#: Blocks that hold running text; all other blocks are boxes.
+TEXT_BLOCKS = frozenset("p pre blockquote h1 h2 h3 h4 h5 h6 hgroup li dt dd td th tr caption figcaption summary legend body html".split())
+#: Words that name the structure of a box, not its purpose.
+STRUCTURE = frozenset(
+    "area article bar block body bottom box button buttons container content entry group inline inner item items left link links list main "
+    "outer page panel post right section site slot top unit widget wrap wrapper".split()
+)
+#: Words for headers: the header of an article holds its title.
+HEADERS = frozenset("header masthead top".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Words that mark boilerplate on paragraphs and inline elements too.
+CLEAR = frozenset(
+    "ad ads advert advertisement breadcrumb breadcrumbs cookie cookies newsletter pager pagination promo sponsor sponsored".split()
+)
 ATTRIBUTE = re.compile(r"""([^\s"'=<>/]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
-HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+QUOTED = re.compile(r"\"[^\"]*\"|'[^']*'")
+HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|>|$)", re.I)
+HIDING = re.compile(r"(?:^|\s)(?:style\s*=[^>]*?display\s*:\s*none|aria-hidden\s*=\s*[\"']?true)", re.I)
 NAMES = re.compile(r"[a-z]+")
 QUOTE_OR_END = re.compile(r"[\"'>]")
 NAME = re.compile(r"[a-zA-Z][^\s/>]*")
@@ -74,6 +96,7 @@ class Weights:
     tag: dict[str, float] = field(default_factory=dict)
     other_tag: float = -0.3
     word: float = 1.0
+    linked: float = 0.1
     noise: frozenset[str] = frozenset()
     content: frozenset[str] = frozenset()
 
@@ -134,46 +157,110 @@ def pieces(page: str):
 
 
 def features(tag: str, attributes: str) -> set[str]:
-    """The element's name and the words of its class, id and role."""
+    """The element's name, the words of its class, id and role, and its roles once more with a mark."""
     found = {f"<{tag}>"}
     if attributes and "=" in attributes:
         for name, *values in ATTRIBUTE.findall(attributes):
             if name.lower() in ("class", "id", "role"):
-                found.update(NAMES.findall("".join(values).lower()))
+                words = NAMES.findall("".join(values).lower())
+                found.update(words)
+                if name.lower() == "role":
+                    found.update(f"@{word}" for word in words)
     return found
 
 
-def walk(page: str, weights: Weights):
-    """("tag", name, state) and ("text", string, state); a state is (boilerplate, content) of the open elements."""
-    stack: list[tuple[str, tuple[bool, bool]]] = []
+def tells(attributes: str, marks: frozenset[str]) -> bool:
+    """Whether a class or id consists of at least one of the marks and otherwise of words of structure."""
+    for name, *values in ATTRIBUTE.findall(attributes):
+        if name.lower() in ("class", "id"):
+            for token in "".join(values).lower().split():
+                words = set(NAMES.findall(token))
+                if words & marks and words <= marks | STRUCTURE:
+                    return True
+    return False
+
+
+@dataclass
+class Element:
+    """An open element: what it says of itself, how many words stand in it and in its links, and how many headings it has or is."""
+
+    name: str
+    attributes: str
+    parent: int
+    words: int = 0
+    linked: int = 0
+    headings: int = 0
+    noise: bool = False
+    content: bool = False
+    link: bool = False
+
+
+def is_hidden(attributes: str) -> bool:
+    """Whether the element has the attribute `hidden` (not the word in some value), or a style or state that hides it."""
+    if "hid" not in attributes.lower() and "none" not in attributes.lower():
+        return False
+    return bool(HIDDEN.search(QUOTED.sub("", attributes)) or HIDING.search(attributes))
+
+
+def judge(element: Element, parent: Element, weights: Weights) -> None:
+    """Set whether the element is boilerplate, content and linked, by itself and by the element around it."""
+    own = features(element.name, element.attributes)
+    element.link = parent.link or element.name == "a"
+    element.content = parent.content or bool(own & weights.content)
+    found = own & weights.noise
+    if parent.noise or element.name in RAW or element.name == "head" or is_hidden(element.attributes):
+        element.noise = True
+    elif found and element.name not in ("body", "html"):
+        if not parent.content:
+            element.noise = True
+        elif any(x[0] in "<@" and x != "<header>" for x in found):
+            element.noise = True
+        else:
+            box = element.name in BLOCK and element.name not in TEXT_BLOCKS
+            marks = weights.noise - HEADERS if box else CLEAR
+            titled = element.headings and found <= HEADERS | {"<header>"}
+            element.noise = tells(element.attributes, marks) or not titled and 2 * element.linked > element.words
+
+
+def walk(page: str, weights: Weights) -> list[tuple[str, str, Element]]:
+    """("tag", name, element) and ("text", string, element) in page order; a tag belongs to its own element."""
+    elements = [Element("", "", 0)]
+    events: list[tuple[str, str, int]] = []
+    stack: list[int] = [0]
     depth: Counter = Counter()
-    state = (False, False)
 
     def leave(name: str) -> None:
-        nonlocal state
-        while stack:
-            last, before = stack.pop()
-            depth[last] -= 1
-            state = before
-            if last == name:
+        while len(stack) > 1:
+            last = elements[stack.pop()]
+            depth[last.name] -= 1
+            elements[last.parent].words += last.words
+            elements[last.parent].linked += last.linked
+            elements[last.parent].headings += last.headings
+            if last.name == name:
                 return
 
     for kind, value, attributes in pieces(page):
         if kind == "text":
-            yield "text", value, state
+            inside = elements[stack[-1]]
+            if inside.name not in RAW:
+                words = len(value.split())
+                inside.words += words
+                inside.linked += words if depth["a"] else 0
+            events.append(("text", value, stack[-1]))
             continue
         if kind == "open" and depth["p"] and value in BLOCK:
             leave("p")
         if kind == "open" and value not in VOID:
-            noise, content = state
-            own = features(value, attributes)
-            stack.append((value, state))
+            elements.append(Element(value, attributes, stack[-1], headings=int(value in HEADINGS)))
+            stack.append(len(elements) - 1)
             depth[value] += 1
-            noisy = value in RAW or value == "head" or bool(attributes and HIDDEN.search(attributes))
-            state = (noise or noisy or bool(own & weights.noise) and value not in ("body", "html"), content or bool(own & weights.content))
-        yield "tag", value, state
+        events.append(("tag", value, stack[-1]))
         if kind == "close" and depth[value]:
             leave(value)
+    leave("")  # all that was never closed
+    for element in elements[1:]:  # parents come first
+        judge(element, elements[element.parent], weights)
+    return [(kind, value, elements[at]) for kind, value, at in events]
 
 
 def fit(labelled: tuple[str, ...] = LABELLED) -> Weights:
@@ -199,7 +286,8 @@ def fit(labelled: tuple[str, ...] = LABELLED) -> Weights:
             elif any(x[0] == value for x in stack):
                 while stack.pop()[0] != value:
                     pass
-    weights = Weights()
+    linked = {y: below[y]["<a>"] for y in (True, False)}
+    weights = Weights(linked=(linked[True] + 0.5) / (linked[True] + linked[False] + 1))
     odds = {
         name: math.log((below[True][name] + 0.5) / (words[True] + 1)) - math.log((below[False][name] + 0.5) / (words[False] + 1))
         for name in below[True].keys() | below[False].keys()
@@ -222,22 +310,30 @@ def main_text(page: str | None, weights: Weights = FITTED) -> str:
     """The text of the best region of one page."""
     if not page:
         return ""
-    events = list(walk(page, weights))
-    known = any(state[1] and not state[0] and kind == "text" and not value.isspace() for kind, value, state in events)
+    events = walk(page, weights)
+    known = any(x.content and not x.noise and kind == "text" and not value.isspace() for kind, value, x in events)
     best = total = 0.0
     begin, region = 0, (0, -1)
-    for i, (kind, value, (noise, content)) in enumerate(events):
-        if kind == "tag":
-            score = 0.0 if known and content else weights.tag.get(value, weights.other_tag)
-        elif noise:
+    for i, (kind, value, inside) in enumerate(events):
+        if known and (kind == "tag" or not inside.content):
+            score = 0.0
+        elif kind == "tag":
+            score = weights.tag.get(value, weights.other_tag)
+        elif inside.noise:
             score = 0.0  # the words belong to the element, whose tags score
         else:
-            score = len(value.split()) * (weights.word if content or not known else -weights.word)
+            score = len(value.split()) * (weights.linked if inside.link and not known else weights.word)
         if total <= 0:
             total, begin = 0.0, i
         total += score
         if total > best:
             best, region = total, (begin, i)
+    first, last = region
+    if last >= 0:  # a link at an end must not cut a block
+        while first > 0 and not (events[first][0] == "tag" and events[first][1] in BLOCK):
+            first -= 1
+        while last + 1 < len(events) and not (events[last + 1][0] == "tag" and events[last + 1][1] in BLOCK):
+            last += 1
     blocks: list[str] = []
     parts: list[str] = []
 
@@ -247,13 +343,13 @@ def main_text(page: str | None, weights: Weights = FITTED) -> str:
         if text:
             blocks.append(text)
 
-    for kind, value, (noise, content) in events[region[0] : region[1] + 1]:
+    for kind, value, inside in events[first : last + 1]:
         if kind == "tag":
             if value in BLOCK:
                 end_block()
             elif value == "br":
                 parts.append(" ")
-        elif not noise and (content or not known):
+        elif not inside.noise and (inside.content or not known):
             parts.append(html.unescape(value))
     end_block()
     return "\n".join(blocks)
