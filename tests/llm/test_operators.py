@@ -4,6 +4,7 @@ import base64
 import hashlib
 import os
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -113,6 +114,16 @@ def test_the_scan_finds_the_region_where_no_element_tells():
     assert html_text.main_text(linked_start) == f"So a link of the whole first words and {body}"
 
 
+def test_time_grows_with_the_page():
+    """Each would take minutes if any step were quadratic in the page or in one tag."""
+    n = 40_000
+    tag = "<p " + "a" * n + " =x hid none>word"
+    for page in ("<p style='a;none hid " * n, "<p title=\"'" * n, tag, "<div class='x'>w " * n, "<p style=" * n + ">", "<a href=x" + " " * n + "=" * n + ">w"):
+        start = time.monotonic()
+        html_text.main_text(page)
+        assert time.monotonic() - start < 30
+
+
 def test_clashing_columns_of_pages(spark):
     rows = spark.createDataFrame([(1, "<p>a b", "old", "x")], "page_id int, html string, Text string, text_in string")
     (row,) = html_text.extract(rows).collect()

@@ -52,10 +52,10 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CLEAR = frozenset(
     "ad ads advert advertisement breadcrumb breadcrumbs cookie cookies newsletter pager pagination promo sponsor sponsored".split()
 )
-ATTRIBUTE = re.compile(r"""([^\s"'=<>/]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
+ATTRIBUTE = re.compile(r"""(?<![^\s"'=<>/])([^\s"'=<>/]++)\s*+=\s*+(?:"([^"]*)"|'([^']*)'|([^\s"'>]++))""")
 QUOTED = re.compile(r"\"[^\"]*\"|'[^']*'")
 HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|>|$)", re.I)
-HIDING = re.compile(r"(?:^|\s)(?:style\s*=[^>]*?display\s*:\s*none|aria-hidden\s*=\s*[\"']?true)", re.I)
+NOT_SHOWN = re.compile(r"display\s*+:\s*+none", re.I)
 NAMES = re.compile(r"[a-z]+")
 QUOTE_OR_END = re.compile(r"[\"'>]")
 NAME = re.compile(r"[a-zA-Z][^\s/>]*")
@@ -199,7 +199,10 @@ def is_hidden(attributes: str) -> bool:
     """Whether the element has the attribute `hidden` (not the word in some value), or a style or state that hides it."""
     if "hid" not in attributes.lower() and "none" not in attributes.lower():
         return False
-    return bool(HIDDEN.search(QUOTED.sub("", attributes)) or HIDING.search(attributes))
+    if HIDDEN.search(QUOTED.sub("", attributes)):
+        return True
+    given = [(name.lower(), "".join(values)) for name, *values in ATTRIBUTE.findall(attributes)]
+    return any(name == "style" and NOT_SHOWN.search(value) or name == "aria-hidden" and value.lower() == "true" for name, value in given)
 
 
 def judge(element: Element, parent: Element, weights: Weights) -> None:
