@@ -4,25 +4,68 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from tillwise.operators.recommend import RULES
+# What each recommendation implies and advises.
+RULE_TEXTS = {
+    "global-product-margin-pressure": (
+        "A large revenue base is carrying weaker unit economics than the typical product, so growth may be less valuable than it appears.",
+        "Review pricing, discount thresholds, and cost drivers for this product before increasing demand-generation spend.",
+    ),
+    "global-channel-discount-spread": (
+        "Commercial volume in this channel is more dependent on price concessions, increasing the risk of margin leakage.",
+        "Introduce approval bands for high-discount transactions and evaluate whether volume gains offset foregone gross profit.",
+    ),
+    "global-regional-economics-gap": (
+        "The regional revenue mix is economically uneven and may reflect logistics cost, discount mix, or product mix differences.",
+        "Decompose the regional gap by category and channel before setting a region-wide growth target.",
+    ),
+    "global-category-profit-underweight": (
+        "Revenue concentration in the category overstates its contribution to economic value.",
+        "Prioritize high-margin products within the category and test lower discount ceilings on weak-margin combinations.",
+    ),
+    "global-segment-discount-governance": (
+        "Large negotiated discounts can be economically justified only if they are supported by sufficient volume, retention, or lower service cost.",
+        "Create segment-specific discount guardrails tied to contribution margin rather than using revenue alone.",
+    ),
+    "global-discount-pool": (
+        "Even small improvements in discount discipline can materially change gross profit at this revenue scale.",
+        "Track discount amount as a controllable investment and review the top product-channel combinations consuming it each month.",
+    ),
+    "scope": (
+        "The filtered commercial slice deserves a mix, pricing, or cost review before pursuing additional volume.",
+        "Inspect the next-level product and channel mix, then target the specific combinations driving the gap.",
+    ),
+    "product-tension": (
+        "Scaling demand without fixing economics can grow low-quality revenue.",
+        "Review pricing, discount approval, and unit cost before increasing acquisition spend.",
+    ),
+    "discount-spend": (
+        "Discount is a commercial investment and should be measured against incremental volume and profit.",
+        "Rank customers, channels, and products by discount leakage and introduce approval bands for the weakest economics.",
+    ),
+    "margin-gap": (
+        "The performance gap is large enough to justify a mix, pricing, or cost investigation.",
+        None,
+    ),
+}
 
 FACTS = """
 lines AS (
   SELECT 'TXN-' || CAST(l_orderkey * 10 + l_linenumber AS VARCHAR) AS transaction_id,
          'ORD-' || CAST(l_orderkey AS VARCHAR) AS order_id,
          CAST(o_orderdate AS DATE) AS order_date,
-         r_name AS region, o_orderpriority AS channel, c_mktsegment AS customer_segment,
-         p_type AS category, p_type || ' ' || p_name AS product,
+         coalesce(r_name, 'Unspecified') AS region, coalesce(o_orderpriority, 'Unspecified') AS channel,
+         coalesce(c_mktsegment, 'Unspecified') AS customer_segment, coalesce(p_type, 'Unspecified') AS category,
+         coalesce(p_type || ' ' || p_name, 'Unspecified') AS product,
          CAST(l_quantity AS BIGINT) AS quantity,
          CAST(l_extendedprice AS DECIMAL(15,2)) AS gross,
          CAST(l_discount AS DECIMAL(4,2)) AS discount_rate,
          CAST(p_retailprice AS DECIMAL(15,2)) AS unit_cost
   FROM lineitem
-  JOIN part ON p_partkey = l_partkey
-  JOIN orders ON o_orderkey = l_orderkey
-  JOIN customer ON c_custkey = o_custkey
-  JOIN nation ON n_nationkey = c_nationkey
-  JOIN region ON r_regionkey = n_regionkey
+  LEFT JOIN part ON p_partkey = l_partkey
+  LEFT JOIN orders ON o_orderkey = l_orderkey
+  LEFT JOIN customer ON c_custkey = o_custkey
+  LEFT JOIN nation ON n_nationkey = c_nationkey
+  LEFT JOIN region ON r_regionkey = n_regionkey
 ),
 amounts AS (
   SELECT *, CAST(gross AS DECIMAL(18,4)) AS gross_revenue,
@@ -559,7 +602,7 @@ def finding(
 
 
 def advice(rule: str) -> str:
-    return f"'{RULES[rule][2]}'"
+    return f"'{RULE_TEXTS[rule][1]}'"
 
 
 NONE = "CAST(NULL AS VARCHAR)"
@@ -581,7 +624,7 @@ RECOMMENDATIONS = "found AS (\n" + "\nUNION ALL ".join(
             f"value || ' is a top-quartile revenue product but earns only ' || {pct('margin')} || ' gross margin.'",
             f"'It generated ' || {money('revenue')} || ' revenue and ' || {money('profit')} || "
             f"' gross profit, versus a product median margin of ' || {pct('med')} || '.'",
-            RULES["global-product-margin-pressure"][1],
+            RULE_TEXTS["global-product-margin-pressure"][0],
             advice("global-product-margin-pressure"),
             *OWN, "med",
         ),
@@ -592,7 +635,7 @@ RECOMMENDATIONS = "found AS (\n" + "\nUNION ALL ".join(
             f"h.value || ' carries the highest realized discount rate at ' || {pct('h.discount_rate')} || '.'",
             f"'Its discount rate is ' || {points('(h.discount_rate - l.discount_rate)')} || ' percentage points above ' || "
             f"l.value || ', while margin is ' || {pct('h.margin')} || '.'",
-            RULES["global-channel-discount-spread"][1],
+            RULE_TEXTS["global-channel-discount-spread"][0],
             advice("global-channel-discount-spread"),
             *of("h"), "l.discount_rate",
         ),
@@ -603,7 +646,7 @@ RECOMMENDATIONS = "found AS (\n" + "\nUNION ALL ".join(
             f"w.value || ' has the lowest regional margin at ' || {pct('w.margin')} || '.'",
             f"'That is ' || {points('(b.margin - w.margin)')} || ' percentage points below ' || b.value || ', on ' || "
             f"{money('w.revenue')} || ' revenue.'",
-            RULES["global-regional-economics-gap"][1],
+            RULE_TEXTS["global-regional-economics-gap"][0],
             advice("global-regional-economics-gap"),
             *of("w"), "b.margin",
         ),
@@ -613,7 +656,7 @@ RECOMMENDATIONS = "found AS (\n" + "\nUNION ALL ".join(
             f"value || ' contributes ' || {pct('revenue_share')} || ' of revenue but only ' || {pct('profit_share')} || "
             "' of gross profit.'",
             f"'Its realized gross margin is ' || {pct('margin')} || ' with a ' || {pct('discount_rate')} || ' discount rate.'",
-            RULES["global-category-profit-underweight"][1],
+            RULE_TEXTS["global-category-profit-underweight"][0],
             advice("global-category-profit-underweight"),
             *OWN, "profit_share",
         ),
@@ -622,7 +665,7 @@ RECOMMENDATIONS = "found AS (\n" + "\nUNION ALL ".join(
             5, "'global-segment-discount-governance'", "'medium'", "'customer_segment'", "value",
             f"value || ' receives the highest segment discount rate at ' || {pct('discount_rate')} || '.'",
             f"'The segment produced ' || {money('revenue')} || ' revenue at ' || {pct('margin')} || ' margin.'",
-            RULES["global-segment-discount-governance"][1],
+            RULE_TEXTS["global-segment-discount-governance"][0],
             advice("global-segment-discount-governance"),
             *OWN, NO_NUMBER,
         ),
@@ -632,7 +675,7 @@ RECOMMENDATIONS = "found AS (\n" + "\nUNION ALL ".join(
             6, "'global-discount-pool'", "'info'", NONE, NONE,
             f"'The business gave up ' || {money('lost')} || ' of gross revenue through discounts.'",
             f"'Weighted realized discount is ' || {pct('r')} || '; gross margin after discount is ' || {pct('m')} || '.'",
-            RULES["global-discount-pool"][1],
+            RULE_TEXTS["global-discount-pool"][0],
             advice("global-discount-pool"),
             "revenue", "profit", "m", "r", "lost",
         ),
@@ -642,7 +685,7 @@ RECOMMENDATIONS = "found AS (\n" + "\nUNION ALL ".join(
             7, "'scope-' || dimension || '-' || replace(lower(value), ' ', '-')", "'medium'", "dimension", "value",
             "value || ' is economically weaker than its peer median on margin or discount discipline.'",
             f"'Revenue ' || {money('revenue')} || ', margin ' || {pct('margin')} || ', discount ' || {pct('discount_rate')} || '.'",
-            RULES["scope"][1],
+            RULE_TEXTS["scope"][0],
             advice("scope"),
             *OWN, "med",
         ),
@@ -678,7 +721,7 @@ DYNAMIC = query(
                 "value || ' is a revenue leader with weak realized margin.'",
                 f"'Revenue is ' || {number('revenue')} || ' while gross margin is ' || {pct('margin')} || "
                 f"', versus a product median of ' || {pct('med')} || '.'",
-                RULES["product-tension"][1],
+                RULE_TEXTS["product-tension"][0],
                 advice("product-tension"),
                 *OWN, "med",
             ),
@@ -688,7 +731,7 @@ DYNAMIC = query(
                 2, "'discount-spend'", "CASE WHEN discount_rate > 0.15 THEN 'high' ELSE 'medium' END", NONE, NONE,
                 f"'Discounting consumes ' || {pct('discount_rate')} || ' of gross revenue.'",
                 f"{number('discount_amount')} || ' of gross-to-net value is currently given away.'",
-                RULES["discount-spend"][1],
+                RULE_TEXTS["discount-spend"][0],
                 advice("discount-spend"),
                 *OWN, "discount_amount",
             ),
@@ -701,7 +744,7 @@ DYNAMIC = query(
                 f"value || ' has the weakest ' || label || ' margin at ' || {pct('margin')} || '.'",
                 f"'The gap to ' || best || ' is ' || {points('(best_margin - margin)')} || ' percentage points on ' || "
                 f"{number('revenue')} || ' of revenue.'",
-                RULES["margin-gap"][1],
+                RULE_TEXTS["margin-gap"][0],
                 "'Decompose ' || value || ' by product and channel/customer mix before setting a blanket growth target.'",
                 *OWN, "best_margin",
             ),
@@ -937,7 +980,7 @@ UPLOAD_COLUMNS = ("idate", "ino", "sku", "dept", "store", "qty", "sales", "cogs"
 UPLOAD = f"""WITH doubled AS (
   SELECT 0 AS copy, * FROM lineitem UNION ALL SELECT 1, * FROM lineitem WHERE l_returnflag = 'A'
 ),
-upload AS (
+written AS (
   SELECT row_number() OVER (ORDER BY copy, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity,
            l_shipdate) - 1 AS idx,
          {untidy_date("l_returnflag")} AS idate, 'INV-' || CAST(l_orderkey AS VARCHAR) AS ino,
@@ -947,7 +990,10 @@ upload AS (
          CASE WHEN l_tax = 0 THEN '' WHEN l_quantity = 1 THEN '(' || {COST_TEXT} || ')' ELSE {COST_TEXT} END AS cogs,
          CASE WHEN l_linenumber = 7 THEN 'n/a'
               ELSE CAST(CAST(round(l_discount * 100) AS INTEGER) AS VARCHAR) || '%' END AS disc
-  FROM doubled JOIN orders ON o_orderkey = l_orderkey JOIN part ON p_partkey = l_partkey
+  FROM doubled LEFT JOIN orders ON o_orderkey = l_orderkey LEFT JOIN part ON p_partkey = l_partkey
+),
+upload AS (
+  SELECT idx, {", ".join(f"coalesce({c}, '') AS {c}" for c in UPLOAD_COLUMNS)} FROM written
 ),
 numbered AS (
   SELECT *, row_number() OVER (PARTITION BY {", ".join(UPLOAD_COLUMNS)} ORDER BY idx) AS occurrence FROM upload
@@ -1041,6 +1087,24 @@ INGEST_FACTS = UPLOAD + f"SELECT * {rounding((*DOUBLES, 'discount_rate', 'gross_
 INGEST_FILE_PRODUCTS = UPLOAD + """SELECT category || ' "' || substr(product, length(category) + 2) || '",' || chr(10) || '(' || category || ')' AS product,
   category, count(*) AS "rows", CAST(sum(CAST(net_revenue AS DECIMAL(18,2))) AS DOUBLE) AS revenue
 FROM accepted GROUP BY ALL"""
+INGEST_REJECTED_FILE = UPLOAD + """SELECT field, issue, count(*) AS issues, count(DISTINCT "row") AS "rows", min("row") AS first_row, max("row") AS last_row
+FROM issues GROUP BY ALL"""
+TYPED_FILE = query("""SELECT category, channel, count(*) AS "rows", CAST(sum(quantity) AS BIGINT) AS units, CAST(sum(cost) AS DOUBLE) AS cost,
+  CAST(sum(discount_rate) AS DOUBLE) AS rates, strftime(min(order_date), '%Y-%m-%d') AS first_day, strftime(max(order_date), '%Y-%m-%d') AS last_day
+FROM facts GROUP BY ALL""")
+FACT_GAPS = query("""SELECT count(*) AS lines, count(*) FILTER (WHERE order_date IS NULL) AS undated_lines,
+  count(*) FILTER (WHERE cost IS NULL) AS uncosted_lines, CAST(coalesce(sum(net_revenue) FILTER (WHERE cost IS NULL), 0) AS DOUBLE) AS uncosted_revenue
+FROM facts""")
+# The texts of the report's methodology.
+METHODS = """
+  ('anomaly_detection', 'Monthly revenue, profit, and margin use MAD robust z-scores; |z| >= 3.0 is flagged.'),
+  ('growth', 'MoM uses percentage change from the immediately preceding month; YoY uses the same month 12 months earlier; acceleration is the first difference of MoM growth.'),
+  ('margin', 'Gross margin = (net revenue - cost) / net revenue. Margin before discount uses gross revenue as the denominator.'),
+  ('discount', 'Discount amount = gross revenue - net revenue. Weighted discount rate = total discount amount / total gross revenue.'),
+  ('seasonality', 'Month-of-year patterns are descriptive across the observed ' || years || ' history and are not causal claims.')"""
+METHODOLOGY = query(f"""SELECT topic, text FROM
+  (SELECT CASE WHEN min(year) = max(year) THEN min(year)::VARCHAR ELSE min(year)::VARCHAR || '–' || max(year)::VARCHAR END AS years FROM facts) y,
+  LATERAL (VALUES {METHODS}) AS m(topic, text)""")
 INGEST_QUALITY = UPLOAD + """SELECT total_rows, valid_rows, total_rows - valid_rows AS rejected_rows, duplicate_rows, issue_count,
   CAST(greatest(0, floor(100 - (total_rows - valid_rows) / total_rows::DOUBLE * 100 - 3 + 0.5)) AS BIGINT) AS score,
   'Region was not mapped; that drilldown will use “Unspecified”.; Customer segment was not mapped; that drilldown will use “Unspecified”.'
@@ -1134,5 +1198,9 @@ ORACLES: dict[str, str] = {
     "ingest_preview": UPLOAD + 'SELECT * FROM issues ORDER BY "row", field LIMIT 500',
     "ingest_quality": INGEST_QUALITY,
     "ingest_file_products": INGEST_FILE_PRODUCTS,
+    "ingest_rejected_file": INGEST_REJECTED_FILE,
+    "typed_file_costs": TYPED_FILE,
+    "fact_gaps": FACT_GAPS,
+    "report_methodology": METHODOLOGY,
     "ingest_summary": INGEST_SUMMARY,
 }

@@ -16,17 +16,17 @@ from tillwise.catalog.uploads import net_amount, sales_file, sales_upload, untid
 from tillwise.functions.parsing import parse_date, parse_number
 from tillwise.operators import changes, discounts, economics, forecast, lineage, opportunity, recommend, sketches, trends
 from tillwise.operators.cube import sales_cube
-from tillwise.operators.facts import exact_money, export_facts
+from tillwise.operators.facts import enrich, exact_money, export_facts
 from tillwise.operators.filters import Filters, default_filters, filter_facts, previous_period
 from tillwise.operators.ingest import ROW_INDEX, Ingest, ingest
 from tillwise.operators.mapping import infer_mapping
 from tillwise.operators.validate import check_summary, duplicate_ids, gate_status, validation_report
-from tillwise.plans.report import COMBINATIONS
+from tillwise.plans.report import COMBINATIONS, methodology
 from tillwise.schema import DIMENSIONS, RAW_COLUMNS, UNITS
 from tillwise.session import configure, ensure_checkpoint_dir, stored
-from tillwise.sources.sinks import append_facts, read_catalogue, stored_fingerprint, write_facts
+from tillwise.sources.sinks import append_facts, read_catalogue, stored_fingerprint, write_facts, write_issues
 from tillwise.sources.star import order_months, raw_sales, read_table, sales_facts
-from tillwise.sources.tables import read_upload
+from tillwise.sources.tables import read_sales_csv, read_upload
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -138,6 +138,34 @@ def file_products(spark: SparkSession, folder: str) -> DataFrame:
     return tidy(found.facts.groupBy("product", "category").agg(F.count("*").alias("rows"), revenue.alias("revenue")))
 
 
+def rejected_file(spark: SparkSession, folder: str) -> DataFrame:
+    """What was wrong with how many rows, from the file of rejected rows of the upload."""
+    configure(spark)
+    rows = sales_upload(spark, folder)
+    place = _new_place(spark, "issues")
+    write_issues(ingest(rows, infer_mapping([c for c in rows.columns if c != ROW_INDEX])).issues, place)
+    read = spark.read.schema("row bigint, field string, value string, issue string").option("header", True).option("escape", '"').csv(place)
+    return read.groupBy("field", "issue").agg(
+        F.count("*").alias("issues"), F.countDistinct("row").alias("rows"), F.min("row").alias("first_row"), F.max("row").alias("last_row")
+    )
+
+
+def typed_file(spark: SparkSession, folder: str) -> DataFrame:
+    """Costs by category and channel of the sales table, written as CSV, read with types and enriched."""
+    configure(spark)
+    place = _new_place(spark, "sales")
+    raw_sales(spark, folder).write.option("header", True).option("escape", '"').csv(place)
+    facts = enrich(read_sales_csv(spark, place))
+    return tidy(facts.groupBy("category", "channel").agg(
+        F.count("*").alias("rows"), F.sum("quantity").alias("units"), F.sum("cost").alias("cost"), F.sum("discount_rate").alias("rates"),
+        F.min("order_date").alias("first_day"), F.max("order_date").alias("last_day")))
+
+
+def _new_place(spark: SparkSession, name: str) -> str:
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
 def validation(spark: SparkSession, folder: str) -> DataFrame:
     configure(spark)
     report = validation_report(raw_sales(spark, folder), dt.date(2001, 1, 1), dt.date(1996, 1, 1))
@@ -404,6 +432,10 @@ QUERIES: dict[str, Query] = {
     "ingest_preview": on_upload(lambda i: i.preview),
     "ingest_quality": on_upload(lambda i: i.quality),
     "ingest_file_products": file_products,
+    "ingest_rejected_file": rejected_file,
+    "typed_file_costs": typed_file,
+    "fact_gaps": on_facts(lineage.fact_gaps, *ECONOMICS, "order_date"),
+    "report_methodology": on_cube(methodology),
     "ingest_summary": on_upload(
         lambda i: economics.view_kpis(exact_money(i.facts)),
         digits={c: 2 for c in ("gross_revenue", "revenue", "profit", "cost", "discount_amount")},

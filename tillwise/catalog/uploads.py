@@ -52,7 +52,7 @@ def sales_lines(spark: SparkSession, folder: str) -> DataFrame:
     orders = read_table(spark, folder, "orders").withColumnRenamed("o_orderkey", "l_orderkey")
     parts = read_table(spark, folder, "part").withColumnRenamed("p_partkey", "l_partkey")
     copies = F.when(F.col("l_returnflag") == "A", F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    joined = lines.join(parts, "l_partkey").join(orders, "l_orderkey").withColumn("copy", F.explode(copies))
+    joined = lines.join(parts, "l_partkey", "left").join(orders, "l_orderkey", "left").withColumn("copy", F.explode(copies))
     return joined.select(
         *LINE_ORDER, "l_discount", "l_tax", "l_returnflag", "o_orderdate", "o_orderpriority", "p_type", "p_name", "p_retailprice"
     )
@@ -66,7 +66,7 @@ def sales_upload(spark: SparkSession, folder: str) -> DataFrame:
 
 def sales_file(spark: SparkSession, folder: str) -> str:
     """The upload as CSV files under the checkpoint folder; product names hold quotes, commas and line breaks."""
-    named = F.concat("p_type", F.lit(' "'), "p_name", F.lit('",\n('), "p_type", F.lit(")")).alias("SKU Name")
+    named = F.coalesce(F.concat("p_type", F.lit(' "'), "p_name", F.lit('",\n('), "p_type", F.lit(")")), F.lit("")).alias("SKU Name")
     columns = [named if position == SKU else column for position, column in enumerate(untidy_columns())]
     ensure_checkpoint_dir(spark)
     place = f"{spark.sparkContext.getCheckpointDir()}/upload-{uuid.uuid4().hex}"
@@ -74,6 +74,7 @@ def sales_file(spark: SparkSession, folder: str) -> str:
     return place
 
 
+HEADERS = ("Invoice Date", "Invoice No", "SKU Name", "Department", "Store Type", "Qty", "Sales Value", "COGS", "Discount %")
 #: Position of the product among the columns below.
 SKU = 2
 
@@ -81,19 +82,19 @@ SKU = 2
 def untidy_columns() -> list[F.Column]:
     quantity = F.col("l_quantity").cast("bigint")
     cost = (quantity * F.col("p_retailprice").cast("decimal(15,2)")).cast("decimal(15,2)").cast("string")
-    return [
-        untidy_date("o_orderdate", "l_returnflag").alias("Invoice Date"),
-        F.concat(F.lit("INV-"), "l_orderkey").alias("Invoice No"),
-        F.concat_ws(" ", "p_type", "p_name").alias("SKU Name"),
-        F.col("p_type").alias("Department"),
-        F.col("o_orderpriority").alias("Store Type"),
-        F.when(quantity == 50, "0").when(quantity == 49, "").otherwise(quantity.cast("string")).alias("Qty"),
-        untidy_amount(net_amount(), "l_tax").alias("Sales Value"),
+    cells = [
+        untidy_date("o_orderdate", "l_returnflag"),
+        F.concat(F.lit("INV-"), "l_orderkey"),
+        F.concat_ws(" ", "p_type", "p_name"),
+        F.col("p_type"),
+        F.col("o_orderpriority"),
+        F.when(quantity == 50, "0").when(quantity == 49, "").otherwise(quantity.cast("string")),
+        untidy_amount(net_amount(), "l_tax"),
         F.when(F.col("l_tax") == 0, "")
         .when(quantity == 1, F.concat(F.lit("("), cost, F.lit(")")))
-        .otherwise(cost)
-        .alias("COGS"),
+        .otherwise(cost),
         F.when(F.col("l_linenumber") == 7, "n/a")
-        .otherwise(F.concat(F.rint(F.col("l_discount") * 100).cast("int").cast("string"), F.lit("%")))
-        .alias("Discount %"),
+        .otherwise(F.concat(F.rint(F.col("l_discount") * 100).cast("int").cast("string"), F.lit("%"))),
     ]
+    # A line without its order or part has empty cells.
+    return [F.coalesce(cell, F.lit("")).alias(name) for cell, name in zip(cells, HEADERS, strict=True)]

@@ -31,6 +31,21 @@ def lineage_metadata(
     )
 
 
+def fact_gaps(facts: DataFrame) -> DataFrame:
+    """Lines whose order or part is missing, in one row.
+
+    A line without a cost counts in revenue but not in cost and profit, so margins over it are too low; `uncosted_revenue`
+    says by how much revenue.
+    """
+    uncosted = F.col("cost").isNull()
+    return facts.agg(
+        F.count("*").alias("lines"),
+        F.count_if(F.col("order_date").isNull()).alias("undated_lines"),
+        F.count_if(uncosted).alias("uncosted_lines"),
+        F.coalesce(F.sum(F.when(uncosted, F.col("net_revenue"))), F.lit(0)).alias("uncosted_revenue"),
+    )
+
+
 #: Columns of the added-up digests: sums of parts of a table add up to those of the table.
 DIGEST_SUMS = ("digest_high", "digest_low")
 

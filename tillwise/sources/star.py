@@ -145,11 +145,20 @@ def order_months(spark: SparkSession, folder: str) -> DataFrame:
     return by_day.groupBy(F.date_format("order_date", "yyyy-MM").alias("month")).agg(F.sum("lines").alias("lines"), *days)
 
 
+def _whole(name: str, parts: int = 1) -> Column:
+    """A stored amount in whole units of one `parts`-th. A finer amount fails: nothing is rounded."""
+    value = F.col(name) * parts
+    units = F.rint(value)
+    fits = ~F.isnan(value) & (F.abs(value - units) <= 1e-6 + F.abs(units) * 1e-15)  # what is lost by storing decimals as doubles
+    message = F.concat(F.lit(f"Column '{name}' has an amount finer than 1/{parts}: "), F.col(name).cast("string"))
+    return F.when(F.col(name).isNull() | fits, units.cast("bigint")).otherwise(F.raise_error(message).cast("bigint"))
+
+
 def _line_columns() -> dict[str, Column]:
     return {
         "transaction_id": F.concat(F.lit("TXN-"), F.col(ORDER_KEY) * 10 + F.col("l_linenumber")),
         "order_id": F.concat(F.lit("ORD-"), F.col(ORDER_KEY)),
-        "quantity": F.col("l_quantity").cast("bigint"),
+        "quantity": _whole("l_quantity"),
         "discount_rate": F.col("l_discount").cast("decimal(4,2)"),
     }
 
@@ -172,23 +181,23 @@ def sales_facts(
     ``within`` leaves out lines that these filters would drop, before the joins where that can be; it does not replace filtering.
 
     Leaving a join out is safe because every join keeps all lines: a line without its part, order or
-    customer counts under ``Unspecified`` with no cost or date. With no columns named every table is joined. Prices have cents and
-    discounts whole percents, so all money is exact in ten-thousandths.
+    customer counts under ``Unspecified`` with no cost or date (`lineage.fact_gaps` counts such lines). With no columns named every
+    table is joined. Prices must have whole cents and discounts whole percents, else the query fails; so all money is exact in ten-thousandths.
     """
     wanted = frozenset(columns) if columns is not None else FROM_ORDER | FROM_PART
     if within is not None:
         wanted |= {"order_date", *within.active()}
     facts = _joined(spark, folder, wanted, within)
 
-    cents = F.rint(F.col("l_extendedprice") * 100).cast("bigint")
-    percents = F.rint(F.col("l_discount") * 100).cast("bigint")
+    cents = _whole("l_extendedprice", 100)
+    percents = _whole("l_discount", 100)
     derived = {**_line_columns(), "gross_units": cents * 100, "discount_units": cents * percents}
     derived["net_units"] = cents * 100 - cents * percents
     money = ["gross_revenue", "discount_amount", "net_revenue"]
     if wanted & FROM_PART:
-        unit_cost = F.rint(F.col("p_retailprice") * 100).cast("bigint")
+        unit_cost = _whole("p_retailprice", 100)
         derived["unit_cost"] = F.col("p_retailprice").cast("decimal(15,2)")
-        derived["cost_units"] = F.col("l_quantity").cast("bigint") * unit_cost * 100
+        derived["cost_units"] = _whole("l_quantity") * unit_cost * 100
         derived["profit_units"] = derived["net_units"] - derived["cost_units"]
         money += ["cost", "gross_profit"]
     facts = facts.withColumns(derived)
