@@ -47,7 +47,7 @@ def test_entry(spark):
 
 
 def test_star_keys_hold(connection):
-    """Joins may be left out of a query only because every line has its order, part, customer and region."""
+    """The test tables have no line without its order, part, customer or region; `test_star_gaps` makes such lines."""
     lines = connection.execute("SELECT count(*) FROM lineitem").fetchone()[0]
     joined = connection.execute(
         "SELECT count(*) FROM lineitem JOIN part ON p_partkey = l_partkey JOIN orders ON o_orderkey = l_orderkey "
