@@ -90,3 +90,34 @@ def test_sections_of_a_cube_do_not_read_the_lines(both):
     assert "InMemoryTableScan" in facts._jdf.queryExecution().toString()
     for name in ("kpis", "months", "dimensions", "products", "advice"):
         assert "InMemoryTableScan" not in OPERATORS[name](cube)._jdf.queryExecution().toString()
+
+
+def test_shuffles_are_sized_by_the_stored_lines(spark, tmp_path):
+    """Growing lines start their shuffles with more partitions, so that a task's share of the cube stays the same."""
+    import duckdb
+
+    from tillwise.catalog.queries import QUERIES
+    from tillwise.session import PARTITION_BYTES
+    from tillwise.sources.star import stored_bytes
+
+    orders = 250_000
+    tables = {
+        "region": "SELECT 0::INT r_regionkey, 'EUROPE' r_name",
+        "nation": "SELECT 0::INT n_nationkey, 0::INT n_regionkey",
+        "customer": "SELECT i::BIGINT c_custkey, 0::INT c_nationkey, 'BUILDING' c_mktsegment FROM range(10) t(i)",
+        "part": "SELECT i::BIGINT p_partkey, 'p' || i p_name, 'STEEL' p_type, 10.0::DOUBLE p_retailprice FROM range(50) t(i)",
+        "orders": f"SELECT i::BIGINT o_orderkey, (i % 10)::BIGINT o_custkey, 'O' o_orderstatus, "
+        f"TIMESTAMP '1995-01-01' + INTERVAL (i % 700) DAY o_orderdate, '1-URGENT' o_orderpriority FROM range({orders}) t(i)",
+        "lineitem": f"SELECT (i // 4)::BIGINT l_orderkey, (hash(i) % 50)::BIGINT l_partkey, 0::BIGINT l_suppkey, (i % 4)::INT l_linenumber, "
+        "(1 + hash(i) % 40)::DOUBLE l_quantity, ((1 + hash(i, 1) % 9000000) / 100)::DOUBLE l_extendedprice, "
+        "((hash(i, 2) % 10) / 100)::DOUBLE l_discount, 0.0::DOUBLE l_tax, 'N' l_returnflag, 'O' l_linestatus, TIMESTAMP '1995-01-01' l_shipdate "
+        f"FROM range({4 * orders}) t(i)",
+    }
+    for name, rows in tables.items():
+        duckdb.sql(f"COPY ({rows}) TO '{tmp_path}/{name}.parquet' (FORMAT parquet)")
+    wanted = -(-stored_bytes(spark, str(tmp_path)) // PARTITION_BYTES)
+    assert wanted > int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    result = QUERIES["cube_monthly_performance"](spark, str(tmp_path)).collect()
+    assert int(spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum")) == wanted
+    assert sum(r["orders"] for r in result) == orders
