@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from tillwise.session import configure
 from tillwise.operators import discounts, economics, lineage, recommend, trends
 from tillwise.operators.cube import GROUPINGS, sales_cube
 from tillwise.operators.economics import MARK, grouping_name
@@ -121,3 +122,16 @@ def test_shuffles_are_sized_by_the_stored_lines(spark, tmp_path):
     result = QUERIES["cube_monthly_performance"](spark, str(tmp_path)).collect()
     assert int(spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum")) == wanted
     assert sum(r["orders"] for r in result) == orders
+
+
+def test_sized_shuffles_are_not_merged_back_to_large_partitions(spark):
+    """Run-time merging of the cube's join partitions must stay near the start size, else a task's exploded share grows."""
+    keys = ("spark.sql.adaptive.coalescePartitions.initialPartitionNum", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    saved = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        configure(spark, 200 * 1024 * 1024)
+        assert int(spark.conf.get(keys[0])) >= 200
+        assert int(spark.conf.get(keys[1])) <= 4 * 1024 * 1024
+    finally:
+        for k, v in saved.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
