@@ -135,3 +135,14 @@ def test_sized_shuffles_are_not_merged_back_to_large_partitions(spark):
     finally:
         for k, v in saved.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_sized_scans_read_small_splits(spark):
+    """A scan task aggregates its split on the map side, so its split must not grow with the stored lines."""
+    key = "spark.sql.files.maxPartitionBytes"
+    saved = spark.conf.get(key, None)
+    try:
+        configure(spark, 200 * 1024 * 1024)
+        assert int(spark.conf.get(key).rstrip("b")) <= 4 * 1024 * 1024
+    finally:
+        spark.conf.unset(key) if saved is None else spark.conf.set(key, saved)
