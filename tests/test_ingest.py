@@ -221,3 +221,23 @@ def test_rows_that_differ_in_a_clashing_column_are_kept(spark, tmp_path):
     path.write_text("Date,Item,Sales,COGS,row_index,_date\n2026-01-05,A,10,5,1,x\n2026-01-05,A,10,5,2,x\n2026-01-05,A,10,5,2,x\n")
     result = load_upload(spark, str(path), str(tmp_path / "out"))
     assert result.facts.count() == 2 and result.duplicates.count() == 1
+
+
+def test_upload_queries_size_their_shuffles_by_the_lines(spark, tmp_path, monkeypatch):
+    """The upload is the lines: left at Spark's fixed partitions, its sort and grouping spill as the lines grow."""
+    from tillwise.catalog import queries
+    from tillwise.sources.star import TABLE_SCHEMAS
+
+    folder = str(tmp_path / "tables")
+    spark.createDataFrame([], TABLE_SCHEMAS["lineitem"]).write.parquet(f"{folder}/lineitem.parquet")
+    monkeypatch.setattr(queries, "sales_upload", lambda spark, folder: upload(spark, GOOD))
+    keys = ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.files.maxPartitionBytes")
+    saved = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.unset(k)
+        assert queries.QUERIES["ingest_quality"](spark, folder).first().total_rows == 1
+        assert all(int(spark.conf.get(k).rstrip("b")) <= 4 * 1024 * 1024 for k in keys)
+    finally:
+        for k, v in saved.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
