@@ -1,7 +1,10 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
+from tillwise.catalog import uploads
+from tillwise.operators import ingest as ingest_module
 from tillwise.operators import mapping as mapping_module
 from tillwise.operators.economics import view_kpis
 from tillwise.operators.ingest import Ingest, ingest
@@ -241,3 +244,89 @@ def test_upload_queries_size_their_shuffles_by_the_lines(spark, tmp_path, monkey
     finally:
         for k, v in saved.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_parsing_stays_in_generated_code(spark):
+    """A function over array elements took the whole projection with the parsing in it out of generated code."""
+    plan = checked(spark, GOOD).checked  # written; the plan of the check itself is looked at
+    rows = ingest_module.check_rows(upload(spark, GOOD), infer_mapping(COLUMNS))
+    assert plan.count() == 1
+    assert "lambdafunction" not in rows._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_packed_texts_are_told_apart(spark):
+    end, mark = ingest_module.CELL_END, ingest_module.MARK
+    odd = ["", None, "a", end, mark, f"{mark}1", f"{mark}2", f"{mark}0", f"a{end}b", f"{mark}{end}", f"{end}{mark}2"]
+    pairs = [(x, y) for x in odd for y in odd]
+    rows = spark.createDataFrame([(*p, 1.5, i) for i, p in enumerate([*pairs, *pairs])], "x string, `y z` string, v double, _tillwise_row bigint")
+    found = sorted(map(tuple, ingest_module._grouped(rows.repartition(3)).collect()), key=lambda r: r[-1])
+    assert found == [(*p, 1.5, i) for i, p in enumerate(pairs)]
+
+
+def test_many_copies_are_grouped_without_a_shuffle_of_all_digests(spark, monkeypatch):
+    def refused(*_):
+        raise AssertionError("a filter was made of more digests than it holds")
+
+    monkeypatch.setattr(ingest_module, "key_filter", refused)
+    monkeypatch.setattr(ingest_module, "CAPACITY", 0)
+    rows = upload(spark, GOOD, changed(order="b"), GOOD)
+    found = ingest_module.first_occurrences(rows, lambda columns: F.lit(0).cast("bigint"))
+    assert sorted(r._tillwise_row for r in found.collect()) == [0, 1]
+
+
+ODD_LINES = [(3, 1, "A"), (1, 2, "N"), (None, 1, "A"), (2, 1, "A"), (2, None, "R"), (9, 7, "A"), (None, None, "N"), (1, 1, "A"), (40, 2, "R"), (-5, 2, "A")]
+
+
+@pytest.fixture()
+def odd_tables(spark, tmp_path):
+    """Lines with null and repeated order keys, an order and a part that come twice, and lines without either."""
+    from tillwise.sources.star import TABLE_SCHEMAS
+
+    day = dt.datetime(1996, 3, 1)
+    lines = [(o, p, 1, n, 5.0, 100.0 + n, 0.05, 0.02, flag, "O", day) for n, (o, p, flag) in enumerate(ODD_LINES)]
+    orders = [(k, 1, "O", day, f"{k}-{i}") for k in (1, 2, 3, 40, -5) for i in range(2 if k == 2 else 1)]
+    parts = [(1, "red", "PROMO", 10.0), (2, "blue", "SMALL", 20.0), (2, "blue", "SMALL", 21.0)]
+    folder = str(tmp_path / "odd")
+    for name, rows in (("lineitem", lines), ("orders", orders), ("part", parts)):
+        spark.createDataFrame(rows, TABLE_SCHEMAS[name]).repartition(3).write.parquet(f"{folder}/{name}.parquet")
+    return folder
+
+
+@pytest.mark.parametrize("broadcast", ["-1", "10m"])
+def test_upload_is_numbered_by_slices_of_the_order_key(spark, odd_tables, monkeypatch, broadcast):
+    plans, kept = [], uploads.stored
+
+    def watched(df, **options):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return kept(df, **options)
+
+    monkeypatch.setattr(uploads, "stored", watched)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        rows = {r["_tillwise_row"]: r for r in uploads.sales_upload(spark, odd_tables).collect()}
+        plain = uploads.sales_lines(spark, odd_tables).count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert sorted(rows) == list(range(len(rows))) and len(rows) == plain
+    # Every line as often as its order and part are stored, in order, null first; then those of flag A again.
+    times = [(o, n, f, (2 if o == 2 else 1) * (2 if p == 2 else 1)) for n, (o, p, f) in enumerate(ODD_LINES)]
+    ordered = [x for x in sorted(times, key=lambda x: (x[0] is not None, x[0] or 0, x[1])) for _ in range(x[3])]
+    wanted = [x for x in ordered] + [x for x in ordered if x[2] == "A"]
+    assert [rows[i]["Invoice No"] for i in range(len(rows))] == ["" if x[0] is None else f"INV-{x[0]}" for x in wanted]
+    assert [rows[i]["Sales Value"] for i in range(len(rows))] == [f"${(100 + x[1]) * 0.95:.2f}" for x in wanted]
+    assert "rangepartitioning" not in plans[0]
+    # One exchange by slice serves the join with the orders and the numbering.
+    if broadcast == "-1":
+        assert plans[0].count("hashpartitioning(_tillwise_slice") == 2
+
+
+def test_slices_rise_with_the_key(spark):
+    keys = spark.createDataFrame([(k,) for k in [5, 5, 5, 5, 900, -3, None, 2**60, 2**60 + 1, 7, 8]], "k bigint")
+    for slices in (1, 4, 50):
+        found = uploads.key_slices(keys, "k", slices)(keys).collect()
+        ordered = sorted((r for r in found if r.k is not None), key=lambda r: r.k)
+        numbers = [r["_tillwise_slice"] for r in ordered]
+        assert numbers == sorted(numbers) and min(numbers) >= 0
+        assert [r["_tillwise_slice"] for r in found if r.k is None] == [-1]
+    assert uploads.key_slices(keys.limit(0), "k", 4)(keys).count() == 11
