@@ -63,3 +63,40 @@ def test_finding_months_does_not_read_the_lines(spark, monkeypatch):
 def test_lines_without_a_month_are_no_month(spark, facts):
     odd = facts.withColumn("month", F.lit(None).cast("string"))
     assert changes.months_present(odd) == []
+
+
+def test_catalogue_is_made_from_the_files_just_written(spark, facts, tmp_path, monkeypatch):
+    """The facts are joined once for a write, and not again for its catalogue."""
+    from tillwise.sources import sinks
+
+    seen, kept = [], sinks.month_catalogue
+
+    def watched(written, *sums):
+        seen.append({f.rsplit("/", 1)[-1] for f in written.inputFiles()})
+        return kept(written, *sums)
+
+    monkeypatch.setattr(sinks, "month_catalogue", watched)
+    place = tmp_path / "some facts"
+
+    def files():
+        return {f.name for f in place.glob("month=*/part-*.parquet")}
+
+    undated = facts.withColumn("month", F.when(F.col("month") != "2024-02", F.col("month")))
+    write_facts(undated, str(place))
+    first = files()
+    append_facts(facts, str(place))
+    append_facts(facts.limit(0), str(place))
+    write_facts(facts, str(place))
+    assert seen[0] == first and first and not seen[1] & first and seen[1] and not seen[2] and seen[3] == files()
+    columns = [c for c in FACT_COLUMNS if c not in RATIOS]
+    assert stored_fingerprint(spark, str(place)).first() == dataset_fingerprint(facts, columns).first()
+
+
+@pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
+def test_pinned_facts_are_the_facts(spark):
+    from tillwise.sources.star import sales_facts
+
+    pinned, plain = sales_facts(spark, FOLDER, pinned=True), sales_facts(spark, FOLDER)
+    assert pinned.schema.names == plain.schema.names
+    assert "Join" not in pinned._jdf.queryExecution().optimizedPlan().toString()
+    assert pinned.count() == plain.count() and pinned.exceptAll(plain).isEmpty()
