@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tillwise.sources import csv_rows
 from tillwise.sources.tables import read_upload
@@ -84,3 +85,21 @@ def test_quotes_of_one_file_do_not_reach_the_next(spark, tmp_path, small_ranges)
     assert read_all(spark, str(tmp_path), ("a", "b")) == [["1", "open\nrow"], ["2", "x\ny"], ["3", "z"]]
     with pytest.raises(ValueError, match="Unsupported"):
         read_upload(spark, str(tmp_path / "a.parquet"))
+
+
+def test_signs_are_swapped_without_taking_text_apart(spark):
+    """Translating goes through every character of every cell, which was most of the time of reading an upload."""
+    from tillwise.functions.parsing import WHITE_SPACE
+    from tillwise.sources.csv_rows import CELL_END, ROW_END, UNKNOWN, is_blank, rows_of
+
+    texts = {
+        f'a{CELL_END}b,"x{ROW_END},y"\rz': [[f"a{UNKNOWN}b", f"x{UNKNOWN},y"], ["z"]],
+        "\U0001f600,é": [["\U0001f600", "é"]],
+        WHITE_SPACE.replace("\r", "").replace("\n", "") + ',"\n"': [],
+        "​": [["​"]],
+        "\x00,": [["\x00", ""]],
+    }
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    read = df.select("t", F.filter(rows_of(F.col("t")), lambda row: ~is_blank(row)).alias("rows"))
+    assert "translate" not in read._jdf.queryExecution().optimizedPlan().toString()
+    assert {r.t: r["rows"] for r in read.collect()} == texts
